@@ -8,12 +8,14 @@ parser raises and swallows an exception per row.
 from __future__ import annotations
 
 import calendar
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsight import settings
+from newsight.functions.binding import let
 from newsight.functions.text import strip
 
 _MAIL = (
@@ -31,13 +33,24 @@ _MONTH_FIRST = (
 )
 _SLASHES = r"(?i)^(\d{1,2})/(\d{1,2})/(\d{4})(?:\s+(\d{1,2}):(\d{1,2})\s+(am|pm))?$"
 _DAY_FIRST = r"(?i)^(\d{1,2})\s+([a-z]+)\s+(\d{4})$"
-_AGO = r"^(\d+)\s+(minute|hour|day|week)s?\s+ago"
+_AGO = r"(?s)^(\d+)\s+(minute|hour|day|week)s?\s+ago"
 
 _UNIT_SECONDS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
-def _groups(text: Column, pattern: str, count: int) -> list[Column]:
-    return [F.regexp_extract(text, pattern, i) for i in range(1, count + 1)]
+def _match(text: Column, pattern: str, count: int, body: Callable[..., Column]) -> Column:
+    """``body`` of the pattern's groups (empty text if unmatched); null without a match.
+
+    One regular expression run per shape, and the groups are split once per row.
+    """
+    joined = "\x01".join(f"${i}" for i in range(1, count + 1))
+    parts = F.split(F.regexp_replace(text, pattern, joined), "\x01")
+    return let(
+        parts,
+        lambda g: F.when(
+            (F.size(g) == count) & ~F.contains(text, F.lit("\x01")), body(*[F.element_at(g, i) for i in range(1, count + 1)])
+        ),
+    )
 
 
 def _int(text: Column) -> Column:
@@ -87,36 +100,37 @@ def _half_day(hour: Column, marker: Column) -> Column:
 
 
 def _mail_date(text: Column) -> Column:
-    day, month, year, hour, minute, second, zone = _groups(text, _MAIL, 7)
-    short = _int(year) + F.when(_int(year) > 68, 1900).otherwise(2000)
-    full_year = F.when(F.length(year) == 2, short).otherwise(_int(year))
-    clock = (
-        F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")
-    )
-    signed = F.when(zone.startswith("-"), -clock).otherwise(clock)
-    offset = F.when(zone.rlike(r"^[+\-]"), signed).otherwise(
-        F.coalesce(_lookup(settings.MAIL_ZONE_MINUTES, F.upper(zone)), F.lit(0))
-    )
-    local = _make(full_year, _month(month), _int(day), _int(hour), _int(minute), _int(second))
-    return F.when(text.rlike(_MAIL), _minus_seconds(local, offset * 60))
+    def build(day, month, year, hour, minute, second, zone):
+        short = _int(year) + F.when(_int(year) > 68, 1900).otherwise(2000)
+        full_year = F.when(F.length(year) == 2, short).otherwise(_int(year))
+        hours, minutes = F.substring(zone, 2, 2), F.substring(zone, 4, 2)
+        clock = hours.try_cast("int") * 60 + minutes.try_cast("int")
+        offset = (
+            F.when(zone.startswith("-"), -clock)
+            .when(zone.startswith("+"), clock)
+            .otherwise(F.coalesce(_lookup(settings.MAIL_ZONE_MINUTES, F.upper(zone)), F.lit(0)))
+        )
+        local = _make(full_year, _month(month), _int(day), _int(hour), _int(minute), _int(second))
+        return _minus_seconds(local, offset * 60)
+
+    return _match(text, _MAIL, 7, build)
 
 
 def _iso_date(text: Column) -> Column:
-    text = F.when(text.endswith("Z"), F.replace(text, F.lit("Z"), F.lit("+00:00"))).otherwise(text)
-    year, month, day, hour, minute, second, fraction, sign, zh, zm = _groups(text, _ISO, 10)
-    micros = F.concat(F.lit("0."), F.rpad(fraction, 6, "0")).try_cast("decimal(16,6)")
-    seconds = _int(second) + micros
-    offset = (_int(zh) * 3600 + _int(zm) * 60) * F.when(sign == "-", -1).otherwise(1)
-    local = _make(_int(year), _int(month), _int(day), _int(hour), _int(minute), seconds)
-    return F.when(text.rlike(_ISO), _minus_seconds(local, offset))
+    def build(year, month, day, hour, minute, second, fraction, sign, zone_hour, zone_minute):
+        micros = F.concat(F.lit("0."), F.rpad(fraction, 6, "0")).try_cast("decimal(16,6)")
+        offset = _int(zone_hour) * 3600 + _int(zone_minute) * 60
+        local = _make(
+            _int(year), _int(month), _int(day), _int(hour), _int(minute), _int(second) + micros
+        )
+        return _minus_seconds(local, F.when(sign == "-", -offset).otherwise(offset))
+
+    zoned = F.when(text.endswith("Z"), F.replace(text, F.lit("Z"), F.lit("+00:00")))
+    return _match(F.coalesce(zoned, text), _ISO, 10, build)
 
 
 def _plain_date(text: Column) -> Column:
-    year, month, day, hour, minute, second = _groups(text, _PLAIN, 6)
-    return F.when(
-        text.rlike(_PLAIN),
-        _make(_int(year), _int(month), _int(day), _int(hour), _int(minute), _int(second)),
-    )
+    return _match(text, _PLAIN, 6, lambda *parts: _make(*[_int(p) for p in parts]))
 
 
 def parse_date(text: Column) -> Column:
@@ -140,25 +154,31 @@ def parse_relative_date(text: Column, as_of: datetime | str | Column) -> Column:
     clean = strip(text)
     lowered = F.lower(clean)
 
-    amount, unit = _groups(lowered, _AGO, 2)
-    back = F.when(F.length(amount) <= 9, amount.try_cast("long")) * _lookup(_UNIT_SECONDS, unit)
+    def ago(amount, unit):
+        count = F.when(F.length(amount) <= 9, amount.try_cast("long"))
+        return _minus_seconds(now, count * _lookup(_UNIT_SECONDS, unit))
 
-    mon, day, year, hour, minute, second, half = _groups(clean, _MONTH_FIRST, 7)
-    month_first = F.when(
-        clean.rlike(_MONTH_FIRST),
-        _make(_int(year), _month(mon), _int(day), _half_day(hour, half), _int(minute), _int(second)),
-    )
-    smon, sday, syear, shour, sminute, shalf = _groups(clean, _SLASHES, 6)
-    slashes = F.when(
-        clean.rlike(_SLASHES),
-        _make(_int(syear), _int(smon), _int(sday), _half_day(shour, shalf), _int(sminute)),
-    )
-    dday, dmon, dyear = _groups(clean, _DAY_FIRST, 3)
-    day_first = F.when(clean.rlike(_DAY_FIRST), _make(_int(dyear), _month(dmon), _int(dday)))
+    def month_first(month, day, year, hour, minute, second, half):
+        return _make(
+            _int(year), _month(month), _int(day), _half_day(hour, half), _int(minute), _int(second)
+        )
+
+    def slashes(month, day, year, hour, minute, half):
+        return _make(_int(year), _int(month), _int(day), _half_day(hour, half), _int(minute))
+
+    def day_first(day, month, year):
+        return _make(_int(year), _month(month), _int(day))
 
     return (
-        F.when(lowered.rlike(_AGO), _minus_seconds(now, back))
+        F.when(lowered.rlike(_AGO), _match(lowered, _AGO + ".*$", 2, ago))
         .when(F.contains(lowered, F.lit("yesterday")), _minus_seconds(now, F.lit(86400)))
         .when(F.contains(lowered, F.lit("just now")), now)
-        .otherwise(F.coalesce(month_first, slashes, day_first, parse_date(text)))
+        .otherwise(
+            F.coalesce(
+                _match(clean, _MONTH_FIRST, 7, month_first),
+                _match(clean, _SLASHES, 6, slashes),
+                _match(clean, _DAY_FIRST, 3, day_first),
+                parse_date(text),
+            )
+        )
     )
