@@ -90,7 +90,9 @@ def _payloads(entries: DataFrame, item, head: str, tail: str) -> DataFrame:
 def rss_feeds(entries: DataFrame) -> DataFrame:
     date = F.concat(F.date_format("at", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
     item = F.concat(
-        F.lit("<item><link> "), _xml(F.col("url")), F.lit(" </link>"),
+        F.lit("<item><link>"),
+        F.when(F.col("url") == "", F.lit("")).otherwise(F.concat(F.lit(" "), _xml(F.col("url")), F.lit(" "))),
+        F.lit("</link>"),
         F.coalesce(F.concat(F.lit("<title>"), _xml(F.col("title")), F.lit("</title>")), F.lit("")),
         F.coalesce(F.concat(F.lit("<pubDate>"), date, F.lit("</pubDate>")), F.lit("")),
         F.lit("</item>"),

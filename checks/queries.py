@@ -397,9 +397,7 @@ def label_scores(spark, sf):
 @query
 def label_ranked(spark, sf):
     docs = X.table(spark, sf, "documents")
-    windows = F.transform(
-        text.token_windows(text.tokens(F.col("text"))), lambda w: F.array_join(w, " ")
-    )
+    windows = scoring.window_texts(F.col("text"))
     pooled = scoring.max_pool(X.SCORERS.labels(windows), list(X.LABELS))
     ranked = scoring.ranked_labels(pooled, threshold=0.05)
     return docs.select("doc_id", F.posexplode(ranked).alias("rank", "entry")).select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsight import settings
+from newsight.functions.binding import let
 
 # every character a Unicode-aware strip removes, built from the rule itself
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -73,11 +74,15 @@ def token_windows(
     stride: int = settings.WINDOW_STRIDE,
 ) -> Column:
     """Overlapping windows of a token array; a short array is its own window."""
-    n = F.size(toks)
-    starts = F.sequence(F.lit(0), n - 1, F.lit(stride))
-    return F.when(n <= size, F.array(toks)).otherwise(
-        F.transform(starts, lambda at: F.slice(toks, at + 1, F.lit(size)))
-    )
+
+    def cut(all_tokens: Column) -> Column:
+        n = F.size(all_tokens)
+        starts = F.sequence(F.lit(0), n - 1, F.lit(stride))
+        return F.when(n <= size, F.array(all_tokens)).otherwise(
+            F.transform(starts, lambda at: F.slice(all_tokens, at + 1, F.lit(size)))
+        )
+
+    return let(toks, cut)
 
 
 def topic_text(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsight import settings
@@ -47,17 +47,14 @@ def only_new(export: DataFrame, target: DataFrame) -> DataFrame:
     return export.join(target.select("url"), "url", "left_anti").select(*export.columns)
 
 
-def append_to_path(export: DataFrame, path: str) -> int:
-    """Append to a Parquet table partitioned by run date; returns the rows written."""
-    seen = Observation()
+def append_to_path(export: DataFrame, path: str) -> None:
+    """Append to a Parquet table partitioned by run date."""
     (
-        export.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .withColumn("run_date", F.to_date("processed_timestamp"))
+        export.withColumn("run_date", F.to_date("processed_timestamp"))
         .write.mode("append")
         .partitionBy("run_date")
         .parquet(path)
     )
-    return seen.get["rows"]
 
 
 def append_to_table(export: DataFrame, database: str, table: str) -> None:

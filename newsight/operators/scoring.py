@@ -94,6 +94,11 @@ def lexicon_labels(vocabularies: dict[str, list[str]]) -> ArrayScorer:
     return lambda pieces: F.transform(pieces, shares)
 
 
+def window_texts(text: Column) -> Column:
+    """Token windows of a text, each as text again."""
+    return F.transform(token_windows(tokens(text)), lambda w: F.array_join(w, " "))
+
+
 # ---- aggregation of scores within a row -------------------------------------
 
 
@@ -135,14 +140,19 @@ def top_label(scores: Column) -> Column:
 
 def max_pool(window_scores: Column, labels: list[str]) -> Column:
     """Best score of each label over all windows, two digits, as ``map<label, score>``."""
-    parts = []
-    for name in labels:
-        best = F.array_max(F.transform(window_scores, lambda m: F.try_element_at(m, F.lit(name))))
-        parts += [F.lit(name), F.coalesce(round2(best), F.lit(0.0))]
-    return F.create_map(*parts)
+    def pooled(maps: Column) -> Column:
+        parts = []
+        for name in labels:
+            best = F.array_max(F.transform(maps, lambda m: F.try_element_at(m, F.lit(name))))
+            parts += [F.lit(name), F.coalesce(round2(best), F.lit(0.0))]
+        return F.create_map(*parts)
+
+    return let(window_scores, pooled)
 
 
 # ---- article operators ------------------------------------------------------
+# A generator over a one-element array computes a score once even if several
+# columns come from it; a plain projection may be inlined into each of them.
 
 
 def _eligible() -> Column:
@@ -161,8 +171,11 @@ def with_topic(
     """Add ``iptc_topic`` and ``iptc_topic_fr``; null without title and content."""
     text = F.when(_eligible(), F.array(topic_text(F.col("title"), F.col("scraped_content"))))
     best = top_label(F.element_at(scorer(text), 1))
-    named = articles.withColumn("iptc_topic", best)
-    return named.withColumn("iptc_topic_fr", topic_name(F.col("iptc_topic"), names_fr))
+
+    def both(topic: Column) -> Column:
+        return F.struct(topic.alias("iptc_topic"), topic_name(topic, names_fr).alias("iptc_topic_fr"))
+
+    return articles.select("*", F.inline(F.transform(F.array(best), both)))
 
 
 def topic_name(topic: Column, names: dict[str, str] = settings.TOPIC_LABELS_FR) -> Column:
@@ -181,11 +194,15 @@ def with_label_scores(
 ) -> DataFrame:
     """Add one score column per label, best window of the whole text; 0.0 by default."""
     text = label_text(F.col("title"), F.col("scraped_content"))
-    windows = F.transform(token_windows(tokens(text)), lambda w: F.array_join(w, " "))
-    pooled = max_pool(scorer(F.when(_eligible(), windows)), list(columns))
-    scored = articles.withColumn("_scores", pooled)
-    for label, column in columns.items():
-        scored = scored.withColumn(
-            column, F.coalesce(F.try_element_at(F.col("_scores"), F.lit(label)), F.lit(0.0))
+    windows = F.when(_eligible(), window_texts(text))
+    pooled = max_pool(scorer(windows), list(columns))
+
+    def spread(scores: Column) -> Column:
+        return F.struct(
+            *[
+                F.coalesce(F.try_element_at(scores, F.lit(label)), F.lit(0.0)).alias(column)
+                for label, column in columns.items()
+            ]
         )
-    return scored.drop("_scores")
+
+    return articles.select("*", F.inline(F.transform(F.array(pooled), spread)))
