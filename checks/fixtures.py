@@ -252,6 +252,18 @@ def batch_replies(batched: DataFrame) -> DataFrame:
     return clean.select("batch_id", F.inline(sent))
 
 
+def article_labels(batched: DataFrame) -> DataFrame:
+    """Scores for the articles of a run, in the shape ``batch_replies`` expects."""
+    return batched.select(
+        "batch_id",
+        "batch_index",
+        F.col("ord").alias("doc_id"),
+        F.lit(1).alias("quality"),
+        F.lit(0).alias("toxic"),
+        (F.col("ord") % 40 + 60).cast("int").alias("score"),
+    )
+
+
 # ---- pages as fetch results --------------------------------------------------
 
 
@@ -281,6 +293,19 @@ def redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def article_redirects(spark: SparkSession, sf_dir: str, articles: DataFrame) -> DataFrame:
+    """Targets of the redirect URLs among ``articles``; every fourth is unknown."""
+    page = F.regexp_extract("url", r"articles/(\d+)$", 1).try_cast("long")
+    known = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("target"))
+    return (
+        articles.select("url", page.alias("page_id"))
+        .filter("page_id % 24 <> 23")
+        .distinct()
+        .join(known, "page_id")
+        .select("url", "target")
+    )
+
+
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page table as a fetcher would leave it: ten kinds of outcome by page number."""
     i = F.col("page_id")

@@ -14,8 +14,8 @@ from newsight.functions.html import page_text
 from newsight.operators import batches, content, dedup, export, filters, models, scoring
 from newsight.operators.clusters import cluster_articles, with_cluster_id
 from newsight.operators.similarity import cosine_pairs
+from newsight.plans import daily as plan
 from newsight.plans.collect import collect, union_sources
-from newsight.plans.daily import Inputs, daily_run
 from newsight.plans.enrich import enrich
 from newsight.session import scratch_root
 from newsight.sources import feed_errors, parse_feeds, parse_search_pages, scan_feeds, scan_search_pages
@@ -519,44 +519,18 @@ def append_new(spark, sf):
     return export.only_new(first, target)
 
 
-def daily_inputs(spark: SparkSession, sf: str) -> Inputs:
-    """Boundary tables of a daily run over all pages of ``sf``.
-
-    Replies belong to batches, so they are made from the batches the run will form.
-    """
-    from newsight.plans.daily import batched_articles
-
-    entries = X.page_entries(spark, sf)
-    feeds, results = _mixed_feeds(spark, sf), X.search_pages(entries)
-    batched = batched_articles(feeds, results, X.AS_OF)
-    labelled = batched.select(
-        "batch_id",
-        "batch_index",
-        F.col("ord").alias("doc_id"),
-        F.lit(1).alias("quality"),
-        F.lit(0).alias("toxic"),
-        (F.col("ord") % 40 + 60).cast("int").alias("score"),
-    )
-    i = F.regexp_extract("url", r"articles/(\d+)$", 1).try_cast("long")
-    pages = X.table(spark, sf, "pages").select(F.col("page_id"), F.col("url").alias("target"))
-    targets = (
-        batched.filter("is_google_redirect or url like '%news.google.com%'")
-        .select("url", i.alias("page_id"))
-        .distinct()
-        .join(pages, "page_id")
-        .filter(F.col("page_id") % 24 != 23)
-        .select("url", "target")
-    )
-    return Inputs(
-        feeds=feeds,
-        search_pages=results,
-        batch_replies=X.batch_replies(labelled),
-        redirects=targets,
-        pages=X.unique_pages(X.fetched_pages(spark, sf)),
-        article_replies=X.article_replies(batched.select("ord"), "ord"),
-    )
-
-
 @query
 def daily(spark, sf):
-    return daily_run(daily_inputs(spark, sf), X.SCORERS, X.AS_OF, blocked=X.BLOCKED)
+    """All stages in order; each outside step answers from the tables the stage before left."""
+    feeds = _mixed_feeds(spark, sf)
+    results = X.search_pages(X.page_entries(spark, sf))
+    batched = plan.batched_articles(feeds, results, X.AS_OF)
+    scored = plan.score_relevance(batched, X.batch_replies(X.article_labels(batched)))
+    articles = plan.fetch_content(
+        scored,
+        X.article_redirects(spark, sf, batched),
+        X.unique_pages(X.fetched_pages(spark, sf)),
+        blocked=X.BLOCKED,
+    )
+    replies_in = X.article_replies(articles.select("ord"), "ord")
+    return plan.finish(articles, replies_in, X.SCORERS, X.AS_OF)

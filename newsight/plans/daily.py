@@ -62,25 +62,27 @@ def fetch_content(scored: DataFrame, redirects: DataFrame, pages: DataFrame, **o
     return materialise(join_content(relevant, content), "content")
 
 
-def finish(articles: DataFrame, inputs: Inputs, scorers: Scorers, as_of, **options) -> DataFrame:
-    """Enrichment, analysis, flag filter and export typing."""
-    enriched = enrich(articles, scorers, inputs.vectors, "ord", **options)
-    analysed = attach_analysis(enriched, inputs.article_replies, "ord")
-    return to_export(unflagged(analysed), as_of)
-
-
-def daily_run(
-    inputs: Inputs,
+def finish(
+    articles: DataFrame,
+    article_replies: DataFrame,
     scorers: Scorers,
     as_of,
+    vectors: DataFrame | None = None,
     similarity: float = settings.SIMILARITY_THRESHOLD,
-    blocked: list[str] = settings.BLOCKED_DOMAINS,
 ) -> DataFrame:
-    """All stages; append the result with ``append_to_path`` or ``append_to_table``.
+    """Enrichment, analysis, flag filter and export typing. Replies are keyed by ``ord``."""
+    enriched = enrich(articles, scorers, vectors, "ord", similarity)
+    analysed = attach_analysis(enriched, article_replies, "ord")
+    return to_export(unflagged(analysed), as_of)
+
+
+def daily_run(inputs: Inputs, scorers: Scorers, as_of, **fetch_options) -> DataFrame:
+    """All stages over tables that already hold every reply.
 
-    ``article_replies`` is keyed by ``ord``.
+    Append the result with ``append_to_path`` or ``append_to_table``. When replies are
+    made during the run, call the stage functions one by one.
     """
     batched = batched_articles(inputs.feeds, inputs.search_pages, as_of)
     scored = score_relevance(batched, inputs.batch_replies)
-    articles = fetch_content(scored, inputs.redirects, inputs.pages, blocked=blocked)
-    return finish(articles, inputs, scorers, as_of, threshold=similarity)
+    articles = fetch_content(scored, inputs.redirects, inputs.pages, **fetch_options)
+    return finish(articles, inputs.article_replies, scorers, as_of, inputs.vectors)
