@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_LETTERS = r"\p{L}+"
+from newsight.session import materialise
 
 
 def _terms(text_col: str, features: int) -> list:
+    """Letters-only lower-case words of the whole text, counted by hash."""
+    words = rf"regexp_extract_all(lower(coalesce(`{text_col}`, '')), '(\\p{{L}}+)', 1)"
     return [
-        RegexTokenizer(inputCol=text_col, outputCol="_terms", pattern=_LETTERS, gaps=False),
+        SQLTransformer(statement=f"SELECT *, {words} AS _terms FROM __THIS__"),
         HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=features),
     ]
 
@@ -24,15 +26,13 @@ def doc_vectors(
 ) -> DataFrame:
     """``(id, embedding)``: unit TF-IDF vectors of hashed terms over whole texts.
 
-    Fitting aggregates one counter per feature; nothing is shuffled per term.
+    Texts are read once: the counts are stored, then weighted. Fitting aggregates
+    one counter per feature; nothing is shuffled per term.
     """
-    narrow = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("_text"))
-    stages = [
-        *_terms("_text", features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="_unit"),
-    ]
-    unit = Pipeline(stages=stages).fit(narrow).transform(narrow)
+    counter = Pipeline(stages=_terms(text_col, features)).fit(docs.limit(0))
+    counts = materialise(counter.transform(docs.select(id_col, text_col)).select(id_col, "_tf"), "terms")
+    weighted = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts).transform(counts)
+    unit = Normalizer(inputCol="_tfidf", outputCol="_unit").transform(weighted)
     return unit.select(id_col, vector_to_array("_unit", "float32").alias(out_col))
 
 

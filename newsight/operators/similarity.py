@@ -194,6 +194,22 @@ def _blocked(rows: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
+def _copies(vectors: DataFrame) -> DataFrame:
+    """``(first id, id)`` of rows equal to an earlier row.
+
+    Only fingerprints are grouped over all rows; vectors meet only where those agree.
+    """
+    marked = vectors.withColumn("mark", F.xxhash64("vec"))
+    shared = marked.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
+    suspects = marked.join(shared, "mark", "left_semi")
+    firsts = suspects.groupBy("mark", "vec").agg(F.min("id").alias("src"))
+    return (
+        suspects.join(firsts, ["mark", "vec"])
+        .filter("id <> src")
+        .select("src", F.col("id").alias("dst"))
+    )
+
+
 def _similar(
     vectors: DataFrame,
     id_col: str,
@@ -206,20 +222,18 @@ def _similar(
 ) -> DataFrame:
     if not 0.0 < threshold < 1.0:
         raise ValueError("threshold must lie between 0 and 1")
-    spark = vectors.sparkSession
     vec = F.col(vec_col).cast("array<float>")
-    # a zero vector is similar to nothing
-    usable = vectors.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).filter(
-        F.exists("vec", lambda x: x != 0)
+    # a zero vector is similar to nothing; stored, as making vectors is costly
+    usable = materialise(
+        vectors.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).filter(
+            F.exists("vec", lambda x: x != 0)
+        ),
+        "vectors",
     )
+    copy_links = materialise(_copies(usable), "copies")
     firsts, total = materialise_counted(
-        usable.groupBy("vec").agg(F.min("id").alias("id")), "vectors"
+        usable.join(copy_links.select(F.col("dst").alias("id")), "id", "left_anti"), "vectors"
     )
-    copies = usable.join(firsts.select("vec", F.col("id").alias("first")), "vec").filter(
-        "id <> first"
-    )
-    copy_links = copies.select(F.col("first").alias("src"), F.col("id").alias("dst"))
-
     wanted = min(max_pivots, math.ceil(total / rows_per_cell))
     # at most max_pivots vectors reach the driver
     chosen = firsts.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
