@@ -59,13 +59,8 @@ def append_to_path(export: DataFrame, path: str) -> None:
 
 def append_to_table(export: DataFrame, database: str, table: str) -> None:
     """Append to a catalog table; database and table are created on first use."""
-    spark = export.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    name = f"`{database}`.`{table}`"
-    if spark.catalog.tableExists(f"{database}.{table}"):
-        export.select(*EXPORT_SCHEMA.names).writeTo(name).append()
-    else:
-        export.write.format("parquet").saveAsTable(name)
+    export.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    export.write.mode("append").saveAsTable(f"`{database}`.`{table}`")
 
 
 def source_counts(articles: DataFrame, as_of, hours: int = settings.RECENCY_HOURS) -> DataFrame:
