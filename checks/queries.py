@@ -508,7 +508,11 @@ def run_metrics(spark, sf):
 
 @query
 def export_(spark, sf):
-    return export.to_export(filters.unflagged(_analysed(spark, sf)), X.AS_OF)
+    articles = X.document_articles(spark, sf)
+    return plan.finish(
+        articles, X.article_replies(articles.select("ord"), "ord"), X.SCORERS, X.AS_OF,
+        X.document_vectors(spark, sf), X.SIMILARITY,
+    )
 
 
 @query

@@ -55,8 +55,8 @@ def _numeric_entities(text: Column) -> Column:
 def page_text(html: Column) -> Column:
     """Main text of a page, lines separated by one line break."""
     text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    for element in DROPPED_ELEMENTS:
-        text = F.regexp_replace(text, rf"(?is)<{element}\b[^>]*>.*?</{element}\s*>", "\n")
+    dropped = "|".join(DROPPED_ELEMENTS)
+    text = F.regexp_replace(text, rf"(?is)<({dropped})\b[^>]*>.*?</\1\s*>", "\n")
     text = F.regexp_replace(
         text, rf'(?is)<div\b[^>]*(?:class|id)="(?:{DROPPED_CLASSES})"[^>]*>.*?</div\s*>', "\n"
     )

@@ -110,8 +110,10 @@ def scrape(urls: DataFrame, redirects: DataFrame, pages: DataFrame, **options) -
     requested pages are read for their text.
     """
     resolved = resolve_redirects(urls.select("url"), redirects)
-    pages = pages.withColumnRenamed("url", "fetch_url").withColumn("_found", F.lit(True))
-    fetched = resolved.join(pages, "fetch_url", "left")
+    # unresolved rows join on their own URL: null keys would all meet in one task
+    wanted = resolved.withColumn("_page", F.coalesce("fetch_url", "url"))
+    found = pages.withColumnRenamed("url", "_page").withColumn("_found", F.lit(True))
+    fetched = wanted.join(found, "_page", "left")
     blocked = options.get("blocked", settings.BLOCKED_DOMAINS)
     needs_none = (
         is_blocked(F.col("url"), blocked)

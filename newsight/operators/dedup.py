@@ -20,6 +20,24 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
+def drop_repeats(df: DataFrame, key: str, order_by: str) -> DataFrame:
+    """Same rows as ``keep_first``, for wide rows of which few repeat a key.
+
+    Only key and order are shuffled to find the repeats; the rows themselves then
+    meet the list of repeats on the unique ``order_by``. ``df`` should be stored,
+    as it is read twice.
+    """
+    narrow = df.select(key, order_by)
+    repeated = (
+        narrow.groupBy(key)
+        .agg(F.min(order_by).alias("_first"), F.count("*").alias("_n"))
+        .filter("_n > 1")
+        .select(key, "_first")
+    )
+    repeats = narrow.join(repeated, key).filter(F.col(order_by) != F.col("_first"))
+    return df.join(repeats.select(order_by), order_by, "left_anti").select(*df.columns)
+
+
 def greedy_two_key(df: DataFrame, first_key: str, second_key: str, order_by: str) -> DataFrame:
     """Rows kept by a scan in ``order_by`` order that keeps a row iff neither its
     first key nor its (non-null) second key occurs in a row kept before.

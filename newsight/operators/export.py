@@ -19,8 +19,8 @@ def require_columns(df: DataFrame, required: list[str] = REQUIRED_ENRICHMENTS) -
     return df
 
 
-def to_export(df: DataFrame, as_of, order_by: str = "ord") -> DataFrame:
-    """The export columns in order and type, one row per URL (the first), one run timestamp.
+def export_columns(df: DataFrame, as_of) -> DataFrame:
+    """The export columns in order and type, with one timestamp for the run.
 
     Rows without a URL are not exportable; see ``export_rejects``.
     """
@@ -28,16 +28,19 @@ def to_export(df: DataFrame, as_of, order_by: str = "ord") -> DataFrame:
     stamped = df.filter(F.col("url").isNotNull()).withColumn(
         "processed_timestamp", as_of_literal(as_of)
     )
-    unique = keep_first(
-        stamped.select(order_by, *EXPORT_SCHEMA.names), ["url"], [order_by]
-    )
-    typed = unique.select(
+    typed = stamped.select(
         F.coalesce("url", F.lit("")).alias("url"),
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in EXPORT_SCHEMA.fields[1:]],
     )
     return typed.to(EXPORT_SCHEMA)
 
 
+def to_export(df: DataFrame, as_of, order_by: str = "ord") -> DataFrame:
+    """``export_columns`` with one row per URL, the first."""
+    require_columns(df)
+    return export_columns(keep_first(df, ["url"], [order_by]), as_of)
+
+
 def export_rejects(df: DataFrame) -> DataFrame:
     return df.filter(F.col("url").isNull())
 

@@ -19,11 +19,13 @@ from newsight.operators.batches import (
     parse_batch_replies,
     reconcile,
 )
+from newsight.operators.clusters import with_cluster_id
 from newsight.operators.content import join_content, scrape
-from newsight.operators.export import to_export
+from newsight.operators.dedup import drop_repeats
+from newsight.operators.export import export_columns
 from newsight.operators.filters import above_threshold, unflagged
 from newsight.plans.collect import collect
-from newsight.plans.enrich import Scorers, enrich
+from newsight.plans.enrich import Scorers, article_clusters, score_texts
 from newsight.session import materialise
 
 
@@ -70,10 +72,18 @@ def finish(
     vectors: DataFrame | None = None,
     similarity: float = settings.SIMILARITY_THRESHOLD,
 ) -> DataFrame:
-    """Enrichment, analysis, flag filter and export typing. Replies are keyed by ``ord``."""
-    enriched = enrich(articles, scorers, vectors, "ord", similarity)
-    analysed = attach_analysis(enriched, article_replies, "ord")
-    return to_export(unflagged(analysed), as_of)
+    """Clusters, analysis, flag filter, URL dedup, text scores, export typing.
+
+    Replies are keyed by ``ord``. Clusters need every article, text scores only their
+    own: so rows are first chosen on narrow columns, the wide rows are then joined
+    once, and only rows that stay are scored. ``articles`` should be stored.
+    """
+    clusters = article_clusters(articles, vectors, "ord", similarity)
+    keys = articles.select("ord", "url").filter("url is not null")
+    chosen = unflagged(attach_analysis(keys, article_replies, "ord"))
+    chosen = with_cluster_id(drop_repeats(chosen, "url", "ord"), clusters, "ord")
+    kept = articles.join(chosen.drop("url"), "ord")
+    return export_columns(score_texts(kept, scorers), as_of)
 
 
 def daily_run(inputs: Inputs, scorers: Scorers, as_of, **fetch_options) -> DataFrame:

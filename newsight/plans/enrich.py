@@ -22,26 +22,42 @@ class Scorers:
     labels: ArrayScorer
 
 
-def enrich(
+def article_clusters(
     articles: DataFrame,
-    scorers: Scorers,
     vectors: DataFrame | None = None,
     id_col: str = "ord",
     threshold: float = settings.SIMILARITY_THRESHOLD,
 ) -> DataFrame:
-    """Add ``sentiment, cluster_id, iptc_topic, iptc_topic_fr`` and the label scores.
+    """``(id, cluster_id)`` of the clustered articles.
 
-    ``vectors`` is ``(id_col, embedding)`` for the clustered text; without it hashed
-    TF-IDF vectors of the eligible articles are used. Text scores are computed in
-    the row; only the narrow cluster table is joined.
+    ``vectors`` is ``(id_col, embedding)``; without it hashed TF-IDF vectors of the
+    articles with content are used.
     """
     if vectors is None:
         eligible = articles.filter(has_content(title=None)).select(id_col, "scraped_content")
         vectors = doc_vectors(eligible, id_col, "scraped_content")
-    clusters = cluster_articles(vectors, id_col, "embedding", threshold)
+    return cluster_articles(vectors, id_col, "embedding", threshold)
+
+
+def score_texts(articles: DataFrame, scorers: Scorers) -> DataFrame:
+    """Sentiment, topic and label scores, all computed in the row."""
     return (
-        with_cluster_id(articles, clusters, id_col)
-        .transform(with_sentiment, scorers.sentiment)
+        articles.transform(with_sentiment, scorers.sentiment)
         .transform(with_topic, scorers.topic)
         .transform(with_label_scores, scorers.labels)
     )
+
+
+def enrich(
+    articles: DataFrame,
+    scorers: Scorers,
+    vectors: DataFrame | None = None,
+    id_col: str = "ord",
+    threshold: float = settings.SIMILARITY_THRESHOLD,
+) -> DataFrame:
+    """Add ``sentiment, cluster_id, iptc_topic, iptc_topic_fr`` and the label scores.
+
+    Only the narrow cluster table is joined.
+    """
+    clusters = article_clusters(articles, vectors, id_col, threshold)
+    return score_texts(with_cluster_id(articles, clusters, id_col), scorers)

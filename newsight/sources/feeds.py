@@ -6,13 +6,16 @@ in the same projection and exploded once, so the payload table is read once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsight import settings
+from newsight.functions.binding import let
 from newsight.functions.dates import parse_date
 from newsight.functions.text import strip
-from newsight.functions.url import is_redirect, netloc
+from newsight.functions.url import contains_any, is_redirect, netloc
 from newsight.operators.filters import recent
 from newsight.schemas import ARTICLE_COLUMNS, RSS_XML, SITEMAP_XML
 
@@ -25,25 +28,31 @@ def _first(values: Column) -> Column:
     return F.try_element_at(values, F.lit(1))
 
 
-def _rss_items(payload: Column) -> tuple[Column, Column]:
-    parsed = F.from_xml(payload, F.lit(RSS_XML), _KEEP_TEXT)
-    items = F.transform(
-        parsed["channel"]["item"],
-        lambda i: F.struct(
-            _first(i["link"]).alias("url"),
-            _first(i["pubDate"]).alias("date"),
-            _first(i["title"]).alias("title"),
-        ),
-    )
-    return items, parsed["_corrupt_record"].isNotNull()
+def _unless_broken(parsed: Column, items: Callable[[Column], Column]) -> Column:
+    """Entries of a parsed document, null if it is malformed anywhere; parses once."""
+    return let(parsed, lambda doc: F.when(doc["_corrupt_record"].isNull(), items(doc)))
 
 
-def _sitemap_items(payload: Column) -> tuple[Column, Column]:
-    # prefixes are free to choose in XML, so names are matched without them
-    parsed = F.from_xml(payload, F.lit(SITEMAP_XML), {**_KEEP_TEXT, "ignoreNamespace": "true"})
-    has_news = F.lit(False)
-    for namespace in settings.NEWS_NAMESPACES:
-        has_news = has_news | F.contains(payload, F.lit(f'"{namespace}"'))
+def _rss_items(payload: Column) -> Column:
+    def items(doc: Column) -> Column:
+        return F.transform(
+            doc["channel"]["item"],
+            lambda i: F.struct(
+                _first(i["link"]).alias("url"),
+                _first(i["pubDate"]).alias("date"),
+                _first(i["title"]).alias("title"),
+            ),
+        )
+
+    return _unless_broken(F.from_xml(payload, F.lit(RSS_XML), _KEEP_TEXT), items)
+
+
+def _names_any(payload: Column, namespaces: list[str]) -> Column:
+    return contains_any(payload, [f'"{n}"' for n in namespaces])
+
+
+def _sitemap_items(payload: Column) -> Column:
+    has_news = _names_any(payload, settings.NEWS_NAMESPACES)
 
     def item(entry: Column) -> Column:
         news = F.when(has_news, _first(entry["news"]))
@@ -53,25 +62,17 @@ def _sitemap_items(payload: Column) -> tuple[Column, Column]:
             _first(news["title"]).alias("title"),
         )
 
-    is_sitemap = F.lit(False)
-    for namespace in settings.SITEMAP_NAMESPACES:
-        is_sitemap = is_sitemap | F.contains(payload, F.lit(f'"{namespace}"'))
-    items = F.when(is_sitemap, F.transform(parsed["url"], item))
-    return items, parsed["_corrupt_record"].isNotNull()
+    # prefixes are free to choose in XML, so names are matched without them
+    options = {**_KEEP_TEXT, "ignoreNamespace": "true"}
+    is_sitemap = _names_any(payload, settings.SITEMAP_NAMESPACES)
+    return _unless_broken(
+        F.from_xml(F.when(is_sitemap, payload), F.lit(SITEMAP_XML), options),
+        lambda doc: F.transform(doc["url"], item),
+    )
 
 
-def _parsed(feeds: DataFrame) -> DataFrame:
-    payload = F.col("payload")
-    is_rss = payload.rlike(_RSS_ROOT)
-    rss, rss_bad = _rss_items(F.when(is_rss, payload))
-    sitemap, sitemap_bad = _sitemap_items(F.when(~is_rss, payload))
-    return feeds.select(
-        "feed_url",
-        "source_ord",
-        is_rss.alias("is_rss"),
-        (payload.isNull() | rss_bad | sitemap_bad).alias("is_bad"),
-        F.coalesce(rss, sitemap).alias("items"),
-    )
+def _is_rss() -> Column:
+    return F.col("payload").rlike(_RSS_ROOT)
 
 
 def scan_feeds(feeds: DataFrame) -> DataFrame:
@@ -80,12 +81,13 @@ def scan_feeds(feeds: DataFrame) -> DataFrame:
     A malformed feed gives no rows and never fails the job; see ``feed_errors``.
     ``ord`` orders all rows: feed order first, then position in the payload.
     """
-    entries = (
-        _parsed(feeds)
-        .filter(~F.col("is_bad"))
-        .select("feed_url", "source_ord", "is_rss", F.posexplode("items").alias("item_ord", "item"))
-        .filter(F.length("item.url") > 0)
+    payload, is_rss = F.col("payload"), _is_rss()
+    items = F.coalesce(
+        _rss_items(F.when(is_rss, payload)), _sitemap_items(F.when(~is_rss, payload))
     )
+    entries = feeds.select(
+        "feed_url", "source_ord", is_rss.alias("is_rss"), F.posexplode(items).alias("item_ord", "item")
+    ).filter(F.length("item.url") > 0)
     source_ord = F.col("source_ord").cast("long")
     return entries.select(
         strip(F.col("item.url")).alias("url"),
@@ -102,7 +104,13 @@ def scan_feeds(feeds: DataFrame) -> DataFrame:
 
 def feed_errors(feeds: DataFrame) -> DataFrame:
     """Feeds that could not be parsed."""
-    return _parsed(feeds).filter("is_bad").select("feed_url", "source_ord")
+    payload = F.col("payload")
+
+    def broken(schema: str) -> Column:
+        return F.from_xml(payload, F.lit(schema))["_corrupt_record"].isNotNull()
+
+    bad = payload.isNull() | F.when(_is_rss(), broken(RSS_XML)).otherwise(broken(SITEMAP_XML))
+    return feeds.filter(bad).select("feed_url", "source_ord")
 
 
 def parse_feeds(feeds: DataFrame, as_of, hours: int = settings.RECENCY_HOURS) -> DataFrame:

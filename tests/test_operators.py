@@ -66,6 +66,12 @@ def test_keep_first_limits_each_task_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def test_drop_repeats_equals_keep_first(spark):
+    df = spark.range(300).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 70))
+    rows = lambda d: sorted((r.k, r.id) for r in d.collect())
+    assert rows(dedup.drop_repeats(df, "k", "id")) == rows(dedup.keep_first(df, ["k"], ["id"]))
+
+
 def test_row_numbers_are_consecutive(spark):
     df = spark.range(0, 500, numPartitions=7).select((F.col("id") * 7919 % 500).alias("k"), (F.col("id") % 3 == 0).alias("g"))
     got = sorted((r.k, r.n) for r in with_row_number(df, ["k"], name="n").collect())
