@@ -53,13 +53,14 @@ def _match(text: Column, pattern: str, count: int, body: Callable[..., Column])
     )
 
 
-def _int(text: Column) -> Column:
-    return F.when(text == "", F.lit(0)).otherwise(text.try_cast("int"))
+def _int(digits: Column) -> Column:
+    """A matched group of digits; an unmatched group counts as 0."""
+    return F.coalesce(digits.try_cast("int"), F.lit(0))
 
 
-def _lookup(table: dict, key: Column) -> Column:
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+def _lookup(table: dict[str, int], key: Column) -> Column:
+    entries = ", ".join(f"'{name}', {number}" for name, number in table.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def _month(name: Column) -> Column:
