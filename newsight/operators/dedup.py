@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsight.functions.text import is_blank, strip
 from newsight.functions.url import canonical_url
+from newsight.operators.components import connected_components
 from newsight.session import materialise, materialise_counted
 
 
@@ -38,25 +40,71 @@ def drop_repeats(df: DataFrame, key: str, order_by: str) -> DataFrame:
     return df.join(repeats.select(order_by), order_by, "left_anti").select(*df.columns)
 
 
-def greedy_two_key(df: DataFrame, first_key: str, second_key: str, order_by: str) -> DataFrame:
+def _scan_group(rows: pa.Table) -> pa.Table:
+    """The scan itself, for one conflict group of bounded size."""
+    seen_a, seen_b, kept = set(), set(), []
+    ordered = rows.sort_by("at")
+    for at, a, b in zip(*(ordered.column(c).to_pylist() for c in ("at", "a", "b")), strict=True):
+        if a not in seen_a and (b is None or b not in seen_b):
+            seen_a.add(a)
+            seen_b.add(b)
+            kept.append(at)
+    return pa.table({"at": pa.array(kept, pa.int64())})
+
+
+def _close_small_groups(pending: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Kept positions of all conflict groups of at most ``group_rows`` rows, and the other rows.
+
+    A conflict group is a component of rows connected by equal keys.
+    """
+    links = None
+    for key in ("a", "b"):
+        leads = pending.groupBy(key).agg(F.min("at").alias("lead"))
+        linked = pending.join(leads, key).select("at", "lead")
+        links = linked if links is None else links.unionByName(linked)
+    groups = connected_components(links, "at", "lead")
+    placed = pending.join(groups, F.col("at") == F.col("node"), "left").select(
+        "at", "a", "b", F.coalesce("component", "at").alias("group")
+    )
+    sizes = placed.groupBy("group").agg(F.count("*").alias("n"))
+    sized = materialise(placed.join(sizes, "group"), "dedup-groups")
+    small = sized.filter(F.col("n") <= group_rows).select("group", "at", "a", "b")
+    large = sized.filter(F.col("n") > group_rows).select("at", "a", "b")
+    return small.groupBy("group").applyInArrow(_scan_group, "at long"), large
+
+
+def greedy_two_key(
+    df: DataFrame,
+    first_key: str,
+    second_key: str,
+    order_by: str,
+    rounds: int = 6,
+    group_rows: int = 100_000,
+) -> DataFrame:
     """Rows kept by a scan in ``order_by`` order that keeps a row iff neither its
     first key nor its (non-null) second key occurs in a row kept before.
 
     Rejected rows do not mark their keys, so this differs from two chained
     single-key passes. It is the greedy matching of an edge list, which can be
     built in parallel (Blelloch, Fineman, Shun 2012): a row that comes first for
-    both of its keys is kept; rows sharing a key with a kept row go; repeat. The
-    number of rounds follows the longest chain of conflicts, not the data size.
-
-    Hot keys: rows equal in both keys are reduced to their first one before any
-    shuffle, the minima combine map-side, and kept rows carry each key once, so
-    the anti-joins are skewed on one side only, which adaptive execution splits.
+    both of its keys is kept; rows sharing a key with a kept row go; repeat. A
+    chain of conflicts costs one round per link, so after every ``rounds`` rounds
+    the conflict groups of at most ``group_rows`` rows are finished at once, each
+    in one task; larger ones go on in rounds.
+
+    ``order_by`` is a unique integer. Hot keys: rows equal in both keys are reduced
+    to their first one before any shuffle, the minima combine map-side, and kept
+    rows carry each key once, so the anti-joins are skewed on one side only,
+    which adaptive execution splits.
     """
-    order, one, two = F.col(order_by), F.col(first_key), F.col(second_key)
+    order, two = F.col(order_by).cast("long"), F.col(second_key)
+    # a missing first key is a value like any other; joins would not match a null
+    one = F.coalesce(F.concat(F.lit("="), F.col(first_key)), F.lit(""))
     pending, n_pending = materialise_counted(
-        df.groupBy(one.alias("a"), two.alias("b")).agg(F.min(order).alias("at")), "dedup-pending"
+        df.groupBy(one.alias("a"), two.alias("b")).agg(F.min(order).alias("at")).select("at", "a", "b"),
+        "dedup-pending",
     )
-    kept = None
+    kept, done = [], 0
     while n_pending:
         lead_a = pending.groupBy("a").agg(F.min(F.struct("at", "b")).alias("m")).select("m.*", "a")
         lead_b = pending.filter("b is not null").groupBy("b").agg(F.min("at").alias("at"))
@@ -64,16 +112,22 @@ def greedy_two_key(df: DataFrame, first_key: str, second_key: str, order_by: str
             F.col("b").isNull() | F.col("leads_b")
         )
         chosen = materialise(chosen.select("at", "a", "b"), "dedup-kept")
-        kept = chosen if kept is None else kept.unionByName(chosen)
-        pending, n_pending = materialise_counted(
-            pending.join(chosen.select("a"), "a", "left_anti").join(
-                chosen.select("b").filter("b is not null"), "b", "left_anti"
-            ),
-            "dedup-pending",
+        kept.append(chosen.select("at"))
+        left = pending.join(chosen.select("a"), "a", "left_anti").join(
+            chosen.select("b").filter("b is not null"), "b", "left_anti"
         )
-    if kept is None:
+        pending, n_pending = materialise_counted(left.select("at", "a", "b"), "dedup-pending")
+        done += 1
+        if n_pending and done % rounds == 0:
+            closed, pending = _close_small_groups(pending, group_rows)
+            kept.append(materialise(closed, "dedup-kept"))
+            n_pending = pending.count()
+    if not kept:
         return df
-    return df.join(kept.select(F.col("at").alias(order_by)), order_by, "left_semi").select(
+    positions = kept[0]
+    for more in kept[1:]:
+        positions = positions.unionByName(more)
+    return df.join(positions.withColumnRenamed("at", order_by), order_by, "left_semi").select(
         *df.columns
     )
 

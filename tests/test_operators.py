@@ -29,10 +29,10 @@ def greedy(spark, rows):
 
 def test_greedy_dedup_is_not_two_passes(spark):
     assert greedy(spark, [(1, "u1", "t1"), (2, "u2", "t1"), (3, "u2", "t2")]) == [1, 3]
-    assert greedy(spark, [(1, "u1", None), (2, "u2", None)]) == [1, 2]
+    assert greedy(spark, [(1, "u1", None), (2, "u2", None), (3, None, "t"), (4, None, None)]) == [1, 2, 3]
 
 
-@hyp(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@hyp(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("abcdef"), st.sampled_from(["1", "2", "3", "4", None])), min_size=1, max_size=40))
 def test_greedy_dedup_equals_scan(spark, pairs):
     rows = [(i, u, t) for i, (u, t) in enumerate(pairs)]
@@ -46,6 +46,18 @@ def test_greedy_dedup_with_hot_keys_and_a_chain(spark):
     assert greedy(spark, hot + chain) == scan(hot + chain)
 
 
+@pytest.mark.parametrize("group_rows", [100_000, 12])
+def test_long_chains_are_closed_at_once(spark, group_rows):
+    rng = random.Random(9)
+    chain = [(i, f"c{(i + 1) // 2}", f"d{i // 2}") for i in range(18)]
+    short = [(100 + i, f"s{(i + 1) // 2}", f"t{i // 2}" if i % 5 else None) for i in range(11)]
+    noise = [(200 + i, f"u{rng.randint(0, 40)}", f"w{rng.randint(0, 40)}") for i in range(80)]
+    rows = chain + short + noise
+    df = spark.createDataFrame(rows, "ord long, u string, t string")
+    kept = dedup.greedy_two_key(df, "u", "t", "ord", rounds=2, group_rows=group_rows)
+    assert sorted(r.ord for r in kept.collect()) == scan(rows)
+
+
 def test_dedup_articles_uses_canonical_url_and_stripped_title(spark):
     rows = [(1, "http://a/x?ref=1", " T "), (2, "http://a/x#top", "other"), (3, "http://b/", "T"), (4, "http://c/", " ")]
     df = spark.createDataFrame(rows, "ord long, url string, title string")
