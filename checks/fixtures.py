@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsight import settings
 from newsight.functions.url import canonical_url
 from newsight.operators.batches import assign_batches
+from newsight.operators.filters import has_content
 from newsight.operators.scoring import lexicon_labels, lexicon_polarity
 from newsight.plans.enrich import Scorers
 from newsight.session import materialise
@@ -306,6 +308,21 @@ def article_redirects(spark: SparkSession, sf_dir: str, articles: DataFrame) ->
     )
 
 
+def article_vectors(spark: SparkSession, sf_dir: str, articles: DataFrame) -> DataFrame:
+    """Embedding of the page behind each article that has content."""
+    search = F.col("source_ord") - settings.SEARCH_SOURCE_BASE
+    payload = F.when(search < 0, F.col("source_ord")).otherwise(
+        F.shiftright(search, settings.SEARCH_PAGE_BITS)
+    )
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("page_id"), "embedding")
+    return (
+        articles.filter(has_content(title=None))
+        .select("ord", (payload * PER_PAYLOAD + F.col("item_ord")).alias("page_id"))
+        .join(vectors, "page_id")
+        .select("ord", "embedding")
+    )
+
+
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page table as a fetcher would leave it: ten kinds of outcome by page number."""
     i = F.col("page_id")

@@ -173,23 +173,31 @@ def _category(score: str) -> str:
     )
 
 
-_LABELS = f"""scored AS (
+_LABEL_BATCHES = f"""scored AS (
   SELECT doc_id, quality, toxic, (quality * 60 + doc_id % 40)::INTEGER AS score FROM labels),
 batched AS (
   SELECT *, (n - 1) // {settings.RELEVANCE_BATCH_SIZE} AS batch_id,
     ((n - 1) % {settings.RELEVANCE_BATCH_SIZE})::INTEGER AS batch_index
-  FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM scored)),
+  FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM scored))"""
+
+
+def _replies(batched: str) -> str:
+    """Reply objects made for ``batched(doc_id, quality, toxic, score, batch_id, batch_index)``."""
+    return f"""
 items AS (
   SELECT batch_id, batch_index, 0 AS dup, doc_id, quality, toxic, score, '' AS extra
-  FROM batched WHERE doc_id % 13 <> 0
+  FROM {batched} WHERE doc_id % 13 <> 0
   UNION ALL
   SELECT batch_id, batch_index, 1, doc_id, quality, toxic, score + 1, 'again '
-  FROM batched WHERE doc_id % 17 = 0),
+  FROM {batched} WHERE doc_id % 17 = 0),
 usable AS (
   SELECT *, CASE WHEN batch_id % 4 = 3 THEN 2 ELSE 1 END AS attempt,
     row_number() OVER (PARTITION BY batch_id ORDER BY dup, batch_index) - 1 AS pos
   FROM items WHERE batch_id % 7 <> 6)"""
 
+
+_LABELS = f"{_LABEL_BATCHES}, {_replies('batched')}"
+
 _ITEM_JSON = f"""'{{"article_id":"' || batch_index || '","relevance_score":' ||
   CASE WHEN doc_id % 5 = 0 THEN '"' || score || '"' ELSE score::VARCHAR END ||
   ',"category":"' || ({_category("score")}) || '","reasoning":"' || extra || 'thème ' ||
@@ -200,6 +208,16 @@ _REASON = (
     "extra || 'thème ' || CASE WHEN doc_id % 3 = 0 THEN ' ' ELSE '' END || doc_id"
 )
 
+_LAST_REPLY = """last_one AS (
+  SELECT *, row_number() OVER (PARTITION BY batch_id, batch_index ORDER BY pos DESC) AS k FROM usable)"""
+_REPLY_JOIN = """LEFT JOIN last_one u
+  ON b.batch_id = u.batch_id AND b.batch_index = u.batch_index AND u.k = 1"""
+_RECONCILED = f"""coalesce(u.score, 0) AS relevance_score,
+  CASE WHEN u.score IS NULL THEN 'ERROR' ELSE {_category("u.score")} END AS category,
+  CASE WHEN u.score IS NULL THEN {_text(settings.UNMATCHED_REASONING)}
+    ELSE u.extra || 'thème ' || CASE WHEN u.doc_id % 3 = 0 THEN ' ' ELSE '' END || u.doc_id END AS reasoning,
+  CASE WHEN u.score IS NULL THEN '' ELSE 'q' || u.quality || ', t' || u.toxic END AS key_indicators"""
+
 # ---- pages -------------------------------------------------------------------
 
 _REDIRECTED = """redirected AS (
@@ -317,6 +335,10 @@ sentiments AS (
   FROM (SELECT id, count(*) FILTER (p > n) AS pos, count(*) FILTER (p < n) AS neg
         FROM polarity GROUP BY id))"""
 
+_ELIGIBLE = f"""eligible AS (
+  SELECT ord, {strip("title")} AS title, {strip("scraped_content")} AS content FROM articles
+  WHERE {strip("scraped_content")} <> '' AND {strip("title")} <> '')"""
+
 _ARTICLES = f"""articles AS (
   SELECT doc_id AS ord, 'https://' || source || '.example.org/' || (doc_id % 900) AS url,
     strftime({AS_OF} - to_minutes(doc_id % 1440), '%Y-%m-%d %H:%M:%S') AS date,
@@ -327,9 +349,7 @@ _ARTICLES = f"""articles AS (
     CASE WHEN doc_id % 23 = 22 THEN ' ' || chr(10) WHEN doc_id % 29 <> 28 THEN text END AS scraped_content,
     CASE WHEN doc_id % 4 = 3 THEN 'partial' ELSE 'success' END AS scrape_status
   FROM documents),
-eligible AS (
-  SELECT ord, {strip("title")} AS title, {strip("scraped_content")} AS content FROM articles
-  WHERE {strip("scraped_content")} <> '' AND {strip("title")} <> '')"""
+{_ELIGIBLE}"""
 
 
 def _share(w: str, vocabulary) -> str:
@@ -386,9 +406,7 @@ numbered_clusters AS (SELECT node, dense_rank() OVER (ORDER BY low) AS cluster_i
 
 _VECTORS = "vectors AS (SELECT vec_id AS id, embedding AS vec FROM embeddings)"
 
-_ENRICHED = f"""{_ARTICLES},
-{_VECTORS},
-{_components("vectors", X.SIMILARITY)},
+_ENRICHMENT = f"""{_components("vectors", X.SIMILARITY)},
 phrase_rows AS (
   SELECT ord AS id, unnest({phrases("scraped_content")}) AS phrase FROM articles
   WHERE scrape_status = 'success' AND scraped_content IS NOT NULL),
@@ -404,6 +422,9 @@ enriched AS (
     LEFT JOIN topics t ON a.ord = t.ord LEFT JOIN label_scores l ON a.ord = l.ord)"""
 
 
+_ENRICHED = f"{_ARTICLES}, {_VECTORS}, {_ENRICHMENT}"
+
+
 def _analysis(key: str) -> str:
     return f"""CASE WHEN {key} % 11 <> 10 THEN 'Résumé ' || {key} END AS summary,
     CASE WHEN {key} % 11 <> 10 THEN CASE {key} % 2 WHEN 0 THEN 'oui' ELSE 'non' END END AS quebec,
@@ -412,8 +433,60 @@ def _analysis(key: str) -> str:
     CASE WHEN {key} % 11 <> 10 THEN CASE WHEN {key} % 4 = 1 THEN '1' ELSE '0' END END AS "Flag\""""
 
 
-_ANALYSED = f"""{_ENRICHED},
-analysed AS (SELECT e.*, {_analysis("ord")} FROM enriched e)"""
+_ANALYSIS = f"analysed AS (SELECT e.*, {_analysis('ord')} FROM enriched e)"
+_ANALYSED = f"{_ENRICHED}, {_ANALYSIS}"
+
+_EXPORTED = f"""firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord) AS k FROM analysed
+  WHERE "Flag" IS NULL OR "Flag" <> '1')
+SELECT url, title, source, date, relevance_score::BIGINT AS relevance_score, category, reasoning,
+  key_indicators, scraped_content, scrape_status, sentiment, cluster_id, iptc_topic, iptc_topic_fr,
+  "Attrait", "Hebergement", "Restaurant", quebec, perception, summary, {AS_OF} AS processed_timestamp
+FROM firsts WHERE k = 1"""
+
+# the whole run: collect, batches, replies, threshold, redirects, pages, enrichment, analysis
+_DAILY = f"""{_COLLECTED},
+placed AS (
+  SELECT *, (n - 1) // {settings.RELEVANCE_BATCH_SIZE} AS batch_id,
+    ((n - 1) % {settings.RELEVANCE_BATCH_SIZE})::INTEGER AS batch_index,
+    CASE WHEN source_ord < {settings.SEARCH_SOURCE_BASE} THEN source_ord
+      ELSE (source_ord - {settings.SEARCH_SOURCE_BASE}) >> {settings.SEARCH_PAGE_BITS} END
+      * {X.PER_PAYLOAD} + item_ord AS page_number
+  FROM (SELECT *, row_number() OVER (ORDER BY ord) AS n FROM collected)),
+relabelled AS (
+  SELECT ord AS doc_id, 1 AS quality, 0 AS toxic, (ord % 40 + 60)::INTEGER AS score, batch_id, batch_index
+  FROM placed),
+{_replies("relabelled")},
+{_LAST_REPLY},
+relevant AS (
+  SELECT * FROM (SELECT b.*, {_RECONCILED} FROM placed b {_REPLY_JOIN})
+  WHERE relevance_score > {settings.RELEVANCE_THRESHOLD}),
+targets AS (
+  SELECT DISTINCT r.url, p.url AS target
+  FROM (SELECT url, try_cast(regexp_extract(url, 'articles/(\\d+)$', 1) AS BIGINT) AS page_id FROM placed) r
+    JOIN pages p ON r.page_id = p.page_id
+  WHERE r.page_id % 24 <> 23),
+wanted AS (
+  SELECT DISTINCT r.url, CASE WHEN {redirect("r.url")} THEN t.target ELSE r.url END AS fetch_url
+  FROM relevant r LEFT JOIN targets t ON r.url = t.url),
+{_FETCHED},
+joined AS (
+  SELECT w.url, w.fetch_url, f.html, f.http_status, f.error, f.final_url, f.url IS NOT NULL AS found
+  FROM wanted w LEFT JOIN unique_fetched f ON w.fetch_url = f.url),
+{_outcome("joined")},
+content AS (
+  SELECT * FROM outcome
+  WHERE found OR {blocked("url")} OR fetch_url IS NULL OR {blocked("fetch_url")}),
+articles AS (
+  SELECT r.* EXCLUDE (url), coalesce(c.resolved_url, r.url) AS url, c.content AS scraped_content,
+    c.status AS scrape_status
+  FROM relevant r LEFT JOIN content c ON r.url = c.url),
+{_ELIGIBLE},
+vectors AS (
+  SELECT a.ord AS id, e.embedding AS vec FROM articles a JOIN embeddings e ON a.page_number = e.vec_id
+  WHERE {strip("a.scraped_content")} <> ''),
+{_ENRICHMENT},
+{_ANALYSIS}"""
 
 
 def _pick(index: str, values) -> str:
@@ -486,16 +559,8 @@ ORACLES = {
         FROM usable""",
     "q_reply_attempts": f"""WITH {_LABELS} SELECT batch_id, attempt, count(*)::INTEGER AS n_results
         FROM usable GROUP BY batch_id, attempt""",
-    "q_reply_reconcile": f"""WITH {_LABELS},
-        last_one AS (SELECT *, row_number() OVER (PARTITION BY batch_id, batch_index ORDER BY pos DESC) AS k
-          FROM usable)
-        SELECT b.doc_id, b.batch_id, b.batch_index, coalesce(u.score, 0) AS relevance_score,
-          CASE WHEN u.score IS NULL THEN 'ERROR' ELSE {_category("u.score")} END AS category,
-          CASE WHEN u.score IS NULL THEN {_text(settings.UNMATCHED_REASONING)}
-            ELSE u.extra || 'thème ' || CASE WHEN u.doc_id % 3 = 0 THEN ' ' ELSE '' END || u.doc_id END AS reasoning,
-          CASE WHEN u.score IS NULL THEN '' ELSE 'q' || u.quality || ', t' || u.toxic END AS key_indicators
-        FROM batched b LEFT JOIN last_one u
-          ON b.batch_id = u.batch_id AND b.batch_index = u.batch_index AND u.k = 1""",
+    "q_reply_reconcile": f"""WITH {_LABELS}, {_LAST_REPLY}
+        SELECT b.doc_id, b.batch_id, b.batch_index, {_RECONCILED} FROM batched b {_REPLY_JOIN}""",
     "q_threshold": f"""WITH {_LABELS} SELECT doc_id, score FROM scored
         WHERE score > {settings.RELEVANCE_THRESHOLD}""",
     "q_redirects": f"WITH {_RESOLVED} SELECT page_id, url, fetch_url FROM resolved",
@@ -574,13 +639,8 @@ ORACLES = {
         count("Flag") AS analysed, count(*) FILTER ("Flag" IS NULL) AS failed,
         count(*) FILTER ("Flag" = '1') AS dropped, count(url) - count(DISTINCT url) AS duplicate_urls
         FROM analysed""",
-    "q_export": f"""WITH RECURSIVE {_ANALYSED},
-        firsts AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord) AS k FROM analysed
-          WHERE "Flag" IS NULL OR "Flag" <> '1')
-        SELECT url, title, source, date, relevance_score::BIGINT AS relevance_score, category, reasoning,
-          key_indicators, scraped_content, scrape_status, sentiment, cluster_id, iptc_topic, iptc_topic_fr,
-          "Attrait", "Hebergement", "Restaurant", quebec, perception, summary, {AS_OF} AS processed_timestamp
-        FROM firsts WHERE k = 1""",
+    "q_export": f"WITH RECURSIVE {_ANALYSED}, {_EXPORTED}",
+    "q_daily": f"WITH RECURSIVE {_DAILY}, {_EXPORTED}",
     "q_append_new": f"""WITH {_ARTICLES},
         firsts AS (SELECT ord, url, relevance_score, row_number() OVER (PARTITION BY url ORDER BY ord) AS k
           FROM articles)

@@ -536,5 +536,7 @@ def daily(spark, sf):
         X.unique_pages(X.fetched_pages(spark, sf)),
         blocked=X.BLOCKED,
     )
-    replies_in = X.article_replies(articles.select("ord"), "ord")
-    return plan.finish(articles, replies_in, X.SCORERS, X.AS_OF)
+    return plan.finish(
+        articles, X.article_replies(articles.select("ord"), "ord"), X.SCORERS, X.AS_OF,
+        X.article_vectors(spark, sf, articles), X.SIMILARITY,
+    )

@@ -80,7 +80,7 @@ def finish(
     """
     clusters = article_clusters(articles, vectors, "ord", similarity)
     keys = articles.select("ord", "url").filter("url is not null")
-    chosen = unflagged(attach_analysis(keys, article_replies, "ord"))
+    chosen = materialise(unflagged(attach_analysis(keys, article_replies, "ord")), "chosen")
     chosen = with_cluster_id(drop_repeats(chosen, "url", "ord"), clusters, "ord")
     kept = articles.join(chosen.drop("url"), "ord")
     return export_columns(score_texts(kept, scorers), as_of)
