@@ -561,6 +561,11 @@ ORACLES = {
         FROM usable GROUP BY batch_id, attempt""",
     "q_reply_reconcile": f"""WITH {_LABELS}, {_LAST_REPLY}
         SELECT b.doc_id, b.batch_id, b.batch_index, {_RECONCILED} FROM batched b {_REPLY_JOIN}""",
+    "q_reply_counts": f"""WITH {_LABELS},
+        received AS (SELECT batch_id, count(*) AS n FROM usable GROUP BY batch_id)
+        SELECT b.batch_id, count(*) AS n_articles, coalesce(max(r.n), 0) AS n_results,
+          coalesce(max(r.n), 0) = count(*) AS is_complete
+        FROM batched b LEFT JOIN received r ON b.batch_id = r.batch_id GROUP BY b.batch_id""",
     "q_threshold": f"""WITH {_LABELS} SELECT doc_id, score FROM scored
         WHERE score > {settings.RELEVANCE_THRESHOLD}""",
     "q_redirects": f"WITH {_RESOLVED} SELECT page_id, url, fetch_url FROM resolved",
@@ -663,19 +668,20 @@ def _prompts(ascii_titles: bool) -> str:
         FROM lines GROUP BY batch_id"""
 
 
-def _article_prompts() -> str:
+def _article_prompts(key: str, title: str, content: str, source: str) -> str:
+    """``title`` and ``content`` are stripped expressions over ``source``."""
     long, short = settings.SUMMARY_CONTENT_CHARS, settings.SUMMARY_RETRY_CHARS
     intro, middle, outro = (
         settings.ARTICLE_PROMPT.replace("{title}", "\0").replace("{content}", "\0").split("\0")
     )
 
-    def prompt(content: str) -> str:
-        return f"{_text(intro)} || {strip(_TITLE)} || {_text(middle)} || {content} || {_text(outro)}"
+    def prompt(body: str) -> str:
+        return f"{_text(intro)} || t || {_text(middle)} || {body} || {_text(outro)}"
 
-    return f"""SELECT doc_id, {prompt("c")} AS prompt,
+    return f"""SELECT {key}, {prompt("c")} AS prompt,
           {prompt(f"CASE WHEN length(c) > {short} THEN substr(c, 1, {short}) || '...' ELSE c END")} AS retry_prompt
-        FROM (SELECT doc_id, text, CASE WHEN length(s) > {long} THEN substr(s, 1, {long}) || '...' ELSE s END AS c
-          FROM (SELECT doc_id, text, {strip("text")} AS s FROM documents))"""
+        FROM (SELECT {key}, t, CASE WHEN length(s) > {long} THEN substr(s, 1, {long}) || '...' ELSE s END AS c
+          FROM (SELECT {key}, {title} AS t, {content} AS s FROM {source}))"""
 
 
 def _ranked() -> str:
@@ -692,5 +698,8 @@ def _ranked() -> str:
 
 ORACLES["q_prompt_batches"] = _prompts(False)
 ORACLES["q_prompt_batches_ascii"] = _prompts(True)
-ORACLES["q_truncate"] = _article_prompts()
+ORACLES["q_truncate"] = _article_prompts("doc_id", strip(_TITLE), strip("text"), "documents")
+ORACLES["q_article_prompts"] = (
+    f"WITH {_ARTICLES} {_article_prompts('ord', 'title', 'content', 'eligible')}"
+)
 ORACLES["q_label_ranked"] = _ranked()

@@ -254,6 +254,13 @@ def reply_attempts(spark, sf):
     )
 
 
+@query
+def reply_counts(spark, sf):
+    batched = X.label_batches(spark, sf)
+    parsed = batches.parse_batch_replies(X.batch_replies(batched))
+    return batches.reply_counts(batched, batches.first_valid(parsed, "batch_id", "results"))
+
+
 def _reconciled(spark, sf):
     batched = X.label_batches(spark, sf)
     parsed = batches.parse_batch_replies(X.batch_replies(batched))
@@ -365,6 +372,11 @@ def truncate(spark, sf):
     )
 
 
+@query
+def article_prompts(spark, sf):
+    return batches.article_prompts(X.document_articles(spark, sf))
+
+
 @query
 def sentiment(spark, sf):
     docs = X.table(spark, sf, "documents")

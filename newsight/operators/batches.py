@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from newsight import settings
 from newsight.functions import replies as R
-from newsight.functions.text import ascii_squeeze, fill
+from newsight.functions.text import article_prompt, ascii_squeeze, fill, retry_article_prompt
+from newsight.operators.filters import has_content
 from newsight.operators.numbering import with_row_number
 
 
@@ -67,6 +68,18 @@ def first_valid(parsed: DataFrame, key: str, value: str, attempts: int = setting
     )
 
 
+def reply_counts(batched: DataFrame, results: DataFrame) -> DataFrame:
+    """Articles sent and objects received per batch; ``is_complete`` if they agree."""
+    sent = batched.groupBy("batch_id").agg(F.count("*").alias("n_articles"))
+    received = F.coalesce(F.size("results"), F.lit(0)).cast("long")
+    return sent.join(results.select("batch_id", "results"), "batch_id", "left").select(
+        "batch_id",
+        "n_articles",
+        received.alias("n_results"),
+        (received == F.col("n_articles")).alias("is_complete"),
+    )
+
+
 def _reply_for(index: Column, results: Column) -> Column:
     """Last object of the reply that carries this row's id."""
     return F.try_element_at(
@@ -100,6 +113,16 @@ def reconcile(batched: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+def article_prompts(articles: DataFrame, key: str = "ord") -> DataFrame:
+    """Prompts for articles with title and content, and the shorter form for a retry."""
+    title, content = F.col("title"), F.col("scraped_content")
+    return articles.filter(has_content()).select(
+        key,
+        article_prompt(title, content).alias("prompt"),
+        retry_article_prompt(title, content).alias("retry_prompt"),
+    )
+
+
 def parse_article_replies(replies: DataFrame, key: str = "article_id") -> DataFrame:
     """``(article_id, attempt, raw)`` -> normalised analysis (null if rejected) and the reasons."""
     parsed = replies.select(

@@ -27,7 +27,8 @@ def doc_vectors(
     """``(id, embedding)``: unit TF-IDF vectors of hashed terms over whole texts.
 
     Texts are read once: the counts are stored, then weighted. Fitting aggregates
-    one counter per feature; nothing is shuffled per term.
+    one counter per feature; nothing is shuffled per term. A term that every text
+    contains weighs nothing, and a text of such terms only has a zero vector.
     """
     counter = Pipeline(stages=_terms(text_col, features)).fit(docs.limit(0))
     counts = materialise(counter.transform(docs.select(id_col, text_col)).select(id_col, "_tf"), "terms")

@@ -40,6 +40,8 @@ _PAIRINGS = {
     4: (_TIGHT, _FAR),
 }
 _SLACK = 1e-9
+# candidates sampled per pivot wanted
+_OVERSAMPLE = 4
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -50,6 +52,24 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _spread(sample: list, wanted: int, threshold: float) -> tuple[list, np.ndarray]:
+    """Up to ``wanted`` sampled rows, none within half the threshold angle of another.
+
+    Otherwise a dense group would hold many pivots, and each of its rows would have
+    to visit the cells of all of them.
+    """
+    rows = np.array([row.vec for row in sample], dtype=np.float64)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    half_angle = math.cos(math.acos(threshold) / 2.0)
+    picked = []
+    for i in range(len(rows)):
+        if len(picked) == wanted:
+            break
+        if not picked or (rows[picked] @ rows[i]).max() < half_angle:
+            picked.append(i)
+    return [sample[i] for i in picked], rows[picked]
+
+
 def _assigner(pivots: np.ndarray, threshold: float, collapse: bool):
     eps = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
     apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
@@ -235,12 +255,11 @@ def _similar(
         usable.join(copy_links.select(F.col("dst").alias("id")), "id", "left_anti"), "vectors"
     )
     wanted = min(max_pivots, math.ceil(total / rows_per_cell))
-    # at most max_pivots vectors reach the driver
-    chosen = firsts.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
-    if not chosen:
+    # a bounded sample reaches the driver
+    sample = firsts.orderBy(F.xxhash64("id"), "id").limit(_OVERSAMPLE * wanted).collect()
+    if not sample:
         return copy_links
-    pivots = np.array([row.vec for row in chosen], dtype=np.float64)
-    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+    chosen, pivots = _spread(sample, wanted, threshold)
 
     placed = materialise(
         firsts.select("id", "vec").mapInArrow(

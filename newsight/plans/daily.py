@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 from newsight import settings
 from newsight.operators.batches import (
+    article_prompts,
     assign_batches,
     attach_analysis,
     batch_prompts,
@@ -64,6 +65,11 @@ def fetch_content(scored: DataFrame, redirects: DataFrame, pages: DataFrame, **o
     return materialise(join_content(relevant, content), "content")
 
 
+def analysis_prompts(articles: DataFrame) -> DataFrame:
+    """What leaves for the summary model, one prompt per article with title and content."""
+    return article_prompts(articles, "ord")
+
+
 def finish(
     articles: DataFrame,
     article_replies: DataFrame,

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,23 @@ def test_pairs_and_clusters_equal_brute_force(spark, dims, n, threshold):
     assert [r.cluster_id for r in out.collect()] == want
 
 
+def test_a_dense_group_gets_few_pivots_and_stays_in_its_cell(spark):
+    from pyspark.sql import Row
+
+    from newsight.operators.similarity import _assigner, _spread
+
+    v = workload(16, 300, 2)[:-1]
+    sample = [Row(id=i, vec=[float(x) for x in row]) for i, row in enumerate(v)]
+    chosen, pivots = _spread(sample, 300, 0.85)
+    dense = {0} | set(range(150, 250))
+    assert sum(row.id in dense for row in chosen) == 1 and len(chosen) > 150
+    batch = pa.RecordBatch.from_pylist([{"id": r.id, "vec": r.vec} for r in sample if r.id in dense])
+    batch = batch.set_column(1, "vec", batch.column("vec").cast(pa.list_(pa.float32())))
+    out = next(_assigner(pivots, 0.85, True)(iter([batch])))
+    homes = {c for c, role in zip(out["cell"].to_pylist(), out["role"].to_pylist(), strict=True) if role < 2}
+    assert len(homes) == 1
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], "article_id long, embedding array<float>")
     assert cluster_articles(empty).count() == 0
