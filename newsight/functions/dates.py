@@ -54,8 +54,11 @@ def _match(text: Column, pattern: str, count: int, body: Callable[..., Column])
 
 
 def _int(digits: Column) -> Column:
-    """A matched group of digits; an unmatched group counts as 0."""
-    return F.coalesce(digits.try_cast("int"), F.lit(0))
+    """A matched group of digits; an unmatched group counts as 0.
+
+    Empty text never reaches the cast: a failing cast costs an exception per row.
+    """
+    return F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("int"))
 
 
 def _lookup(table: dict[str, int], key: Column) -> Column:
