@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +26,15 @@ def scratch_root(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="newsight-scratch-")
-        spark.conf.set(_SETTING, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/newsight-{spark.sparkContext.applicationId}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="newsight-scratch-")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to shared storage and return the stored copy."""
     spark = df.sparkSession

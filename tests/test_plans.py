@@ -1,6 +1,10 @@
 import json
+import tempfile
 from datetime import datetime
 
+import pytest
+
+from newsight import session
 from newsight.operators.scoring import lexicon_labels, lexicon_polarity
 from newsight.plans import daily
 from newsight.plans.enrich import Scorers
@@ -60,11 +64,14 @@ def test_empty_day(spark):
     assert daily.batched_articles(feeds, search, AS_OF).count() == 0
 
 
-def test_scratch_lives_under_the_checkpoint_folder(spark):
+@pytest.mark.parametrize("setting", ["spark.checkpoint.dir", "spark.newsight.unset"])
+def test_scratch_lives_under_the_checkpoint_folder(spark, monkeypatch, setting):
+    monkeypatch.setattr(session, "_SETTING", setting)
     stored = materialise(spark.range(3), "t")
     assert stored.count() == 3
     root = scratch_root(spark)
-    assert root.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert root.startswith(spark.conf.get(setting, None) or tempfile.gettempdir())
+    assert root == scratch_root(spark)
     assert all(root.split(":")[-1] in f for f in stored.inputFiles())
     clear_scratch(spark)
     assert spark.range(2).transform(lambda d: materialise(d, "again")).count() == 2
