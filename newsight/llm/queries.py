@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsight.llm import quality, toxicity
+from newsight.llm import minhash, quality, toxicity, url_filter
 from newsight.llm.common import held_out, table
 
 
@@ -19,6 +19,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -29,8 +33,33 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org/"),
+    url_filter.Rule("block", "example.org/es/"),
+    url_filter.Rule("block", "example.org/en/1"),
+    url_filter.Rule("allow", "com/fr/"),
+    url_filter.Rule("block", "com/de/"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URLs that a rule decides are the labelled ones for the trees."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    url = F.col("url")
+    decided = url_filter.rule_of(url_filter.host_of(url), url_filter.path_of(url), URL_RULES)
+    labelled = pages.select(
+        "url", F.when(decided.isNotNull(), decided["verdict"] == "block").alias("block")
+    )
+    model = url_filter.fit(labelled)
+    return url_filter.judge(pages, URL_RULES, model).select(
+        "page_id", "host", "path", "rule", "verdict", "block_score"
+    )
+
+
 QUERIES = {
     "op4_toxicity": op4_toxicity,
+    "op6_minhash": op6_minhash,
     "op8_quality": op8_quality,
+    "op9_url_filter": op9_url_filter,
 }
 ORACLES: dict[str, str] = {}

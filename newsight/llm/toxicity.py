@@ -101,8 +101,10 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, toxic = text_bytes(batch.column("text")), batch.column("toxic").to_numpy()
         for lo, hi in slices(texts):
             words, n = split_all(texts[lo:hi], plain_words)
-            slot = token_slots(words)
-            of = np.repeat(toxic[lo:hi], n)
+            row = np.repeat(np.arange(hi - lo), n)
+            # once for each document: a word repeated in one text is one observation
+            once = np.unique(row << SLOT_BITS | token_slots(words))
+            of, slot = toxic[lo:hi][once >> SLOT_BITS], once & (1 << SLOT_BITS) - 1
             for label in (0, 1):
                 counts[label] += np.bincount(slot[of == label], minlength=1 << SLOT_BITS)
     used = np.nonzero(counts.any(axis=0))[0]
