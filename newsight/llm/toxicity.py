@@ -166,7 +166,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
         .agg(F.max(F.col(label).cast("int")).alias(label))
     )
     fit = keyed_text(docs).filter(~held_out(F.col("doc_id")))
-    return fit.join(known.filter(~held_out(F.col("doc_id"))), "doc_id").select("text", label)
+    known = known.filter(~held_out(F.col("doc_id")))
+    # labels grow with the corpus: never rely on broadcasting them
+    return fit.join(known.hint("merge"), "doc_id").select("text", label)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
