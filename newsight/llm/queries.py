@@ -5,10 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsight.llm import minhash, quality, toxicity, url_filter
+from newsight.llm import decontam, minhash, packing, quality, toxicity, url_filter
 from newsight.llm.common import held_out, table
 
 
+def tokenizer_files() -> dict[str, str]:
+    """Where the installed public vocabulary stands; it is never copied."""
+    import public_tokenizers
+
+    return {
+        "tokenizer_path": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), **tokenizer_files(), capacity=2048, end_id=0
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -57,7 +80,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
