@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from newsight.session import materialise, scratch_root
 
-# bytes of text handled at once inside a task; bounds its memory, not the result
-SLICE_BYTES = 4_000_000
+# bytes of text handled at once inside a task, and sent to a worker at once; they bound its
+# memory, not the result
+SLICE_BYTES = 1_000_000
+BATCH_BYTES = 4_000_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 # share of labelled rows kept away from every fit: crc32 of the id, modulo and remainder
 FOLDS, HELD_OUT_FOLD = 4, 2
 
@@ -46,11 +49,22 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of bytes in an Arrow batch, unless it is lower already.
+
+    The limit in records alone lets long texts fill a worker's memory.
+    """
+    limit = spark.conf.get(_BATCH_SETTING)
+    if not limit.isdigit() or int(limit) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` and ``text``: other columns, whatever their names, play no part.
 
     A null text is an empty text.
     """
+    bounded_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
