@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsight.llm import decontam, minhash, packing, quality, toxicity, url_filter
+from newsight.llm import decontam, fingerprint, minhash, packing, quality, toxicity, url_filter
 from newsight.llm.common import held_out, table
 
 
@@ -46,6 +46,13 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+        "near_next", "near_id", "near_likeness",
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -84,6 +91,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
+    "op7_fingerprint": op7_fingerprint,
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
 }
