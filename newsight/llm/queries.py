@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsight.llm import decontam, fingerprint, minhash, packing, quality, toxicity, url_filter
+from newsight.llm import decontam, fingerprint, minhash, packing, pii, quality, toxicity, url_filter
 from newsight.llm.common import held_out, table
 
 
@@ -32,6 +32,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.joined_spans(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -88,6 +98,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_minhash": op6_minhash,
