@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsight.llm import decontam, fingerprint, minhash, packing, pii, quality, toxicity, url_filter
+from newsight.llm import decontam, fingerprint, minhash, packing, pii, quality, substring, toxicity, url_filter
 from newsight.llm.common import held_out, table
 
 
@@ -32,6 +32,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed",
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents"))
     return found.select(
@@ -98,6 +105,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_substring": op2_substring,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
