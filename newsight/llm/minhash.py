@@ -97,7 +97,7 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
     """Edges ``src, dst`` that connect all sets sharing at least MATCHES values (runs jobs)."""
     postings = classes.select("node", F.posexplode("signature").alias("c", "v"))
     lists = postings.groupBy("c", "v").agg(F.count("*").alias("n")).filter("n > 1")
-    live = stored(postings.join(lists, ["c", "v"]), "postings")
+    live = stored(postings.join(lists.hint("shuffle_hash"), ["c", "v"]), "postings")
     cold, hot = live.filter(F.col("n") <= COLD), live.filter(F.col("n") > COLD)
 
     # lists of at most COLD members; equal ones are one row with their number
@@ -195,10 +195,11 @@ def confirmed_links(docs: DataFrame, families: DataFrame, n: int, percent: int)
     spread = F.ceil(F.col("size") / CHUNK).cast("int")
     chunk = F.pmod(F.xxhash64("node"), spread).cast("int")
     blocks = (
-        families.join(sizes, "family")
+        families.join(sizes.hint("shuffle_hash"), "family")
         .select("doc_id", "node", "family", chunk.alias("chunk"), spread.alias("n_chunks"))
     )
-    texts = keyed_text(docs).join(blocks, "doc_id").select(
+    # the members grow with the corpus: never rely on broadcasting them
+    texts = keyed_text(docs).join(blocks.hint("shuffle_hash"), "doc_id").select(
         "node", "family", "chunk", "text",
         F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("other"),
     ).select(
@@ -272,7 +273,7 @@ def near_duplicates(
     edges = candidate_edges(classes)
     free_shuffles(spark)
     families = connected_components(edges).select("node", F.col("component").alias("family"))
-    members = stored(classes.select("doc_id", "node").join(families, "node"), "families")
+    members = stored(classes.select("doc_id", "node").join(families.hint("shuffle_hash"), "node"), "families")
     free_shuffles(spark)
     links = stored(confirmed_links(own, members, shingle_words, percent), "near-links")
     free_shuffles(spark)
@@ -288,7 +289,7 @@ def near_duplicates(
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
     )
-    return base.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
+    return base.select("doc_id", "n_shingles", "node").join(of_node.hint("shuffle_hash"), "node", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
