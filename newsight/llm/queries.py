@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsight.llm import decontam, fingerprint, minhash, packing, pii, quality, substring, toxicity, url_filter
+from newsight.llm import decontam, fingerprint, minhash, packing, pii, quality, substring, suffix, toxicity, url_filter
 from newsight.llm.common import held_out, table
 
 
@@ -103,6 +103,15 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = lambda s: s["last"] - s["first"] + 1
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + length(s)).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring": op2_substring,
@@ -113,5 +122,6 @@ QUERIES = {
     "op7_fingerprint": op7_fingerprint,
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
+    "op10_suffix": op10_suffix,
 }
 ORACLES: dict[str, str] = {}
