@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsight.llm.common import (
-    hash_words, keyed_text, mix, plain_words, slices, split_all, text_bytes,
+    bounded_batches, hash_words, keyed_text, mix, plain_words, slices, split_all, text_bytes,
 )
 
 BLOCK_BYTES = 4_000_000
@@ -150,70 +150,61 @@ def contaminated(
     give a row each. Other columns are not read.
     """
     own = keyed_text(docs, id_col, text_col)
-    spark = docs.sparkSession
-    found, block, held = [], [], 0
-    rows = items.select(
-        F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")
-    ).filter("text IS NOT NULL")
-    for row in rows.toLocalIterator():  # one partition of the items at a time
-        block.append((row["item_id"], row["text"].encode()))
-        held += len(block[-1][1])
-        if held >= BLOCK_BYTES:
-            found.append(_search(own, block, threshold))
-            block, held = [], 0
-    if block:
-        found.append(_search(own, block, threshold))
-    out = spark.createDataFrame([], _HITS)
+    found = [_search(own, block, threshold) for block in _blocks(items, item_col, item_text)]
+    out = docs.sparkSession.createDataFrame([], _HITS)
     for part in found:
         out = out.unionByName(part)
     return out
 
 
-def _search(docs: DataFrame, block: list[tuple[int, bytes]], threshold: float) -> DataFrame:
-    ids = [i for i, _ in block]
+def _prepared(docs: DataFrame, block: list[tuple[int, bytes]]) -> tuple:
+    """Item ids, words, and seeds of a block; counts its words in all documents (runs a job)."""
     items = [hash_words(plain_words(t)) for _, t in block]
     words = np.unique(np.concatenate([*items, np.zeros(0, np.uint64)]))
     counts, total = _word_counts(docs, words)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (ids, items, *seeds_of(items, words, counts, total))
-    )
+    return [i for i, _ in block], items, *seeds_of(items, words, counts, total)
+
+
+def aligned(texts: list[bytes], prepared: tuple, threshold: float) -> Iterator[tuple]:
+    """(text, item id, score, first word, last word) of every text and item that align."""
+    ids, items, seed, length, item_of, place_in = prepared
+    for lo, hi in slices(texts):
+        split, n = split_all(texts[lo:hi], plain_words)
+        own, ends = hash_words(split), np.cumsum(n)
+        near: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        places, rows = seed_hits(own, ends, seed, length)
+        docs_of = np.searchsorted(ends, places, "right")
+        for p, r, d in zip(places, rows, docs_of, strict=True):
+            k, size = int(item_of[r]), len(items[item_of[r]])
+            begin, slack = p - int(place_in[r]), size // 4 + 4
+            first, end = int(ends[d] - n[d]), int(ends[d])
+            near[int(d), k].append((max(first, begin - slack), min(end, begin + size + slack)))
+        for (d, k), windows in near.items():
+            windows.sort()
+            merged = [list(windows[0])]
+            for a, b in windows[1:]:
+                if a <= merged[-1][1]:
+                    merged[-1][1] = max(b, merged[-1][1])
+                else:
+                    merged.append([a, b])
+            best = max(
+                (s, -(a + i), a + j)
+                for a, b in merged for s, i, j in [align(items[k], own[a:b])]
+            )
+            share = best[0] / (MATCH * len(items[k]))
+            if share >= threshold:
+                first = int(ends[d] - n[d])
+                yield lo + d, ids[k], share, -best[1] - first, best[2] - first
+
+
+def _search(docs: DataFrame, block: list[tuple[int, bytes]], threshold: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(_prepared(docs, block))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, items, seed, length, item_of, place_in = shared.value
         for batch in batches:
-            texts = text_bytes(batch.column("text"))
-            doc_ids = batch.column("doc_id").to_pylist()
-            out = []
-            for lo, hi in slices(texts):
-                split, n = split_all(texts[lo:hi], plain_words)
-                own, ends = hash_words(split), np.cumsum(n)
-                near: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-                places, rows = seed_hits(own, ends, seed, length)
-                docs_of = np.searchsorted(ends, places, "right")
-                for p, r, d in zip(places, rows, docs_of, strict=True):
-                    k, size = int(item_of[r]), len(items[item_of[r]])
-                    begin = p - int(place_in[r])
-                    slack = size // 4 + 4
-                    first = int(ends[d] - n[d])
-                    near[int(d), k].append(
-                        (max(first, begin - slack), min(int(ends[d]), begin + size + slack))
-                    )
-                for (d, k), windows in near.items():
-                    windows.sort()
-                    merged = [list(windows[0])]
-                    for a, b in windows[1:]:
-                        if a <= merged[-1][1]:
-                            merged[-1][1] = max(b, merged[-1][1])
-                        else:
-                            merged.append([a, b])
-                    best = max(
-                        (s, -(a + i), a + j)
-                        for a, b in merged for s, i, j in [align(items[k], own[a:b])]
-                    )
-                    share = best[0] / (MATCH * len(items[k]))
-                    if share >= threshold:
-                        first = int(ends[d] - n[d])
-                        out.append((doc_ids[lo + d], ids[k], share, -best[1] - first, best[2] - first))
+            ids = batch.column("doc_id").to_pylist()
+            found = aligned(text_bytes(batch.column("text")), shared.value, threshold)
+            out = [(ids[i], *rest) for i, *rest in found]
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             types = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
@@ -222,3 +213,43 @@ def _search(docs: DataFrame, block: list[tuple[int, bytes]], threshold: float) -
             )
 
     return docs.mapInArrow(run, _HITS)
+
+
+def _blocks(items: DataFrame, item_col: str, item_text: str) -> Iterator[list[tuple[int, bytes]]]:
+    """Items in blocks of about BLOCK_BYTES; one partition of the table at a time."""
+    block, held = [], 0
+    rows = items.select(
+        F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")
+    ).filter("text IS NOT NULL")
+    for row in rows.toLocalIterator():
+        block.append((row["item_id"], row["text"].encode()))
+        held += len(block[-1][1])
+        if held >= BLOCK_BYTES:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+    text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that align with no item (runs jobs).
+
+    Rows are dropped where they are read; nothing is shuffled. See ``contaminated``.
+    """
+    bounded_batches(docs.sparkSession)
+    own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    for block in _blocks(items, item_col, item_text):
+        shared = docs.sparkSession.sparkContext.broadcast(_prepared(own, block))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for i, *_ in aligned(text_bytes(batch.column(text_col)), shared.value, threshold):
+                    keep[i] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -233,12 +233,30 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     instances = stored(token_instances(rows), "pii-instances")
     extra = found_spans(instances, bootstrap(instances))
     none = F.array().cast(_SPAN)
-    return rows.select("key", "doc_id", "base").join(extra, "key", "left").select(
+    return rows.select("key", "doc_id", "base").join(extra.hint("shuffle_hash"), "key", "left").select(
         "key", "doc_id", "base",
         F.array_sort(F.concat("base", F.coalesce("extra", none))).alias("spans"),
     )
 
 
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with the spans of ``find_spans`` replaced in the text (runs jobs)."""
+    found = find_spans(docs, id_col, text_col)
+    extra = found.filter(F.size("spans") > F.size("base")).groupBy("key").agg(
+        F.any_value("spans").alias("spans")
+    )
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    ).withColumn("key", _row_key())
+    spans = F.coalesce(F.col("spans"), base_spans(F.col("text")))
+    clean = F.when(F.col("_row")[text_col].isNotNull(), redact(F.col("text"), spans))
+    # as many rows as documents with added spans: never rely on broadcasting them
+    return own.join(extra.hint("shuffle_hash"), "key", "left").select(*[
+        (clean if c == text_col else F.col("_row")[c]).alias(c) for c in docs.columns
+    ])
+
+
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in brackets; overlaps are one place."""
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

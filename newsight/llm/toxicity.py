@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsight.llm.common import (
-    hash_words, held_out, keyed_text, plain_words, slices, split_all, stored, text_bytes,
+    bounded_batches, hash_words, held_out, keyed_text, plain_words, slices, split_all, stored, text_bytes,
 )
 
 SLOT_BITS = 20
@@ -158,6 +158,11 @@ def _features(best, n_tokens, n_segments, lam: float, k: float) -> np.ndarray:
     return np.column_stack([np.ones(len(n)), evidence, np.log1p(np.asarray(n_segments, float))])
 
 
+def _probability(best, n_tokens, n_segments, model: Model) -> np.ndarray:
+    x = _features(best, n_tokens, n_segments, model.lam, model.k)
+    return 1 / (1 + np.exp(-np.clip(x @ np.array(model.coef), -30, 30)))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """``text`` and ``label`` of the labelled documents outside the held-out fold."""
     known = (
@@ -253,8 +258,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 kept.append([
                     {"first": a, "last": b, "score": float(s)} for a, b, s in found if s >= floor
                 ])
-            x = _features(bests, ns, counts, model.lam, model.k)
-            p = 1 / (1 + np.exp(-np.clip(x @ np.array(model.coef), -30, 30)))
+            p = _probability(bests, ns, counts, model)
             segment = pa.struct(
                 [("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())]
             )
@@ -268,3 +272,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     return keyed_text(docs).mapInArrow(run, SCORES)
+
+
+def without_toxic(
+    docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, with a score below ``threshold``; no shuffle."""
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
+        for batch in batches:
+            found = list(_scored(text_bytes(batch.column(text_col)), model.weights))
+            best = [max((s for _, _, s in f), default=0.0) for _, f in found]
+            p = _probability(best, [n for n, _ in found], [len(f) for _, f in found], model)
+            yield batch.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
