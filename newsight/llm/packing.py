@@ -3,7 +3,7 @@
 Documents are tokenised once; only those longer than a sequence are cut. Pieces are dealt
 evenly over partitions and packed best-fit decreasing. Dual-feasible functions (Lueker
 1983; Fekete, Schepers 2001) give a lower bound for each partition and for the whole input.
-Partitions release bins with gaps: a certified partition its emptiest one, any other all it
+Partitions release bins with gaps: a certified partition its emptiest ones, any other all it
 could not fill. The released documents are dealt to new, fewer partitions and packed again,
 until the total meets the global bound, or a round saves nothing. A round holds a small
 part of the round before, and no task more than the pieces of one partition.
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from newsight.llm.common import keyed_text, release, stored
 
 PARTITION_PIECES = 5_000
+# a certified partition releases one in so many of its bins, and so many at least
+OPEN_SHARE, LEAST_OPEN = 20, 4
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", part long, bin long, offset long, free long, is_open boolean"
 # letters and signs on which both tokenizer libraries are known to split alike
@@ -151,11 +153,10 @@ def _pack_partition(capacity: int):
         lengths = rows["length"].to_numpy()
         where, offset, free = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        if len(free) == bound:  # certified: only the emptiest bin may still be of use
-            is_open = np.arange(len(free)) == free.argmax()
-        else:
-            is_open = free > 0
-        is_open &= free > 0
+        is_open = free > 0
+        if len(free) == bound:  # certified: what it lacks, only other partitions can give
+            few = max(LEAST_OPEN, len(free) // OPEN_SHARE)
+            is_open[np.argsort(-free, kind="stable")[few:]] = False
         return rows.assign(bin=where, offset=offset, free=free[where], is_open=is_open[where])
 
     return pack

@@ -129,17 +129,15 @@ class LevelFamily:
         places = np.arange(len(level.text)) + len(self.matched)
         self.matched = np.concatenate([self.matched, found])
         kept = []
-        for old, old_places in self.levels:
+        for old, old_places in reversed(self.levels):  # the smallest first
+            together, found = old.merged(level, self.depth)
+            every = np.concatenate([old_places, places])
+            self.matched[every[found]] = True
             if len(old.text).bit_length() > len(level.text).bit_length():
-                # a larger level: only scanned
-                _, found = old.merged(level, self.depth)
-                self.matched[np.concatenate([old_places, places])[found]] = True
-                kept.append((old, old_places))
+                kept.append((old, old_places))  # a larger level: only scanned
             else:
-                level, found = old.merged(level, self.depth)
-                places = np.concatenate([old_places, places])
-                self.matched[places[found]] = True
-        self.levels = [*kept, (level, places)]
+                level, places = together, every
+        self.levels = [*reversed(kept), (level, places)]
 
 
 def judge_windows(contents: list[bytes], least: np.ndarray, n: np.ndarray) -> list[list[int]]:
