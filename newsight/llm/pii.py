@@ -33,32 +33,53 @@ _TOKEN = rf"{_FORMS['phone']}|{_FORMS['card']}|(?<!\S)\S*[0-9@]\S*"
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
-def _placed(text: Column, form: str) -> Column:
+_BLOCK = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _placed(text: Column, form: str, context: bool = False) -> Column:
     """``array<struct<start, end, match>>`` of the leftmost matches, in code points.
 
-    The texts between matches and the matches themselves add up to each place.
+    The texts between matches and the matches themselves add up to each place. With
+    ``context``, ``before`` and ``after`` are the texts around a match. Matches are put
+    together in blocks, so that a text with very many of them costs no quadratic copying.
     """
-    between = F.transform(F.split(text, form, -1), lambda p: F.char_length(p))
+    between = F.split(text, form, -1)
     matches = F.regexp_extract_all(text, F.lit(form), F.lit(0))
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-
-    def step(state: Column, i: Column) -> Column:
-        match = F.get(state["m"], i)
-        start = state["at"] + F.get(state["b"], i)
-        end = start + F.char_length(match)
-        one = F.struct(start.alias("start"), end.alias("end"), match.alias("match"))
-        return F.struct(
-            end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"),
-            state["m"].alias("m"), state["b"].alias("b"),
+    fields = "start:int,end:int,match:string" + (",before:string,after:string" if context else "")
+    none = F.array().cast(f"array<struct<{fields}>>")
+
+    def all_of(v: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            match = F.get(v["m"], i)
+            start = state["at"] + F.char_length(F.get(v["b"], i))
+            end = start + F.char_length(match)
+            around = [F.get(v["b"], i).alias("before"), F.get(v["b"], i + 1).alias("after")]
+            one = F.struct(
+                start.alias("start"), end.alias("end"), match.alias("match"), *around[: 2 * context]
+            )
+            return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+
+        def block(state: Column, k: Column) -> Column:
+            last = F.least(F.size(v["m"]), (k + 1) * _BLOCK) - 1
+            begin = F.struct(state["at"].alias("at"), none.alias("out"))
+            return _let(F.aggregate(F.sequence(k * _BLOCK, last), begin, step), lambda d: F.struct(
+                d["at"].alias("at"), F.concat(state["out"], F.array(d["out"])).alias("out")
+            ))
+
+        blocks = F.array().cast(f"array<array<struct<{fields}>>>")
+        n_blocks = F.ceil(F.size(v["m"]) / _BLOCK).cast("int")
+        placed = F.aggregate(
+            F.sequence(F.lit(0), n_blocks - 1), F.struct(F.lit(0).alias("at"), blocks.alias("out")),
+            block, lambda s: F.flatten(s["out"]),
         )
+        return F.when(n_blocks > 0, placed).otherwise(none)
 
-    start = F.struct(
-        F.lit(0).alias("at"), empty.alias("out"), matches.alias("m"), between.alias("b")
-    )
-    return F.aggregate(
-        F.filter(F.sequence(F.lit(0), F.size(matches)), lambda i: i < F.size(matches)),
-        start, step, lambda s: s["out"],
-    )
+    return _let(F.struct(matches.alias("m"), between.alias("b")), all_of)
 
 
 def _luhn(digits: Column) -> Column:
@@ -133,16 +154,14 @@ def token_instances(rows: DataFrame) -> DataFrame:
     ``rows`` has ``key, text, base``. ``kind`` is that of the base span at the token, or null.
     """
     with_tokens = rows.filter(F.regexp_like("text", F.lit("[0-9@]"))).select(
-        "key", "base", _placed(F.col("text"), _TOKEN).alias("tokens"),
-        F.split("text", _TOKEN, -1).alias("between"),
+        "key", "base", _placed(F.col("text"), _TOKEN, context=True).alias("tokens"),
     )
     token = F.col("t.match")
     lead = F.char_length(F.regexp_extract(token, r"^[^\p{L}\p{N}+]*", 0))
-    core = F.regexp_extract(token, r"^[^\p{L}\p{N}+]*(.*?)[^\p{L}\p{N}]*$", 1)
+    core = F.regexp_extract(token, r"(?s)^[^\p{L}\p{N}+]*+(.*[\p{L}\p{N}])", 1)
     start = F.col("t.start") + lead
     clean = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}\s:=#]", ""))
-    before = clean(F.get("between", F.col("i")))
-    after = clean(F.get("between", F.col("i") + 1))
+    before, after = clean(F.col("t.before")), clean(F.col("t.after"))
     two = F.regexp_extract(before, r"(\S+\s+\S+)\s*$", 1)
     one = F.regexp_extract(before, r"(\S+)\s*$", 1)
     right = F.regexp_extract(after, r"^\s*(\S+)", 1)
@@ -150,7 +169,7 @@ def token_instances(rows: DataFrame) -> DataFrame:
         "base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))
     )
     return (
-        with_tokens.select("key", "base", "between", F.posexplode("tokens").alias("i", "t"))
+        with_tokens.select("key", "base", F.explode("tokens").alias("t"))
         .withColumns({"start": start, "token": core})
         .withColumns({
             "end": F.col("start") + F.char_length("token"),
