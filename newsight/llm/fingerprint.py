@@ -20,10 +20,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsight.llm.common import keyed_text, stored
+from newsight.llm.common import free_shuffles, keyed_text, stored
 
 SAMPLES = 64  # least number of samples of a text with enough characters
-WALK_CHARS = 12_000_000  # characters walked over at once; bounds a task's memory
+WALK_CHARS = 8_000_000  # characters walked over at once; bounds a task's memory
 BANDS, BAND_SAMPLES = 12, 6
 NEAR = 0.8
 _ROW = (
@@ -170,7 +170,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     own = keyed_text(docs, id_col, text_col)
     key = F.col("doc_id").desc_nulls_last()
-    ranged = own.repartitionByRange(key, "text").sortWithinPartitions(key, "text")
+    ranged = own.repartitionByRange(key).sortWithinPartitions(key, "text")
     walked = stored(ranged.mapInArrow(_walk_sorted, _ROW), "fingerprints")
     done = walked.filter("lane IS NULL").drop("lane", "place", "text")
     # at most two rows for each task of the shuffle above
@@ -200,6 +200,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return done.unionByName(ends)
 
 
+# places 0..31 exist on both grids of band_keys for all but very short texts
+_PLACES = [
+    tuple(int(p) for p in np.sort(np.random.default_rng([band, 11]).choice(SAMPLES // 2, BAND_SAMPLES, replace=False)))
+    for band in range(BANDS)
+]
+
+
 def band_keys(fingerprint: str) -> list[str]:
     """Sampled digits of the fingerprint's own grid and of the next coarser one.
 
@@ -210,59 +217,58 @@ def band_keys(fingerprint: str) -> list[str]:
     keys = []
     for step in (0, 1):
         sampled = digits[:: 1 << step]
-        for band in range(BANDS):
-            # places 0..31 exist on both grids for all but very short texts
-            rng = np.random.default_rng([band, 11])
-            places = np.sort(rng.choice(SAMPLES // 2, BAND_SAMPLES, replace=False))
+        for band, places in enumerate(_PLACES):
             if places[-1] < len(sampled):
-                keys.append(f"{k + step}:{band}:" + "".join(sampled[p] for p in places))
+                keys.append(f"{k + step}:{band}:" + "".join([sampled[p] for p in places]))
     return keys
 
 
 def near_matches(prints: DataFrame, near: float = NEAR) -> DataFrame:
     """``fingerprint, near_id, near_likeness``: the band partner with the smallest doc_id.
 
-    ``prints`` has ``doc_id, fingerprint``. Equal fingerprints are one node, carried by
-    their smallest doc_id. Each node is compared with the smallest node of each of its
-    bands, and the partner of a likeness of at least ``near`` with the smallest id is
-    returned. Nodes without such a partner are left out. No bucket is expanded into pairs.
+    ``prints`` has ``doc_id, fingerprint``; rows without an id take no part. Equal
+    fingerprints are one node, carried by their smallest doc_id. Each node is compared with
+    the smallest node of each of its bands, and the partner of a likeness of at least
+    ``near`` with the smallest id is returned. Nodes without such a partner are left out.
+    No bucket is expanded into pairs, and only narrow keys are shuffled.
     """
-    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
+    nodes = stored(
+        prints.filter("doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("node")),
+        "print-nodes",
+    )
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                (f, n, key)
-                for f, n in zip(batch.column("fingerprint").to_pylist(), batch.column("node").to_pylist(), strict=True)
-                for key in band_keys(f)
-            ]
-            cols = list(zip(*out, strict=True)) if out else [[]] * 3
+            nodes, keys = [], []
+            for f, n in zip(batch.column("fingerprint").to_pylist(), batch.column("node").to_pylist(), strict=True):
+                own = band_keys(f)
+                keys += own
+                nodes += [n] * len(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())],
-                names=["fingerprint", "node", "key"],
+                [pa.array(nodes, pa.int64()), pa.array(keys, pa.string())], names=["node", "key"]
             )
 
-    keys = nodes.mapInArrow(banded, "fingerprint string, node long, key string").withColumn(
-        "key", F.xxhash64("key")
+    keys = nodes.mapInArrow(banded, "node long, key string").select(
+        "node", F.xxhash64("key").alias("key")
+    )
+    least = keys.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1")
+    pairs = keys.join(least.hint("shuffle_hash"), "key").filter("node > head").select("node", "head").distinct()
+    compared = pairs.join(nodes.hint("shuffle_hash"), "node").join(
+        nodes.select(F.col("node").alias("head"), F.col("fingerprint").alias("other")).hint("shuffle_hash"), "head"
     )
-    least = keys.groupBy("key").agg(
-        F.min(F.struct("node", "fingerprint")).alias("head"), F.count("*").alias("n")
-    ).filter("n > 1")
-    pairs = keys.join(least, "key").filter("node > head.node").select(
-        "fingerprint", F.col("head.node").alias("near_id"), F.col("head.fingerprint").alias("other")
-    ).distinct()
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column("fingerprint").to_pylist(), batch.column("other").to_pylist()
             like = pa.array([likeness(x, y) for x, y in zip(a, b, strict=True)], pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("fingerprint"), batch.column("near_id"), like],
+                [batch.column("fingerprint"), batch.column("head"), like],
                 names=["fingerprint", "near_id", "near_likeness"],
             )
 
     return (
-        pairs.mapInArrow(verified, "fingerprint string, near_id long, near_likeness double")
+        compared.select("fingerprint", "head", "other")
+        .mapInArrow(verified, "fingerprint string, near_id long, near_likeness double")
         .filter(F.col("near_likeness") >= near)
         .groupBy("fingerprint").agg(F.min(F.struct("near_id", "near_likeness")).alias("m"))
         .select("fingerprint", "m.near_id", "m.near_likeness")
@@ -272,5 +278,6 @@ def near_matches(prints: DataFrame, near: float = NEAR) -> DataFrame:
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``edited_fingerprints`` with ``near_id, near_likeness`` of ``near_matches`` (runs jobs)."""
     prints = stored(edited_fingerprints(docs, id_col, text_col), "prints")
+    free_shuffles(docs.sparkSession)
     found = near_matches(prints.select("doc_id", "fingerprint"))
-    return prints.join(found, "fingerprint", "left")
+    return prints.join(found.hint("shuffle_hash"), "fingerprint", "left")
