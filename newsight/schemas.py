@@ -11,10 +11,8 @@ RELEVANCE_JSON = (
 ANALYSIS_JSON = "array<struct<summary string, quebec string, perception string, Flag string>>"
 
 # elements are arrays so that "the first one" is defined; text is kept untrimmed
-RSS_XML = (
-    "channel struct<item array<struct<link array<string>, pubDate array<string>, "
-    "title array<string>>>>, _corrupt_record string"
-)
+RSS_ITEMS = "array<struct<link array<string>, pubDate array<string>, title array<string>>>"
+RSS_XML = f"channel array<struct<item {RSS_ITEMS}>>, item {RSS_ITEMS}, _corrupt_record string"
 SITEMAP_XML = (
     "url array<struct<loc array<string>, lastmod array<string>, "
     "news array<struct<title array<string>, publication_date array<string>>>>>, "
@@ -29,6 +27,7 @@ ARTICLE_COLUMNS = [
     "source_ord", "item_ord", "ord", "ts",
 ]
 
+# fixed values: names, order and types of the result table
 EXPORT_SCHEMA = T.StructType([
     T.StructField("url", T.StringType(), nullable=False),
     T.StructField("title", T.StringType()),
@@ -53,6 +52,7 @@ EXPORT_SCHEMA = T.StructType([
     T.StructField("processed_timestamp", T.TimestampNTZType()),
 ])
 
+# fixed values
 REQUIRED_ENRICHMENTS = [
     "sentiment", "cluster_id", "iptc_topic", "iptc_topic_fr",
     "Attrait", "Hebergement", "Restaurant", "quebec", "perception", "summary",

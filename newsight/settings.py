@@ -135,8 +135,10 @@ ARTICLE_PROMPT = (
 
 # ---- engine parameters (ours) -----------------------------------------------
 
-# bits of an article ordinal that hold the item position inside one payload
+# An article's ordinal is its source number and its position inside the payload. Search pages
+# are numbered after every feed. Numbers beyond these bits stop the job.
 ITEM_ORD_BITS = 22
-# first source ordinal of search-result pages: they sort after every feed
+SOURCE_ORD_BITS = 41
 SEARCH_SOURCE_BASE = 1 << 40
 SEARCH_PAGE_BITS = 14
+SEARCH_ORD_BITS = 26

@@ -6,6 +6,7 @@ in the same projection and exploded once, so the payload table is read once.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -15,12 +16,18 @@ from newsight import settings
 from newsight.functions.binding import let
 from newsight.functions.dates import parse_date
 from newsight.functions.text import strip
-from newsight.functions.url import contains_any, is_redirect, netloc
+from newsight.functions.url import is_redirect, netloc
 from newsight.operators.filters import recent
-from newsight.schemas import ARTICLE_COLUMNS, RSS_XML, SITEMAP_XML
-
-# root element, past the XML declaration, doctype and comments
-_RSS_ROOT = r"(?s)^\s*(?:﻿)?(?:<[?!][^>]*>\s*)*<(?:[\w.\-]+:)?rss\b"
+from newsight.sources.order import packed_ord
+from newsight.schemas import ARTICLE_COLUMNS, RSS_ITEMS, RSS_XML, SITEMAP_XML
+
+# past the XML declaration, instructions, comments and a doctype with or without subset
+_PROLOG = (
+    r"(?s)^\s*\x{FEFF}?\s*"
+    r"(?:(?:<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*)?>)\s*)*"
+)
+_RSS_ROOT = _PROLOG + r"<(?:[\w.\-]+:)?rss\b"
+_ENTRIES = "array<struct<url string, date string, title string>>"
 _KEEP_TEXT = {"ignoreSurroundingSpaces": "false"}
 
 
@@ -30,13 +37,23 @@ def _first(values: Column) -> Column:
 
 def _unless_broken(parsed: Column, items: Callable[[Column], Column]) -> Column:
     """Entries of a parsed document, null if it is malformed anywhere; parses once."""
-    return let(parsed, lambda doc: F.when(doc["_corrupt_record"].isNull(), items(doc)))
+    return let(parsed, lambda doc: F.when(
+        doc.isNotNull() & doc["_corrupt_record"].isNull(), items(doc)
+    ))
 
 
 def _rss_items(payload: Column) -> Column:
+    """Items of every channel, then those beside the channels; none is not an error."""
+
     def items(doc: Column) -> Column:
+        inside = F.flatten(F.filter(
+            F.transform(doc["channel"], lambda c: c["item"]), lambda i: i.isNotNull()
+        ))
+        found = F.concat(*[
+            F.coalesce(part, F.array().cast(RSS_ITEMS)) for part in (inside, doc["item"])
+        ])
         return F.transform(
-            doc["channel"]["item"],
+            found,
             lambda i: F.struct(
                 _first(i["link"]).alias("url"),
                 _first(i["pubDate"]).alias("date"),
@@ -47,12 +64,15 @@ def _rss_items(payload: Column) -> Column:
     return _unless_broken(F.from_xml(payload, F.lit(RSS_XML), _KEEP_TEXT), items)
 
 
-def _names_any(payload: Column, namespaces: list[str]) -> Column:
-    return contains_any(payload, [f'"{n}"' for n in namespaces])
+def _declares_any(payload: Column, namespaces: list[str], start: str) -> Column:
+    """A start tag after ``start`` binds one of the namespaces, in either quotes."""
+    uris = "|".join(re.escape(n) for n in namespaces)
+    binding = rf"""\sxmlns(?::[\w.\-]+)?\s*=\s*(?:"(?:{uris})"|'(?:{uris})')"""
+    return payload.rlike(start + r"<[\w.\-:]+[^<>]*?" + binding)
 
 
 def _sitemap_items(payload: Column) -> Column:
-    has_news = _names_any(payload, settings.NEWS_NAMESPACES)
+    has_news = _declares_any(payload, settings.NEWS_NAMESPACES, "")
 
     def item(entry: Column) -> Column:
         news = F.when(has_news, _first(entry["news"]))
@@ -64,10 +84,10 @@ def _sitemap_items(payload: Column) -> Column:
 
     # prefixes are free to choose in XML, so names are matched without them
     options = {**_KEEP_TEXT, "ignoreNamespace": "true"}
-    is_sitemap = _names_any(payload, settings.SITEMAP_NAMESPACES)
+    is_sitemap = _declares_any(payload, settings.SITEMAP_NAMESPACES, _PROLOG)
     return _unless_broken(
         F.from_xml(F.when(is_sitemap, payload), F.lit(SITEMAP_XML), options),
-        lambda doc: F.transform(doc["url"], item),
+        lambda doc: F.coalesce(F.transform(doc["url"], item), F.array().cast(_ENTRIES)),
     )
 
 
@@ -75,16 +95,21 @@ def _is_rss() -> Column:
     return F.col("payload").rlike(_RSS_ROOT)
 
 
+def _entries(payload: Column, is_rss: Column) -> Column:
+    """Entries of a payload; null if it cannot be read."""
+    return F.coalesce(
+        _rss_items(F.when(is_rss, payload)), _sitemap_items(F.when(~is_rss, payload))
+    )
+
+
 def scan_feeds(feeds: DataFrame) -> DataFrame:
     """Every entry of every readable feed, before the recency cut.
 
     A malformed feed gives no rows and never fails the job; see ``feed_errors``.
     ``ord`` orders all rows: feed order first, then position in the payload.
     """
-    payload, is_rss = F.col("payload"), _is_rss()
-    items = F.coalesce(
-        _rss_items(F.when(is_rss, payload)), _sitemap_items(F.when(~is_rss, payload))
-    )
+    is_rss = _is_rss()
+    items = _entries(F.col("payload"), is_rss)
     entries = feeds.select(
         "feed_url", "source_ord", is_rss.alias("is_rss"), F.posexplode(items).alias("item_ord", "item")
     ).filter(F.length("item.url") > 0)
@@ -97,20 +122,23 @@ def scan_feeds(feeds: DataFrame) -> DataFrame:
         (F.col("is_rss") & is_redirect(F.col("feed_url"))).alias("is_google_redirect"),
         source_ord.alias("source_ord"),
         F.col("item_ord"),
-        (F.shiftleft(source_ord, settings.ITEM_ORD_BITS) + F.col("item_ord")).alias("ord"),
+        packed_ord(source_ord, F.col("item_ord")).alias("ord"),
         parse_date(F.col("item.date")).alias("ts"),
     ).select(*ARTICLE_COLUMNS)
 
 
 def feed_errors(feeds: DataFrame) -> DataFrame:
-    """Feeds that could not be parsed."""
-    payload = F.col("payload")
-
-    def broken(schema: str) -> Column:
-        return F.from_xml(payload, F.lit(schema))["_corrupt_record"].isNotNull()
+    """Feeds that ``scan_feeds`` cannot read: no known root, malformed, empty or null.
 
-    bad = payload.isNull() | F.when(_is_rss(), broken(RSS_XML)).otherwise(broken(SITEMAP_XML))
-    return feeds.filter(bad).select("feed_url", "source_ord")
+    A well-formed ``urlset`` outside the sitemap namespaces is read, and has no entries.
+    """
+    payload = F.col("payload")
+    other = F.from_xml(
+        F.when(payload.rlike(_PROLOG + r"<(?:[\w.\-]+:)?urlset\b"), payload), F.lit(SITEMAP_XML)
+    )
+    plain = other.isNotNull() & other["_corrupt_record"].isNull()
+    unread = _entries(payload, _is_rss()).isNull() & ~plain
+    return feeds.filter(unread).select("feed_url", "source_ord")
 
 
 def parse_feeds(feeds: DataFrame, as_of, hours: int = settings.RECENCY_HOURS) -> DataFrame:

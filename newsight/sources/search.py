@@ -13,15 +13,12 @@ from newsight.functions.dates import parse_relative_date
 from newsight.functions.url import is_redirect
 from newsight.operators.filters import recent
 from newsight.schemas import ARTICLE_COLUMNS, SEARCH_JSON
+from newsight.sources.order import packed_ord, search_source_ord
 
 
 def scan_search_pages(pages: DataFrame, as_of) -> DataFrame:
     """Every result with a link, before the recency cut."""
-    source_ord = (
-        F.lit(settings.SEARCH_SOURCE_BASE)
-        + F.shiftleft(F.col("search_ord").cast("long"), settings.SEARCH_PAGE_BITS)
-        + F.col("page").cast("long")
-    )
+    source_ord = search_source_ord(F.col("search_ord"), F.col("page"))
     results = pages.select(
         source_ord.alias("source_ord"),
         F.posexplode(F.from_json("payload", SEARCH_JSON)["news_results"]).alias("item_ord", "item"),
@@ -40,7 +37,7 @@ def scan_search_pages(pages: DataFrame, as_of) -> DataFrame:
         is_redirect(F.col("item.link")).alias("is_google_redirect"),
         "source_ord",
         "item_ord",
-        (F.shiftleft("source_ord", settings.ITEM_ORD_BITS) + F.col("item_ord")).alias("ord"),
+        packed_ord(F.col("source_ord"), F.col("item_ord")).alias("ord"),
         parse_relative_date(F.col("item.date"), as_of).alias("ts"),
     ).select(*ARTICLE_COLUMNS)
 

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from newsight.operators.content import resolve_redirects
 from newsight.plans.collect import collect
 from newsight.sources import feed_errors, parse_feeds, parse_search_pages, scan_feeds
@@ -97,3 +99,37 @@ def test_stream_collect_resumes_without_repeats(spark, tmp_path):
     feeds(spark, ("https://s/map", again), ("https://f/rss", RSS)).write.mode("append").parquet(source)
     assert run() == ["http://a/1?x=1&y=2", "http://s/1", "http://s/2"]
     assert run() == ["http://a/1?x=1&y=2", "http://s/1", "http://s/2"]
+
+
+def test_feed_shapes_of_real_publishers(spark):
+    rss = "<rss><channel><item><link>http://a/1</link></item></channel>{}</rss>"
+    ns = "http://www.sitemaps.org/schemas/sitemap/0.9"
+    payloads = [
+        f"<urlset xmlns='{ns}'><url><loc>http://s/1</loc></url></urlset>",
+        "<!-- a > b --><?x y?>" + rss.format(""),
+        '<!DOCTYPE rss [<!ENTITY a "b">]>' + rss.format(""),
+        rss.format("<item><link>http://a/2</link></item>"),
+        rss.format("<channel><item><link>http://a/3</link></item></channel>"),
+        f'<s:urlset xmlns:s="{ns}"><s:url><s:loc>http://s/2</s:loc></s:url></s:urlset>',
+        "<rss><channel></channel></rss>",
+        # read but empty: no namespace on the root; unread: cut off, null, empty, other roots
+        f'<urlset><url><loc>http://s/"{ns}"</loc></url></urlset>', rss[:-10], None, "", "<html/>",
+        '<feed xmlns="http://www.w3.org/2005/Atom"/>',
+    ]
+    df = feeds(spark, *[(f"http://f{i}", p) for i, p in enumerate(payloads)])
+    got = [(r.source_ord, r.url) for r in scan_feeds(df).orderBy("ord").collect()]
+    assert got == [
+        (0, "http://s/1"), (1, "http://a/1"), (2, "http://a/1"), (3, "http://a/1"), (3, "http://a/2"),
+        (4, "http://a/1"), (4, "http://a/3"), (5, "http://s/2"),
+    ]
+    assert sorted(r.source_ord for r in feed_errors(df).collect()) == list(range(8, 13))
+
+
+def test_order_numbers_never_overflow_unseen(spark):
+    page = json.dumps({"news_results": [{"link": "http://x/1", "date": "1 hour ago"}]})
+    last = spark.createDataFrame([((1 << 26) - 1, (1 << 14) - 1, page)], "search_ord long, page long, payload string")
+    assert parse_search_pages(last, AS_OF).first().ord > 0
+    for search_ord, number in [(1 << 26, 1), (0, 1 << 14), (-1, 0)]:
+        rows = spark.createDataFrame([(search_ord, number, page)], "search_ord long, page long, payload string")
+        with pytest.raises(Exception, match="needs more than"):
+            parse_search_pages(rows, AS_OF).collect()
