@@ -425,15 +425,18 @@ enriched AS (
 _ENRICHED = f"{_ARTICLES}, {_VECTORS}, {_ENRICHMENT}"
 
 
-def _analysis(key: str) -> str:
-    return f"""CASE WHEN {key} % 11 <> 10 THEN 'Résumé ' || {key} END AS summary,
-    CASE WHEN {key} % 11 <> 10 THEN CASE {key} % 2 WHEN 0 THEN 'oui' ELSE 'non' END END AS quebec,
-    CASE WHEN {key} % 11 <> 10 THEN
+def _analysis(key: str, sent: str = "true") -> str:
+    """``sent``: whether the article went to the model; all others have no analysis."""
+    ok = f"{sent} AND {key} % 11 <> 10"
+    return f"""CASE WHEN {ok} THEN 'Résumé ' || {key} END AS summary,
+    CASE WHEN {ok} THEN CASE {key} % 2 WHEN 0 THEN 'oui' ELSE 'non' END END AS quebec,
+    CASE WHEN {ok} THEN
       CASE {key} % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'neutre' ELSE 'negative' END END AS perception,
-    CASE WHEN {key} % 11 <> 10 THEN CASE WHEN {key} % 4 = 1 THEN '1' ELSE '0' END END AS "Flag\""""
+    CASE WHEN {ok} THEN CASE WHEN {key} % 4 = 1 THEN '1' ELSE '0' END END AS "Flag\""""
 
 
-_ANALYSIS = f"analysed AS (SELECT e.*, {_analysis('ord')} FROM enriched e)"
+_ANALYSIS = f"""analysed AS (SELECT e.*, {_analysis('e.ord', 'k.ord IS NOT NULL')}
+  FROM enriched e LEFT JOIN (SELECT DISTINCT ord FROM eligible) k ON e.ord = k.ord)"""
 _ANALYSED = f"{_ENRICHED}, {_ANALYSIS}"
 
 _EXPORTED = f"""firsts AS (

@@ -502,7 +502,10 @@ def _enriched(spark, sf):
 
 def _analysed(spark, sf):
     articles = _enriched(spark, sf)
-    return batches.attach_analysis(articles, X.article_replies(articles.select("ord"), "ord"), "ord")
+    asked = articles.filter(filters.has_content()).select("ord")
+    return batches.attach_analysis(
+        articles, X.article_replies(articles.select("ord"), "ord"), "ord", asked
+    )
 
 
 @query

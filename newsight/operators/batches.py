@@ -142,7 +142,18 @@ def parse_article_replies(replies: DataFrame, key: str = "article_id") -> DataFr
     )
 
 
-def attach_analysis(articles: DataFrame, replies: DataFrame, key: str = "article_id") -> DataFrame:
-    """Add summary, quebec, perception and Flag; null where no attempt was usable."""
+def attach_analysis(
+    articles: DataFrame,
+    replies: DataFrame,
+    key: str = "article_id",
+    asked: DataFrame | None = None,
+) -> DataFrame:
+    """Add summary, quebec, perception and Flag; null where no attempt was usable.
+
+    ``asked`` holds the keys of the articles that were sent to the model: replies to any
+    other article are not used. Without it every article counts as sent.
+    """
+    if asked is not None:
+        replies = replies.join(asked.select(key).distinct(), key, "left_semi")
     best = first_valid(parse_article_replies(replies, key), key, "analysis")
     return articles.join(best.select(key, "analysis.*"), key, "left")

@@ -24,7 +24,7 @@ from newsight.operators.clusters import with_cluster_id
 from newsight.operators.content import join_content, scrape
 from newsight.operators.dedup import drop_repeats
 from newsight.operators.export import export_columns
-from newsight.operators.filters import above_threshold, unflagged
+from newsight.operators.filters import above_threshold, has_content, unflagged
 from newsight.plans.collect import collect
 from newsight.plans.enrich import Scorers, article_clusters, score_texts
 from newsight.session import materialise
@@ -86,7 +86,10 @@ def finish(
     """
     clusters = article_clusters(articles, vectors, "ord", similarity)
     keys = articles.select("ord", "url").filter("url is not null")
-    chosen = materialise(unflagged(attach_analysis(keys, article_replies, "ord")), "chosen")
+    # articles without title or content are never sent, so they have no analysis
+    asked = articles.filter(has_content()).select("ord")
+    analysed = attach_analysis(keys, article_replies, "ord", asked)
+    chosen = materialise(unflagged(analysed), "chosen")
     chosen = with_cluster_id(drop_repeats(chosen, "url", "ord"), clusters, "ord")
     kept = articles.join(chosen.drop("url"), "ord")
     return export_columns(score_texts(kept, scorers), as_of)

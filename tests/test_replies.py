@@ -98,3 +98,14 @@ def test_prompt_text(spark):
         '**Article 1 (ID: "0"):**\nTitle: é25\nURL: u25\n\n'
         "Return a JSON array with analysis for each article, maintaining the article_id order."
     )
+
+
+def test_replies_reach_only_articles_that_were_sent(spark):
+    from newsight.operators.batches import attach_analysis
+
+    good = '{"summary": "s", "quebec": "oui", "perception": "neutre", "Flag": 0}'
+    articles = spark.createDataFrame([(1,), (2,), (3,)], "article_id long")
+    replies = spark.createDataFrame([(i, 1, good) for i in (1, 2, 9)], "article_id long, attempt int, raw string")
+    asked = spark.createDataFrame([(1,), (3,), (3,)], "article_id long")
+    rows = {r.article_id: r.summary for r in attach_analysis(articles, replies, asked=asked).collect()}
+    assert rows == {1: "s", 2: None, 3: None}
