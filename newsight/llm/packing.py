@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from newsight.llm.common import keyed_text, release, stored
 
-PARTITION_PIECES = 5_000
+# pieces packed by one task: more of them leave fewer gaps (0.6 % at 5,000 and 0.1 % at 60,000
+# over the bound for evenly spread lengths)
+PARTITION_PIECES = 50_000
 # a certified partition releases one in so many of its bins, and so many at least
 OPEN_SHARE, LEAST_OPEN = 20, 4
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -175,7 +177,7 @@ def pack_pieces(cut: DataFrame, capacity: int = 2048, partition_pieces: int = PA
     turn = 0
     while n:
         before = lanes
-        lanes = max(-(-n // partition_pieces), 8 if turn == 0 else 1)
+        lanes = -(-n // partition_pieces)
         key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(lanes))
         packed = stored(
             live.select(*names, key.alias("part")).groupBy("part")
