@@ -22,6 +22,7 @@ EVENTS_AS_OF = "2024-01-30 12:00:00"
 BLOCKED = ["blog.", "spam-farm", "cheap-pills", "casino-win"]
 FRENCH = ["therti", "ththa", "m."]
 SIMILARITY = 0.40
+COPY_IDS = 1_000_000  # added to the ids of copied vectors
 PER_PAYLOAD = 25
 
 POSITIVE = ["the", "and", "les", "der", "que", "with", "un"]

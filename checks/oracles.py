@@ -614,6 +614,12 @@ ORACLES = {
         FROM articles a LEFT JOIN label_scores l ON a.ord = l.ord""",
     "q_cosine_pairs": f"""SELECT a.vec_id AS src, b.vec_id AS dst FROM embeddings a JOIN embeddings b
         ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding, b.embedding) >= {X.SIMILARITY}""",
+    "q_first_similar": f"""WITH every AS (SELECT vec_id, embedding FROM embeddings UNION ALL
+          SELECT vec_id + {X.COPY_IDS}, embedding FROM embeddings WHERE vec_id % 3 = 0)
+        SELECT b.vec_id, min(a.vec_id) AS first FROM every a JOIN every b ON a.vec_id < b.vec_id
+        WHERE list_cosine_similarity(a.embedding, b.embedding) >= {X.SIMILARITY} GROUP BY b.vec_id""",
+    "q_append": f"""WITH {_ARTICLES} SELECT url, ord, relevance_score, CAST({AS_OF} AS DATE) AS run_date
+        FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord) AS k FROM articles) WHERE k = 1""",
     "q_clusters": f"""WITH RECURSIVE {_VECTORS}, {_components("vectors", X.SIMILARITY)}
         SELECT id AS vec_id, coalesce(cluster_id, 0) AS cluster_id
         FROM vectors LEFT JOIN numbered_clusters ON id = node""",

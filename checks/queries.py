@@ -13,7 +13,7 @@ from newsight.functions import dates, replies, text, url
 from newsight.functions.html import page_text
 from newsight.operators import batches, content, dedup, export, filters, models, scoring
 from newsight.operators.clusters import cluster_articles, with_cluster_id
-from newsight.operators.similarity import cosine_pairs
+from newsight.operators.similarity import cosine_pairs, first_similar
 from newsight.plans import daily as plan
 from newsight.plans.collect import collect, union_sources
 from newsight.plans.enrich import enrich
@@ -452,6 +452,28 @@ def cosine_pairs_(spark, sf):
     return cosine_pairs(X.table(spark, sf, "embeddings"), "vec_id", "embedding", X.SIMILARITY)
 
 
+@query
+def first_similar_(spark, sf):
+    """With copies: every third vector stands a second time, under a higher id."""
+    vectors = X.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    copies = vectors.filter(F.col("vec_id") % 3 == 0).withColumn("vec_id", F.col("vec_id") + X.COPY_IDS)
+    found = first_similar(vectors.unionByName(copies), "vec_id", "embedding", X.SIMILARITY)
+    return found.select(F.col("id").alias("vec_id"), "first")
+
+
+@query
+def append_(spark, sf):
+    """Two appends to one stored table, the second of new URLs only, read back."""
+    articles = X.document_articles(spark, sf).select("ord", "url", "relevance_score")
+    firsts = dedup.keep_first(articles, ["url"], ["ord"]).withColumn(
+        "processed_timestamp", F.lit(X.AS_OF).cast("timestamp_ntz")
+    )
+    target = f"{scratch_root(spark)}/append-{uuid.uuid4().hex}"
+    export.append_to_path(firsts.filter(F.col("ord") % 2 == 0), target)
+    export.append_to_path(export.only_new(firsts, spark.read.parquet(target)), target)
+    return spark.read.parquet(target).select("url", "ord", "relevance_score", "run_date")
+
+
 @query
 def clusters(spark, sf):
     vectors = X.table(spark, sf, "embeddings")

@@ -316,3 +316,36 @@ def similarity_links(
     return _similar(
         vectors, id_col, vec_col, threshold, True, rows_per_cell, block_rows, max_pivots
     )
+
+
+def first_similar(
+    vectors: DataFrame,
+    id_col: str = "article_id",
+    vec_col: str = "embedding",
+    threshold: float = settings.SIMILARITY_THRESHOLD,
+    **layout,
+) -> DataFrame:
+    """``(id, first)``: the smallest earlier id with cosine >= threshold, where there is one.
+
+    One row for each vector, however large its group, and exact with copies: a copy has its
+    first, and whatever its first is similar to. Pairs are reduced to minima in the task
+    that finds them (runs jobs, as ``cosine_pairs`` does).
+    """
+    pairs = cosine_pairs(vectors, id_col, vec_col, threshold, **layout)
+    usable = vectors.select(
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("vec")
+    ).filter(F.exists("vec", lambda x: x != 0))
+    copies = materialise(_copies(usable), "copies").select(F.col("dst").alias("id"), "src")
+    # the least similar vector of each, in either direction; copies of it come later
+    ends = F.explode(F.array(
+        F.struct(F.col("src").alias("id"), F.col("dst").alias("other")),
+        F.struct(F.col("dst").alias("id"), F.col("src").alias("other")),
+    ))
+    least = materialise(
+        pairs.select(ends.alias("e")).groupBy("e.id").agg(F.min("e.other").alias("least")), "least"
+    )
+    of_firsts = least.join(copies, "id", "left_anti").filter("least < id")
+    of_copies = copies.join(
+        least.select(F.col("id").alias("src"), "least"), "src", "left"
+    ).select("id", F.least("src", F.coalesce("least", "src")).alias("least"))
+    return of_firsts.unionByName(of_copies).select("id", F.col("least").alias("first"))
