@@ -186,8 +186,10 @@ def recency_lenient(spark, sf):
 
 @query
 def keep_first(spark, sf):
-    docs = X.table(spark, sf, "documents")
-    return dedup.keep_first(docs.select("text", "doc_id", "lang", "source"), ["text"], ["doc_id"]).drop("text")
+    """By a 256-bit hash of the text, so that no text is shuffled."""
+    key = F.coalesce(F.sha2("text", 256), F.lit(""))
+    docs = X.table(spark, sf, "documents").select(key.alias("key"), "doc_id", "lang", "source")
+    return dedup.keep_first(docs, ["key"], ["doc_id"]).drop("key")
 
 
 @query
@@ -419,11 +421,11 @@ def label_ranked(spark, sf):
 
 @query
 def train_labels(spark, sf):
-    rows = X.table(spark, sf, "documents").join(X.table(spark, sf, "labels"), "doc_id").select(
-        "doc_id", "text", "quality"
-    )
+    """Fitted on the labelled documents, applied to all."""
+    docs = X.table(spark, sf, "documents").select("doc_id", "text")
+    rows = docs.join(X.table(spark, sf, "labels"), "doc_id").select("doc_id", "text", "quality")
     model = models.train_label_model(rows, "text", "quality")
-    return models.score_label(model, rows, "score").select("doc_id", F.round("score", 6).alias("score"))
+    return models.score_label(model, docs, "score").select("doc_id", F.round("score", 6).alias("score"))
 
 
 # ---- similarity --------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,15 +42,33 @@ def drop_repeats(df: DataFrame, key: str, order_by: str) -> DataFrame:
 
 
 def _scan_group(rows: pa.Table) -> pa.Table:
-    """The scan itself, for one conflict group of bounded size."""
-    seen_a, seen_b, kept = set(), set(), []
-    ordered = rows.sort_by("at")
-    for at, a, b in zip(*(ordered.column(c).to_pylist() for c in ("at", "a", "b")), strict=True):
-        if a not in seen_a and (b is None or b not in seen_b):
-            seen_a.add(a)
-            seen_b.add(b)
-            kept.append(at)
-    return pa.table({"at": pa.array(kept, pa.int64())})
+    """Kept positions of one conflict group of bounded size.
+
+    Keys become slots of one array. Each turn keeps every row that comes first in all its
+    slots and removes the rows that share a slot with it.
+    """
+    rows = rows.sort_by("at")
+    at = rows.column("at").to_numpy()
+    slots, width = [], 0
+    for name in ("a", "b"):
+        codes = rows.column(name).combine_chunks().dictionary_encode(null_encoding="encode").indices
+        slots.append(codes.to_numpy() + width)
+        width += len(rows)
+    # a null second key conflicts with nothing: it gets a slot of its own
+    free = rows.column("b").is_null().to_numpy()
+    slots[1] = np.where(free, width + np.arange(len(rows)), slots[1])
+    live, kept = np.arange(len(rows)), []
+    while len(live):
+        head = np.full(width + len(rows), len(rows))
+        for slot in slots:
+            np.minimum.at(head, slot[live], live)
+        firsts = live[(head[slots[0][live]] == live) & (head[slots[1][live]] == live)]
+        kept.append(at[firsts])
+        taken = np.zeros(len(head), bool)
+        for slot in slots:
+            taken[slot[firsts]] = True
+        live = live[~(taken[slots[0][live]] | taken[slots[1][live]])]
+    return pa.table({"at": pa.array(np.sort(np.concatenate([*kept, at[:0]])), pa.int64())})
 
 
 def _close_small_groups(pending: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:

@@ -40,15 +40,17 @@ def doc_vectors(
 def train_label_model(
     rows: DataFrame, text_col: str, label_col: str, features: int = 4096, steps: int = 20
 ) -> PipelineModel:
-    """Logistic regression on hashed terms; binary or multinomial by the labels seen."""
-    stages = [
-        *_terms(text_col, features),
-        LogisticRegression(
-            featuresCol="_tf", labelCol=label_col, maxIter=steps, regParam=0.01,
-            predictionCol="_class", probabilityCol="_probability", rawPredictionCol="_raw",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    """Logistic regression on hashed terms; binary or multinomial by the labels seen.
+
+    Texts are tokenised once: the counts are stored before the passes of the fit (runs jobs).
+    """
+    counter = Pipeline(stages=_terms(text_col, features)).fit(rows.limit(0))
+    counts = materialise(counter.transform(rows).select(label_col, "_tf"), "terms")
+    fitted = LogisticRegression(
+        featuresCol="_tf", labelCol=label_col, maxIter=steps, regParam=0.01,
+        predictionCol="_class", probabilityCol="_probability", rawPredictionCol="_raw",
+    ).fit(counts)
+    return PipelineModel(stages=[*counter.stages, fitted])
 
 
 def score_label(model: PipelineModel, rows: DataFrame, out_col: str, klass: int = 1) -> DataFrame:
