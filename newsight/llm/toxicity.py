@@ -7,8 +7,9 @@ scan finds every maximal segment (Ruzzo, Tompa 1999). For clean text the best se
 tokens exceeds s with probability 1 - exp(-K n exp(-L s)) (Karlin, Altschul 1990); a
 logistic map from that significance to the labels gives the document's score.
 
-Tokens are hashed to a fixed number of slots, so the model has one size for any corpus;
-all tokens of all labelled training documents are counted.
+All tokens of all labelled training documents are counted, once for each document; the counts
+stay in Spark. The model holds the tokens that score above zero, at most ``MAX_TERMS`` of
+them; any other token counts as ordinary text and scores minus the drift.
 """
 
 from __future__ import annotations
@@ -19,19 +20,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsight.llm.common import (
-    bounded_batches, hash_words, held_out, keyed_text, plain_words, slices, split_all, stored, text_bytes,
+    bounded_batches, hash_words, held_out, keyed_text, plain_words, release, slices, split_all, stored,
+    text_bytes,
 )
 
-SLOT_BITS = 20
+MAX_TERMS = 100_000
 PRIOR_SHARE = 0.1  # tokens of the prior, as a share of all training tokens
 Z_BOUND = 1.64  # one-sided 95 % bound of the log-odds
 DRIFT = 0.5
 SIGNIFICANT_E = 0.05  # expected number of such segments in a clean document
-_COUNTS = "slot int, toxic long, clean long"
+_COUNTS = "token long, toxic long, clean long"
 _EVIDENCE = "toxic int, n_tokens long, best double, n_segments int"
 SCORES = (
     "doc_id long, score double, n_tokens long, best double, n_segments int,"
@@ -40,29 +42,31 @@ SCORES = (
 
 
 class Model(NamedTuple):
-    weights: np.ndarray  # one score for each slot
+    tokens: np.ndarray  # sorted hashes of the tokens that score above zero
+    weights: np.ndarray  # their scores
     lam: float
     k: float
     coef: tuple[float, float, float]  # bias, significance, significant segments
 
 
-def token_slots(words: list[bytes], bits: int = SLOT_BITS) -> np.ndarray:
-    return (hash_words(words) >> np.uint64(64 - bits)).astype(np.int64)
+def token_scores(words: list[bytes], tokens: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    hashed = hash_words(words)
+    scores = np.full(len(hashed), -DRIFT)
+    if len(tokens):
+        at = np.searchsorted(tokens, hashed)
+        at[at == len(tokens)] = 0
+        known = tokens[at] == hashed
+        scores[known] = weights[at[known]]
+    return scores
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
-    """Score of each slot from its counts in toxic and clean training text."""
-    total = (toxic + clean).astype(float)
-    n1, n0, n = toxic.sum(), clean.sum(), total.sum()
-    if not n1 or not n0:  # one class only: nothing to tell apart
-        return np.full(len(total), -DRIFT, np.float32)
-    prior = total * PRIOR_SHARE
-    a0 = n * PRIOR_SHARE
-    y1, y0 = toxic + prior, clean + prior
-    with np.errstate(divide="ignore", invalid="ignore"):
-        delta = np.log(y1 / (n1 + a0 - y1)) - np.log(y0 / (n0 + a0 - y0))
-        bound = delta - Z_BOUND * np.sqrt(1 / y1 + 1 / y0)
-    return np.where(total > 0, bound - DRIFT, -DRIFT).astype(np.float32)
+def log_odds(n_toxic: int, n_clean: int) -> Column:
+    """Score of a token from its counts ``toxic`` and ``clean`` and those of all tokens."""
+    total = F.col("toxic") + F.col("clean")
+    prior, all_prior = total * PRIOR_SHARE, (n_toxic + n_clean) * PRIOR_SHARE
+    y1, y0 = F.col("toxic") + prior, F.col("clean") + prior
+    delta = F.log(y1 / (n_toxic + all_prior - y1)) - F.log(y0 / (n_clean + all_prior - y0))
+    return delta - Z_BOUND * F.sqrt(1 / y1 + 1 / y0) - DRIFT
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -95,30 +99,28 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, last, high - low) for first, last, low, high in stack]
 
 
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, 1 << SLOT_BITS), np.int64)
+def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, toxic = text_bytes(batch.column("text")), batch.column("toxic").to_numpy()
         for lo, hi in slices(texts):
             words, n = split_all(texts[lo:hi], plain_words)
+            tokens, code = np.unique(hash_words(words), return_inverse=True)
             row = np.repeat(np.arange(hi - lo), n)
             # once for each document: a word repeated in one text is one observation
-            once = np.unique(row << SLOT_BITS | token_slots(words))
-            of, slot = toxic[lo:hi][once >> SLOT_BITS], once & (1 << SLOT_BITS) - 1
-            for label in (0, 1):
-                counts[label] += np.bincount(slot[of == label], minlength=1 << SLOT_BITS)
-    used = np.nonzero(counts.any(axis=0))[0]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(used.astype(np.int32)), pa.array(counts[1][used]), pa.array(counts[0][used])],
-        names=["slot", "toxic", "clean"],
-    )
+            once = np.unique(row << 32 | code)
+            of, code = toxic[lo:hi][once >> 32] == 1, once & 0xFFFFFFFF
+            counts = [np.bincount(code[of == label], minlength=len(tokens)) for label in (True, False)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens.view(np.int64)), *[pa.array(c.astype(np.int64)) for c in counts]],
+                names=["token", "toxic", "clean"],
+            )
 
 
-def _scored(texts: list[bytes], weights: np.ndarray):
+def _scored(texts: list[bytes], tokens: np.ndarray, weights: np.ndarray):
     """(number of tokens, maximal segments) of each text."""
     for lo, hi in slices(texts):
         words, n = split_all(texts[lo:hi], plain_words)
-        score = weights[token_slots(words)] if words else np.zeros(0, np.float32)
+        score = token_scores(words, tokens, weights)
         ends = np.cumsum(n)
         for end, count in zip(ends, n, strict=True):
             yield int(count), maximal_segments(score[end - count : end])
@@ -183,22 +185,34 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     the largest label counts). Without labels of both classes every score is neutral.
     """
     train = stored(training_rows(docs, labels, "toxic"), "toxic-train")
-    sums = (
-        train.mapInArrow(_slot_counts, _COUNTS)
-        .groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .toPandas()  # one row for each slot at most
+    counts = stored(
+        train.mapInArrow(_token_counts, _COUNTS)
+        .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
+        "token-counts",
     )
-    toxic, clean = np.zeros(1 << SLOT_BITS), np.zeros(1 << SLOT_BITS)
-    toxic[sums["slot"]], clean[sums["slot"]] = sums["toxic"], sums["clean"]
-    weights = log_odds(toxic, clean)
-
-    lam = _root(weights.astype(float), clean / max(clean.sum(), 1.0))
-    shared = train.sparkSession.sparkContext.broadcast(weights)
+    n1, n0 = (n or 0 for n in counts.agg(F.sum("toxic"), F.sum("clean")).first())
+    empty = np.zeros(0)
+    if not n1 or not n0:  # one class only: nothing to tell apart
+        return Model(empty.astype(np.uint64), empty, 1.0, 1.0, (0.0, 0.0, 0.0))
+    terms = (
+        counts.withColumn("score", log_odds(n1, n0)).filter("score > 0")
+        .orderBy(F.desc("score"), "token").limit(MAX_TERMS).toPandas()
+    )
+    release(counts)
+    hashed = terms["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashed)
+    tokens, weights = hashed[order], terms["score"].to_numpy(float)[order]
+
+    share = terms["clean"].to_numpy(float) / n0
+    lam = _root(
+        np.append(terms["score"].to_numpy(float), -DRIFT), np.append(share, max(0.0, 1 - share.sum()))
+    )
+    shared = train.sparkSession.sparkContext.broadcast((tokens, weights))
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for n, found in _scored(text_bytes(batch.column("text")), shared.value):
+            for n, found in _scored(text_bytes(batch.column("text")), *shared.value):
                 rows.append((n, max((s for _, _, s in found), default=0.0), found))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -222,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         .count().toPandas()
     )
     if len(seen) == 0 or seen["toxic"].nunique() < 2:
-        return Model(weights, lam, 1.0, (0.0, 0.0, 0.0))
+        return Model(tokens, weights, lam, 1.0, (0.0, 0.0, 0.0))
     n_tokens = 2.0 ** seen["log_n"].to_numpy()
     best, many = seen["best"].to_numpy(), seen["count"].to_numpy(float)
     clean_rows = (seen["toxic"] == 0).to_numpy()
@@ -232,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     x = _features(best, n_tokens, seen["n_segments"], lam, k)
     y = seen["toxic"].to_numpy(float)
     coef = _logistic(x, y, many)
-    return Model(weights, lam, k, tuple(float(c) for c in coef))
+    return Model(tokens, weights, lam, k, tuple(float(c) for c in coef))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -250,7 +264,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         model = Model(*shared.value)
         for batch in batches:
             ns, bests, counts, kept = [], [], [], []
-            for n, found in _scored(text_bytes(batch.column("text")), model.weights):
+            for n, found in _scored(text_bytes(batch.column("text")), model.tokens, model.weights):
                 floor = (math.log(model.k * max(n, 1)) - math.log(SIGNIFICANT_E)) / model.lam
                 ns.append(n)
                 bests.append(float(max((s for _, _, s in found), default=0.0)))
@@ -284,7 +298,7 @@ def without_toxic(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         for batch in batches:
-            found = list(_scored(text_bytes(batch.column(text_col)), model.weights))
+            found = list(_scored(text_bytes(batch.column(text_col)), model.tokens, model.weights))
             best = [max((s for _, _, s in f), default=0.0) for _, f in found]
             p = _probability(best, [n for n, _ in found], [len(f) for _, f in found], model)
             yield batch.filter(pa.array(p < threshold))
