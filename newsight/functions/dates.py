@@ -20,8 +20,18 @@ from newsight.functions.text import strip
 
 _MAIL = (
     r"(?i)^(?:[a-z]{3,}\.?,?\s+|[a-z]{3},)?(\d{1,2})[\s\-]+([a-z]{3,})[\s\-]+(\d{4}|\d{2}),?\s+"
-    r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(?:\s*([+\-]\d{4}|[a-z]+)\b.*)?$"
+    r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(?:\s*([+\-]\d{2}:?\d{2}|[a-z]+)\b.*)?$"
 )
+# other orders and separators of mail dates, brought to the order day, month, year, time
+_MAIL_VARIANTS = [
+    (r"\s*\([^()]*\)(?=\s)", ""),  # a comment before the zone
+    (r"(?i)^([a-z]{3,}\.?,?\s.*\s)(\d{1,2})\.(\d{2})\.(\d{2})(?=\s|$)", "$1$2:$3:$4"),
+    (
+        r"(?i)^(?:[a-z]{3,}\.?,?\s+)?([a-z]{3,})\s+(\d{1,2}),?\s+(\d{1,2}:\d{2}(?::\d{2})?)\s+(\d{4})(?=\s|$)",
+        "$2 $1 $4 $3",
+    ),
+    (r"(?i)^[a-z]{3,}\.?,?\s+([a-z]{3,})\s+(\d{1,2}),?\s+(\d{4}),?\s+(?=\d{1,2}:)", "$2 $1 $3 "),
+]
 _ISO = (
     r"^(\d{4})-?(\d{2})-?(\d{2})T(\d{2})(?::?(\d{2}))?(?::?(\d{2})(?:[.,](\d+))?)?"
     r"(?:([+\-])(\d{2}):?(\d{2})?)?$"
@@ -107,7 +117,7 @@ def _mail_date(text: Column) -> Column:
     def build(day, month, year, hour, minute, second, zone):
         short = _int(year) + F.when(_int(year) > 68, 1900).otherwise(2000)
         full_year = F.when(F.length(year) == 2, short).otherwise(_int(year))
-        hours, minutes = F.substring(zone, 2, 2), F.substring(zone, 4, 2)
+        hours, minutes = F.substring(zone, 2, 2), F.substring(zone, -2, 2)
         clock = hours.try_cast("int") * 60 + minutes.try_cast("int")
         offset = (
             F.when(zone.startswith("-"), -clock)
@@ -117,6 +127,8 @@ def _mail_date(text: Column) -> Column:
         local = _make(full_year, _month(month), _int(day), _int(hour), _int(minute), _int(second))
         return _minus_seconds(local, offset * 60)
 
+    for pattern, order in _MAIL_VARIANTS:
+        text = F.regexp_replace(text, pattern, order)
     return _match(text, _MAIL, 7, build)
 
 
@@ -140,7 +152,9 @@ def _plain_date(text: Column) -> Column:
 def parse_date(text: Column) -> Column:
     """Mail date, else ISO with ``T``, else ``Y-m-d`` with or without a time, else null.
 
-    Zone-less dates are read as UTC.
+    Zone-less dates are read as UTC. Mail dates may put the month first, the year last, dots in
+    the time, or a comment before the zone; a zone with a colon is read like one without.
+    ISO week dates and offsets with seconds are refused (null).
     """
     text = strip(text)
     return F.coalesce(_mail_date(text), _iso_date(text), _plain_date(text))

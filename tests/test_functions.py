@@ -140,3 +140,26 @@ def test_page_text(each):
         "<div class=\"comments\">no</div><footer>f</footer></body></html>"
     )
     assert each([page, None], html.page_text) == ["Head\nA & Béé <3\nnext\na b\nc", None]
+
+
+def test_parse_date_of_other_mail_orders(each):
+    from datetime import datetime
+
+    from newsight.functions.dates import parse_date
+
+    at = datetime(2025, 1, 31, 10, 0)
+    forms = {
+        "Fri, 31 Jan 2025 10:00:00 +05:30": datetime(2025, 1, 31, 4, 30),
+        "Fri, 31 Jan 2025 10:00:00 +0530": datetime(2025, 1, 31, 4, 30),
+        "Fri, 31 Jan 2025 10:00:00 -05:00": datetime(2025, 1, 31, 15, 0),
+        "Fri Jan 31 10:00:00 2025": at,
+        "Fri, Jan 31 2025 10:00:00 GMT": at,
+        "Fri, Jan 31, 2025 10:00:00 +0000": at,
+        "Fri, 31 Jan 2025 10.00.00 GMT": at,
+        "Fri, 31 Jan 2025 10:00:00 (noon) -0500": datetime(2025, 1, 31, 15, 0),
+        "Fri, 31 Jan 2025 10:00:00 -0500 (EST)": datetime(2025, 1, 31, 15, 0),
+        "2025-W05-5": None,
+        "2025-01-31T10:00:00+00:00:30": None,
+        "Smarch 31 10:00:00 2025": None,
+    }
+    assert dict(zip(forms, each(list(forms), parse_date))) == forms
