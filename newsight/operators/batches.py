@@ -87,16 +87,27 @@ def _reply_for(index: Column, results: Column) -> Column:
     )
 
 
-def reconcile(batched: DataFrame, results: DataFrame) -> DataFrame:
+def reconcile(
+    batched: DataFrame, results: DataFrame, failures: DataFrame | None = None
+) -> DataFrame:
     """Attach each batch's reply objects to its rows by id.
 
     Rows without an object, or whose object lacks a usable score, get the error
-    defaults. A batch meets its reply in one equi-join on ``batch_id``; the search
-    by id stays inside the row, as a reply is no larger than one batch.
+    defaults. ``failures(batch_id, error)`` holds the last error text of batches that never
+    got a usable reply: their rows carry its first characters as reasoning. A batch meets
+    its reply in one equi-join on ``batch_id``; the search by id stays inside the row, as a
+    reply is no larger than one batch.
     """
     joined = batched.join(results.select("batch_id", "results"), "batch_id", "left").withColumn(
         "_r", _reply_for(F.col("batch_index"), F.col("results"))
     )
+    missing = F.lit(settings.UNMATCHED_REASONING)
+    if failures is not None:
+        last = failures.groupBy("batch_id").agg(F.max("error").alias("_error"))
+        joined = joined.join(last, "batch_id", "left")
+        failed = F.left("_error", F.lit(settings.ERROR_TEXT_CHARS))
+        missing = F.when(F.col("results").isNull(), failed)
+        missing = F.coalesce(missing, F.lit(settings.UNMATCHED_REASONING))
     r = F.col("_r")
     score = R.score_value(r["relevance_score"])
     usable = score.isNotNull() & r["category"].isNotNull() & r["reasoning"].isNotNull()
@@ -105,7 +116,7 @@ def reconcile(batched: DataFrame, results: DataFrame) -> DataFrame:
         F.when(usable, score).otherwise(F.lit(0)).alias("relevance_score"),
         F.when(usable, r["category"]).otherwise(F.lit(settings.ERROR_CATEGORY)).alias("category"),
         F.when(usable, r["reasoning"])
-        .otherwise(F.lit(settings.UNMATCHED_REASONING))
+        .otherwise(missing)
         .alias("reasoning"),
         F.when(usable, F.coalesce(F.array_join(r["key_indicators"], ", "), F.lit("")))
         .otherwise(F.lit(""))

@@ -109,3 +109,16 @@ def test_replies_reach_only_articles_that_were_sent(spark):
     asked = spark.createDataFrame([(1,), (3,), (3,)], "article_id long")
     rows = {r.article_id: r.summary for r in attach_analysis(articles, replies, asked=asked).collect()}
     assert rows == {1: "s", 2: None, 3: None}
+
+
+def test_failed_batches_carry_their_error(spark):
+    from newsight.operators.batches import first_valid, parse_batch_replies, reconcile
+
+    batched = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (2, 0)], "batch_id long, batch_index int")
+    good = '[{"article_id": "0", "relevance_score": 7, "category": "C", "reasoning": "r", "key_indicators": []}]'
+    replies = spark.createDataFrame([(0, 1, good), (1, 1, "nope")], "batch_id long, attempt int, raw string")
+    failures = spark.createDataFrame([(1, "503 " + "x" * 90), (0, "earlier attempt")], "batch_id long, error string")
+    results = first_valid(parse_batch_replies(replies), "batch_id", "results")
+    rows = {(r.batch_id, r.batch_index): r.reasoning for r in reconcile(batched, results, failures).collect()}
+    unmatched = "No matching result from Gemini"
+    assert rows == {(0, 0): "r", (0, 1): unmatched, (1, 0): ("503 " + "x" * 90)[:50], (2, 0): unmatched}
