@@ -7,6 +7,11 @@ edit distance becomes a small Hamming distance. A fingerprint samples the writte
 the multiples of 2^k, where k follows from the length, as 4-bit hashes of the three
 characters there: 64 to 128 steps of the walk's expected length, evenly over the whole text.
 Two fingerprints are compared at the multiples they have in common.
+
+Fingerprints with a band key in common are a bucket. Every pair of a bucket is compared, in
+blocks of two chunks of ``CHUNK`` members; a pair with several keys in common is compared
+under the smallest one. A block returns a spanning forest of its links and sums for each
+member, so no pair of a bucket is ever a row. Components of the links are the classes.
 """
 
 from __future__ import annotations
@@ -20,17 +25,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsight.llm.common import free_shuffles, keyed_text, stored
+from newsight.llm.common import free_shuffles, keyed_text, release, stored
+from newsight.llm.minhash import forest
+from newsight.operators.components import connected_components
 
 SAMPLES = 64  # least number of samples of a text with enough characters
 WALK_CHARS = 8_000_000  # characters walked over at once; bounds a task's memory
 BANDS, BAND_SAMPLES = 12, 6
 NEAR = 0.8
+CHUNK, TILE = 2048, 256  # members of a bucket in a block, rows of a block compared at once; no caps
+PAIRS = 32_768  # fingerprint pairs compared at once
 _ROW = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
     " edited_fingerprint string, near_edited double, near_next double,"
     " lane int, place string, text string"
 )
+_FOUND = "src long, dst long, links long, near_id long, near_likeness double"
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
@@ -205,78 +215,216 @@ _PLACES = [
     tuple(int(p) for p in np.sort(np.random.default_rng([band, 11]).choice(SAMPLES // 2, BAND_SAMPLES, replace=False)))
     for band in range(BANDS)
 ]
+_BAND_BIT, _CLASS_BIT = 4 * BAND_SAMPLES, 4 * BAND_SAMPLES + 4  # a key is class, band, digits
+
+
+def digit_table(prints: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Levels, numbers of samples, and the samples with 255 behind the last one."""
+    ks = np.array([int(f[:2], 16) for f in prints], np.int64)
+    n = np.array([len(f) - 2 for f in prints], np.int64)
+    table = np.full((len(prints), max(1, int(n.max(initial=0)))), 255, np.uint8)
+    flat = np.frombuffer("".join([f[2:] for f in prints]).encode(), np.uint8)
+    table[np.arange(table.shape[1]) < n[:, None]] = np.where(flat >= 97, flat - 87, flat - 48)
+    return ks, n, table
 
 
-def band_keys(fingerprint: str) -> list[str]:
-    """Sampled digits of the fingerprint's own grid and of the next coarser one.
+def key_table(ks: np.ndarray, n: np.ndarray, digits: np.ndarray) -> np.ndarray:
+    """Band keys of each fingerprint: sampled digits of its own grid and of the next coarser one.
 
     A slightly longer or shorter copy may stand on the other side of a level's bound, so
-    each text is found on both grids.
+    each text is found on both grids. ``BANDS`` columns for each; -1 for a missing place.
     """
-    k, digits = int(fingerprint[:2], 16), fingerprint[2:]
-    keys = []
+    out = np.full((len(ks), 2 * BANDS), -1, np.int64)
     for step in (0, 1):
-        sampled = digits[:: 1 << step]
         for band, places in enumerate(_PLACES):
-            if places[-1] < len(sampled):
-                keys.append(f"{k + step}:{band}:" + "".join([sampled[p] for p in places]))
-    return keys
+            rows = np.nonzero(-(-n // (1 << step)) > places[-1])[0]
+            if not len(rows):
+                continue
+            key = (ks[rows] + step) << _CLASS_BIT | band << _BAND_BIT
+            for i, p in enumerate(places):
+                key |= digits[rows, p << step].astype(np.int64) << 4 * i
+            out[rows, step * BANDS + band] = key
+    return out
+
+
+def band_keys(fingerprint: str) -> list[int]:
+    return [int(key) for key in key_table(*digit_table([fingerprint]))[0] if key >= 0]
+
+
+def _smaller_keys(keys: np.ndarray, key: int) -> np.ndarray:
+    """Digits of the keys below ``key`` that members of its bucket may share, in equal columns."""
+    of, band = key >> _CLASS_BIT, key >> _BAND_BIT & 15
+    columns = []
+    for wanted, width in ((of - 1, BANDS), (of, band)):
+        found = np.full((len(keys), width), -1, np.int64)
+        for half in (0, BANDS):
+            part = keys[:, half : half + width]
+            found = np.where((part >= 0) & (part >> _CLASS_BIT == wanted), part & (1 << _BAND_BIT) - 1, found)
+        columns.append(found)
+    return np.concatenate(columns, axis=1).astype(np.int32)
+
+
+def block_likeness(
+    ks: np.ndarray, n: np.ndarray, digits: np.ndarray, u: np.ndarray, v: np.ndarray
+) -> np.ndarray:
+    """``likeness`` of the index pairs."""
+    out = np.zeros(len(u))
+    apart = ks[v] - ks[u]
+    for d in np.unique(apart):
+        own = np.nonzero(apart == d)[0]
+        for at in range(0, len(own), PAIRS):
+            part = own[at : at + PAIRS]
+            x, y = 1 << max(0, int(d)), 1 << max(0, -int(d))
+            a, b = digits[u[part], ::x], digits[v[part], ::y]
+            width = min(a.shape[1], b.shape[1])
+            a, b = a[:, :width], b[:, :width]
+            equal = np.count_nonzero((a == b) & (a != 255), axis=1)
+            most = np.maximum(-(-n[u[part]] // x), -(-n[v[part]] // y))
+            out[part] = np.maximum(0.0, (equal / np.maximum(most, 1) - 1 / 16) / (15 / 16))
+    return out
+
+
+def bucket_links(key: int, prints: list[str], side: np.ndarray, near: float) -> tuple[np.ndarray, ...]:
+    """Links of a block: forest (two index arrays), then number, smallest earlier partner
+    (-1: none) and its likeness for each member.
+
+    ``side``: pairs are taken between the two sides, or among all if there is one side.
+    Pairs with a smaller key in common are left to its bucket.
+    """
+    table = digit_table(prints)
+    left = _smaller_keys(key_table(*table), key)
+    right = np.where(left < 0, -2, left)
+    m, cross = len(prints), len(np.unique(side)) > 1
+    links, first, like = np.zeros(m, np.int64), np.full(m, m), np.zeros(m)
+    edges = np.zeros((2, 0), np.int64)
+    for lo in range(0, m, TILE):
+        rows = np.arange(lo, min(m, lo + TILE))
+        mine = np.arange(m) > rows[:, None]
+        if cross:
+            mine &= side != side[rows][:, None]
+        for c in range(left.shape[1]):
+            mine &= left[rows, c][:, None] != right[:, c]
+        u, v = np.nonzero(mine)
+        u += lo
+        found = block_likeness(*table, u, v)
+        near_by = found >= near
+        u, v, found = u[near_by], v[near_by], found[near_by]
+        if not len(u):
+            continue
+        links += np.bincount(u, minlength=m) + np.bincount(v, minlength=m)
+        before = first.copy()
+        np.minimum.at(first, v, u)
+        new = (u == first[v]) & (first[v] < before[v])
+        like[v[new]] = found[new]
+        edges = np.array(forest(np.append(edges[0], u), np.append(edges[1], v), m))
+    return *edges, links, np.where(first < m, first, -1), like
+
+
+def _links_of(key: int, rows: list[tuple[int, int, int, str]], near: float) -> pa.RecordBatch | None:
+    """Rows of ``_FOUND`` for one block, given as (chunk, doc_id, node, fingerprint) by doc_id."""
+    if len(rows) < 2:
+        return None
+    chunks, docs, nodes, prints = zip(*rows, strict=True)
+    docs, nodes = np.array(docs, np.int64), np.array(nodes, np.int64)
+    src, dst, links, first, like = bucket_links(key, list(prints), np.array(chunks), near)
+    some = np.nonzero(links)[0]
+    if not len(some):
+        return None
+    edge, pad = np.arange(len(src) + len(some)) < len(src), np.zeros(len(src))
+    none = np.append(pad == 0, first[some] < 0)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(nodes[np.append(src, some)]),
+            pa.array(nodes[np.append(dst, some)], mask=~edge),
+            pa.array(np.append(pad, links[some]).astype(np.int64)),
+            pa.array(docs[np.append(src, first[some])], mask=none),
+            pa.array(np.append(pad, like[some]), mask=none),
+        ],
+        names=["src", "dst", "links", "near_id", "near_likeness"],
+    )
 
 
 def near_matches(prints: DataFrame, near: float = NEAR) -> DataFrame:
-    """``fingerprint, near_id, near_likeness``: the band partner with the smallest doc_id.
+    """``fingerprint, near_id, near_likeness, class_id, n_links`` (runs jobs).
 
     ``prints`` has ``doc_id, fingerprint``; rows without an id take no part. Equal
-    fingerprints are one node, carried by their smallest doc_id. Each node is compared with
-    the smallest node of each of its bands, and the partner of a likeness of at least
-    ``near`` with the smallest id is returned. Nodes without such a partner are left out.
-    No bucket is expanded into pairs, and only narrow keys are shuffled.
+    fingerprints are one node, carried by their smallest doc_id. Nodes with a band key in
+    common and a likeness of at least ``near`` are linked. ``near_id`` is the smallest
+    doc_id of a linked node that comes before the own one (null: none), ``n_links`` the
+    number of linked nodes, ``class_id`` the smallest doc_id reachable by links, the node's
+    own one without any.
+    Only narrow keys are shuffled before a bucket is known to have two members.
     """
+    spark = prints.sparkSession
     nodes = stored(
-        prints.filter("doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("node")),
+        prints.filter("doc_id IS NOT NULL").groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
+        .withColumn("node", F.xxhash64("fingerprint")),
         "print-nodes",
     )
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = [], []
-            for f, n in zip(batch.column("fingerprint").to_pylist(), batch.column("node").to_pylist(), strict=True):
-                own = band_keys(f)
-                keys += own
-                nodes += [n] * len(own)
+            if not batch.num_rows:
+                continue
+            keys = key_table(*digit_table(batch.column("fingerprint").to_pylist()))
+            row, column = np.nonzero(keys >= 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(keys, pa.string())], names=["node", "key"]
+                [batch.column("node").take(pa.array(row)), pa.array(keys[row, column])], names=["node", "key"]
             )
 
-    keys = nodes.mapInArrow(banded, "node long, key string").select(
-        "node", F.xxhash64("key").alias("key")
+    keys = stored(nodes.mapInArrow(banded, "node long, key long"), "print-keys")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    spread = F.ceil(F.col("n") / CHUNK).cast("int")
+    members = keys.join(shared.hint("shuffle_hash"), "key").select(
+        "node", "key", F.pmod(F.xxhash64("node"), spread).cast("int").alias("chunk"), spread.alias("n_chunks")
     )
-    least = keys.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    pairs = keys.join(least.hint("shuffle_hash"), "key").filter("node > head").select("node", "head").distinct()
-    compared = pairs.join(nodes.hint("shuffle_hash"), "node").join(
-        nodes.select(F.col("node").alias("head"), F.col("fingerprint").alias("other")).hint("shuffle_hash"), "head"
+    blocks = (
+        members.join(nodes.hint("shuffle_hash"), "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
+        .select(
+            "key", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
+            "chunk", "doc_id", "node", "fingerprint",
+        )
+        .repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "doc_id", "node")
     )
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, rows = None, []
         for batch in batches:
-            a, b = batch.column("fingerprint").to_pylist(), batch.column("other").to_pylist()
-            like = pa.array([likeness(x, y) for x, y in zip(a, b, strict=True)], pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("fingerprint"), batch.column("head"), like],
-                names=["fingerprint", "near_id", "near_likeness"],
-            )
-
+            own = zip(*[batch.column(c).to_pylist() for c in ("key", "a", "b")], strict=True)
+            rest = zip(*[batch.column(c).to_pylist() for c in ("chunk", "doc_id", "node", "fingerprint")], strict=True)
+            for k, row in zip(own, rest, strict=True):
+                if k != block:
+                    if block and (out := _links_of(block[0], rows, near)) is not None:
+                        yield out
+                    block, rows = k, []
+                rows.append(row)
+        if block and (out := _links_of(block[0], rows, near)) is not None:
+            yield out
+
+    found = stored(blocks.mapInArrow(linked, _FOUND), "print-links")
+    release(keys)
+    free_shuffles(spark)
+    linked_to = connected_components(found.filter("dst IS NOT NULL").select("src", "dst"))
+    classes = nodes.select("doc_id", "node").join(linked_to.hint("shuffle_hash"), "node")
+    smallest = classes.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    of_node = classes.join(smallest, "component").select("node", "class_id")
+    first = F.when(F.col("near_id").isNotNull(), F.struct("near_id", "near_likeness"))
+    sums = found.filter("dst IS NULL").groupBy(F.col("src").alias("node")).agg(
+        F.sum("links").alias("n_links"), F.min(first).alias("m")
+    )
     return (
-        compared.select("fingerprint", "head", "other")
-        .mapInArrow(verified, "fingerprint string, near_id long, near_likeness double")
-        .filter(F.col("near_likeness") >= near)
-        .groupBy("fingerprint").agg(F.min(F.struct("near_id", "near_likeness")).alias("m"))
-        .select("fingerprint", "m.near_id", "m.near_likeness")
+        nodes.join(sums.hint("shuffle_hash"), "node", "left").join(of_node.hint("shuffle_hash"), "node", "left")
+        .select(
+            "fingerprint", "m.near_id", "m.near_likeness",
+            F.coalesce("class_id", "doc_id").alias("class_id"),
+            F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        )
     )
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``edited_fingerprints`` with ``near_id, near_likeness`` of ``near_matches`` (runs jobs)."""
+    """``edited_fingerprints`` with the columns of ``near_matches`` (runs jobs)."""
     prints = stored(edited_fingerprints(docs, id_col, text_col), "prints")
     free_shuffles(docs.sparkSession)
     found = near_matches(prints.select("doc_id", "fingerprint"))

@@ -66,7 +66,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
-        "near_next", "near_id", "near_likeness",
+        "near_next", "near_id", "near_likeness", "class_id", "n_links",
     )
 
 

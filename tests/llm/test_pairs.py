@@ -111,3 +111,54 @@ def test_fingerprints_odd_rows(odd, empty, spark):
     (alone,) = fingerprint.fingerprint_documents(one).collect()
     assert alone["edited_sha256"] == hashlib.sha256(b"abcabc").hexdigest() and alone["near_next"] == 1.0
     assert fingerprint.fingerprint_documents(empty).count() == 0
+
+
+def test_every_pair_of_a_bucket_is_compared(spark):
+    rng = np.random.default_rng(5)
+    digits = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    tail = digits(64)
+    opening = digits(64)
+    rows = [(1, "05" + opening + digits(64)), (2, "05" + opening + tail), (3, "05" + opening + tail[:-2] + digits(2))]
+    rows += [(i, "05" + opening + digits(64)) for i in range(4, 10)]
+    got = {
+        r["fingerprint"]: tuple(r)[1:]
+        for r in fingerprint.near_matches(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()
+    }
+    assert got[rows[1][1]] == (None, None, 2, 1)
+    assert got[rows[2][1]] == (2, fingerprint.likeness(rows[1][1], rows[2][1]), 2, 1)
+    assert all(got[f] == (None, None, d, 0) for d, f in rows if d not in (2, 3))
+
+
+def near_copies(documents):
+    """Texts with copies: a word in forty replaced, a part of the text cut, or one of three places rewritten."""
+    rng = np.random.default_rng(17)
+    texts = sorted({t for t in documents.values() if t and 400 < len(t) < 30_000}, key=lambda t: (len(t), t))[::4]
+    out = list(texts)
+    for i, text in enumerate(texts):
+        words, n = text.split(), len(text)
+        out.append(" ".join(w if rng.random() > 0.025 else f"x{rng.integers(999)}" for w in words))
+        out.append(text[: n - n // 12])
+        at = (0, n // 2, n - n // 10)[i % 3]
+        out.append(text[:at] + "".join(rng.choice(list("etaoin shrdlu"), n // 10)) + text[at + n // 10 :])
+    return out
+
+
+@pytest.mark.parametrize("chunk", [7, 2048])
+def test_classes_against_brute_force(spark, documents, monkeypatch, chunk):
+    monkeypatch.setattr(fingerprint, "CHUNK", chunk)
+    prints = fingerprint.fingerprints([fingerprint.codes(t) for t in near_copies(documents)])
+    frame = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")
+    got = {r["fingerprint"]: r for r in fingerprint.near_matches(frame).collect()}
+    first = {}
+    for d, f in enumerate(prints):
+        first.setdefault(f, d)
+    nodes = sorted(first, key=first.get)
+    keys = {f: set(fingerprint.band_keys(f)) for f in nodes}
+    pairs = [(f, g) for i, f in enumerate(nodes) for g in nodes[i + 1 :] if fingerprint.likeness(f, g) >= 0.8]
+    met = [(f, g) for f, g in pairs if keys[f] & keys[g]]
+    together = sum(got[f]["class_id"] == got[g]["class_id"] for f, g in pairs)
+    assert len(pairs) > 40 and together >= 0.9 * len(pairs)
+    for f in nodes:
+        before = [(first[a], fingerprint.likeness(a, b)) for a, b in met if b == f]
+        assert got[f]["n_links"] == sum(f in p for p in met)
+        assert (got[f]["near_id"], got[f]["near_likeness"]) == min(before, default=(None, None))
