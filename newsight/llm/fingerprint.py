@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -210,11 +211,32 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return done.unionByName(ends)
 
 
-# places 0..31 exist on both grids of band_keys for all but very short texts
-_PLACES = [
-    tuple(int(p) for p in np.sort(np.random.default_rng([band, 11]).choice(SAMPLES // 2, BAND_SAMPLES, replace=False)))
-    for band in range(BANDS)
-]
+# Walks of 2^(i/3) to 2^((i+1)/3) steps are class i. Texts of a likeness of at least NEAR differ
+# in length by less than one class, so each text has the keys of its own class and the one below.
+_LEAST_STEPS = 2.0 ** (np.arange(150) / 3)
+
+
+def _grid(of: int) -> int:
+    """Level of a class's bands: every text with its keys has the multiples of 2^level."""
+    return max(0, of // 3 - 5)
+
+
+@cache
+def _places(of: int) -> np.ndarray:
+    """Places of each band on the class's grid, over all that its shortest text has.
+
+    Bands draw from windows of half of the places; each begins a twelfth later and the ends
+    meet, so that a change confined to a fifth of the text leaves some bands whole.
+    """
+    span = int(_LEAST_STEPS[of] * (1 + 1e-9)) >> _grid(of)
+    width = -(-span // 2)
+    bands = []
+    for band in range(BANDS):
+        drawn = np.random.default_rng([of, band, 11]).choice(width, min(BAND_SAMPLES, width), replace=False)
+        bands.append(np.sort((drawn + band * span // BANDS) % span))
+    return np.array(bands)
+
+
 _BAND_BIT, _CLASS_BIT = 4 * BAND_SAMPLES, 4 * BAND_SAMPLES + 4  # a key is class, band, digits
 
 
@@ -229,21 +251,22 @@ def digit_table(prints: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def key_table(ks: np.ndarray, n: np.ndarray, digits: np.ndarray) -> np.ndarray:
-    """Band keys of each fingerprint: sampled digits of its own grid and of the next coarser one.
+    """Band keys of each fingerprint: ``BANDS`` columns for its class and for the one below.
 
-    A slightly longer or shorter copy may stand on the other side of a level's bound, so
-    each text is found on both grids. ``BANDS`` columns for each; -1 for a missing place.
+    -1 where there is no key (empty texts; grids finer than the fingerprint's own).
     """
     out = np.full((len(ks), 2 * BANDS), -1, np.int64)
-    for step in (0, 1):
-        for band, places in enumerate(_PLACES):
-            rows = np.nonzero(-(-n // (1 << step)) > places[-1])[0]
-            if not len(rows):
+    classes = np.searchsorted(_LEAST_STEPS, n << ks, "right") - 1
+    for k, own in {(int(k), int(c)) for k, c in zip(ks, classes, strict=True)}:
+        rows = np.nonzero((ks == k) & (classes == own))[0]
+        for step in (0, 1):
+            of = own - step
+            if of < 0 or _grid(of) < k:
                 continue
-            key = (ks[rows] + step) << _CLASS_BIT | band << _BAND_BIT
-            for i, p in enumerate(places):
-                key |= digits[rows, p << step].astype(np.int64) << 4 * i
-            out[rows, step * BANDS + band] = key
+            places = _places(of)
+            sampled = digits[rows][:, places << (_grid(of) - k)].astype(np.int64)
+            value = (sampled << 4 * np.arange(places.shape[1])).sum(axis=2)
+            out[rows, step * BANDS : (step + 1) * BANDS] = of << _CLASS_BIT | np.arange(BANDS) << _BAND_BIT | value
     return out
 
 

@@ -162,3 +162,24 @@ def test_classes_against_brute_force(spark, documents, monkeypatch, chunk):
         before = [(first[a], fingerprint.likeness(a, b)) for a, b in met if b == f]
         assert got[f]["n_links"] == sum(f in p for p in met)
         assert (got[f]["near_id"], got[f]["near_likeness"]) == min(before, default=(None, None))
+
+
+@pytest.mark.parametrize("at", [0, 0.45, 0.9, None])
+@pytest.mark.parametrize("n", [6, 25, 150, 1000, 4000])
+def test_bands_see_the_whole_text(n, at):
+    """A tenth rewritten at one place, or some single letters (None): near copies share a key."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(60):
+        base = rng.integers(97, 123, n).astype(np.uint32)
+        copy = base.copy()
+        if at is None:
+            copy[rng.choice(n, max(1, n // 150), replace=False)] = 65
+        else:
+            part = slice(int(n * at), int(n * at) + max(1, n // 10))
+            copy[part] = rng.integers(97, 123, len(copy[part]))
+        texts += [base, copy]
+    prints = fingerprint.fingerprints(texts)
+    pairs = [p for p in zip(prints[::2], prints[1::2], strict=True) if p[0] != p[1] and fingerprint.likeness(*p) >= 0.8]
+    met = sum(bool(set(fingerprint.band_keys(a)) & set(fingerprint.band_keys(b))) for a, b in pairs)
+    assert met >= 0.9 * len(pairs)
