@@ -7,9 +7,10 @@ scan finds every maximal segment (Ruzzo, Tompa 1999). For clean text the best se
 tokens exceeds s with probability 1 - exp(-K n exp(-L s)) (Karlin, Altschul 1990); a
 logistic map from that significance to the labels gives the document's score.
 
-All tokens of all labelled training documents are counted, once for each document; the counts
-stay in Spark. The model holds the tokens that score above zero, at most ``MAX_TERMS`` of
-them; any other token counts as ordinary text and scores minus the drift.
+Tokens are hashed to a fixed number of slots, so the model has one size for any corpus;
+all tokens of all labelled training documents are counted, once for each document. Counts
+are summed and scored in Spark; the driver gets one signed score for each slot, many to a
+row as 32-bit floats. A slot without training text scores minus the drift.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ from newsight.llm.common import (
     text_bytes,
 )
 
-MAX_TERMS = 100_000
+SLOT_BITS = 20
+BLOCKS = 64  # ranges of slots; a row to the driver holds slots of one range
 PRIOR_SHARE = 0.1  # tokens of the prior, as a share of all training tokens
 Z_BOUND = 1.64  # one-sided 95 % bound of the log-odds
 DRIFT = 0.5
 SIGNIFICANT_E = 0.05  # expected number of such segments in a clean document
-_COUNTS = "token long, toxic long, clean long"
+_COUNTS = "slot int, toxic long, clean long"
 _EVIDENCE = "toxic int, n_tokens long, best double, n_segments int"
 SCORES = (
     "doc_id long, score double, n_tokens long, best double, n_segments int,"
@@ -42,26 +44,18 @@ SCORES = (
 
 
 class Model(NamedTuple):
-    tokens: np.ndarray  # sorted hashes of the tokens that score above zero
-    weights: np.ndarray  # their scores
+    weights: np.ndarray  # one score for each slot
     lam: float
     k: float
     coef: tuple[float, float, float]  # bias, significance, significant segments
 
 
-def token_scores(words: list[bytes], tokens: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    hashed = hash_words(words)
-    scores = np.full(len(hashed), -DRIFT)
-    if len(tokens):
-        at = np.searchsorted(tokens, hashed)
-        at[at == len(tokens)] = 0
-        known = tokens[at] == hashed
-        scores[known] = weights[at[known]]
-    return scores
+def token_slots(words: list[bytes], bits: int = SLOT_BITS) -> np.ndarray:
+    return (hash_words(words) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def log_odds(n_toxic: int, n_clean: int) -> Column:
-    """Score of a token from its counts ``toxic`` and ``clean`` and those of all tokens."""
+    """Score of a slot from its counts ``toxic`` and ``clean`` and those of all slots."""
     total = F.col("toxic") + F.col("clean")
     prior, all_prior = total * PRIOR_SHARE, (n_toxic + n_clean) * PRIOR_SHARE
     y1, y0 = F.col("toxic") + prior, F.col("clean") + prior
@@ -99,33 +93,64 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, last, high - low) for first, last, low, high in stack]
 
 
-def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, toxic = text_bytes(batch.column("text")), batch.column("toxic").to_numpy()
         for lo, hi in slices(texts):
             words, n = split_all(texts[lo:hi], plain_words)
-            tokens, code = np.unique(hash_words(words), return_inverse=True)
+            slots, code = np.unique(token_slots(words), return_inverse=True)
             row = np.repeat(np.arange(hi - lo), n)
             # once for each document: a word repeated in one text is one observation
             once = np.unique(row << 32 | code)
             of, code = toxic[lo:hi][once >> 32] == 1, once & 0xFFFFFFFF
-            counts = [np.bincount(code[of == label], minlength=len(tokens)) for label in (True, False)]
+            counts = [np.bincount(code[of == label], minlength=len(slots)) for label in (True, False)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens.view(np.int64)), *[pa.array(c.astype(np.int64)) for c in counts]],
-                names=["token", "toxic", "clean"],
+                [pa.array(slots.astype(np.int32)), *[pa.array(c.astype(np.int64)) for c in counts]],
+                names=["slot", "toxic", "clean"],
             )
 
 
-def _scored(texts: list[bytes], tokens: np.ndarray, weights: np.ndarray):
+def _scored(texts: list[bytes], weights: np.ndarray):
     """(number of tokens, maximal segments) of each text."""
     for lo, hi in slices(texts):
         words, n = split_all(texts[lo:hi], plain_words)
-        score = token_scores(words, tokens, weights)
+        score = weights[token_slots(words)] if words else np.zeros(0, np.float32)
         ends = np.cumsum(n)
         for end, count in zip(ends, n, strict=True):
             yield int(count), maximal_segments(score[end - count : end])
 
 
+def _packed(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Score and share of clean text of every slot, from ``slot, score, share`` of those with text."""
+    width = (1 << SLOT_BITS) // BLOCKS
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            parts = [batch.column(c).to_numpy().astype(np.float32) for c in ("score", "share")]
+            for block in np.unique(slot // width):
+                own = slot // width == block
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([(slot[own] % width).astype(np.int32).tobytes()]),
+                        *[pa.array([p[own].tobytes()]) for p in parts], pa.array([int(block)], pa.int32()),
+                    ],
+                    names=["places", "score", "share", "block"],
+                )
+
+    weights = np.full(1 << SLOT_BITS, -DRIFT, np.float32)
+    shares = np.zeros(1 << SLOT_BITS, np.float32)
+    # one partition, so that a batch holds many slots of a block; 16 bytes for each of 2^20 slots at most
+    rows = scored.repartitionByRange(1, "slot").sortWithinPartitions("slot").mapInArrow(
+        pack, "places binary, score binary, share binary, block int"
+    )
+    for row in rows.toLocalIterator():
+        at = row["block"] * width + np.frombuffer(row["places"], np.int32)
+        weights[at] = np.frombuffer(row["score"], np.float32)
+        shares[at] = np.frombuffer(row["share"], np.float32)
+    return weights, shares
+
+
 def _root(scores: np.ndarray, share: np.ndarray) -> float:
     """The positive solution of sum(share * exp(x * scores)) = 1; 1 where there is none."""
     if not (scores > 0).any() or float(scores @ share) >= 0:
@@ -186,33 +211,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """
     train = stored(training_rows(docs, labels, "toxic"), "toxic-train")
     counts = stored(
-        train.mapInArrow(_token_counts, _COUNTS)
-        .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
-        "token-counts",
+        train.mapInArrow(_slot_counts, _COUNTS)
+        .groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
+        "slot-counts",
     )
     n1, n0 = (n or 0 for n in counts.agg(F.sum("toxic"), F.sum("clean")).first())
-    empty = np.zeros(0)
     if not n1 or not n0:  # one class only: nothing to tell apart
-        return Model(empty.astype(np.uint64), empty, 1.0, 1.0, (0.0, 0.0, 0.0))
-    terms = (
-        counts.withColumn("score", log_odds(n1, n0)).filter("score > 0")
-        .orderBy(F.desc("score"), "token").limit(MAX_TERMS).toPandas()
+        return Model(np.full(1 << SLOT_BITS, -DRIFT, np.float32), 1.0, 1.0, (0.0, 0.0, 0.0))
+    weights, shares = _packed(
+        counts.select("slot", log_odds(n1, n0).alias("score"), (F.col("clean") / n0).alias("share"))
     )
     release(counts)
-    hashed = terms["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashed)
-    tokens, weights = hashed[order], terms["score"].to_numpy(float)[order]
-
-    share = terms["clean"].to_numpy(float) / n0
-    lam = _root(
-        np.append(terms["score"].to_numpy(float), -DRIFT), np.append(share, max(0.0, 1 - share.sum()))
-    )
-    shared = train.sparkSession.sparkContext.broadcast((tokens, weights))
+    lam = _root(weights.astype(float), shares.astype(float))
+    shared = train.sparkSession.sparkContext.broadcast(weights)
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for n, found in _scored(text_bytes(batch.column("text")), *shared.value):
+            for n, found in _scored(text_bytes(batch.column("text")), shared.value):
                 rows.append((n, max((s for _, _, s in found), default=0.0), found))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -236,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         .count().toPandas()
     )
     if len(seen) == 0 or seen["toxic"].nunique() < 2:
-        return Model(tokens, weights, lam, 1.0, (0.0, 0.0, 0.0))
+        return Model(weights, lam, 1.0, (0.0, 0.0, 0.0))
     n_tokens = 2.0 ** seen["log_n"].to_numpy()
     best, many = seen["best"].to_numpy(), seen["count"].to_numpy(float)
     clean_rows = (seen["toxic"] == 0).to_numpy()
@@ -246,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     x = _features(best, n_tokens, seen["n_segments"], lam, k)
     y = seen["toxic"].to_numpy(float)
     coef = _logistic(x, y, many)
-    return Model(tokens, weights, lam, k, tuple(float(c) for c in coef))
+    return Model(weights, lam, k, tuple(float(c) for c in coef))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -264,7 +280,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         model = Model(*shared.value)
         for batch in batches:
             ns, bests, counts, kept = [], [], [], []
-            for n, found in _scored(text_bytes(batch.column("text")), model.tokens, model.weights):
+            for n, found in _scored(text_bytes(batch.column("text")), model.weights):
                 floor = (math.log(model.k * max(n, 1)) - math.log(SIGNIFICANT_E)) / model.lam
                 ns.append(n)
                 bests.append(float(max((s for _, _, s in found), default=0.0)))
@@ -298,7 +314,7 @@ def without_toxic(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         for batch in batches:
-            found = list(_scored(text_bytes(batch.column(text_col)), model.tokens, model.weights))
+            found = list(_scored(text_bytes(batch.column(text_col)), model.weights))
             best = [max((s for _, _, s in f), default=0.0) for _, f in found]
             p = _probability(best, [n for n, _ in found], [len(f) for _, f in found], model)
             yield batch.filter(pa.array(p < threshold))

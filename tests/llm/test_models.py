@@ -141,3 +141,13 @@ def test_native_plan_has_no_python(spark, sf_dir):
     for query in (queries.op9_url_filter, queries.op3_pii):
         plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_clean_words_keep_their_negative_scores(spark):
+    rows = [(i, "calm calm gentle river" if i % 2 else "vile nasty") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    vile, nasty, calm, river, unknown = model.weights[toxicity.token_slots([b"vile", b"nasty", b"calm", b"river", b"zzz"])]
+    assert vile == nasty > 0 > unknown == -toxicity.DRIFT > -1.0 > calm == river
+    assert len(model.weights) == 1 << toxicity.SLOT_BITS
