@@ -151,3 +151,9 @@ def test_clean_words_keep_their_negative_scores(spark):
     vile, nasty, calm, river, unknown = model.weights[toxicity.token_slots([b"vile", b"nasty", b"calm", b"river", b"zzz"])]
     assert vile == nasty > 0 > unknown == -toxicity.DRIFT > -1.0 > calm == river
     assert len(model.weights) == 1 << toxicity.SLOT_BITS
+
+
+def test_fit_sees_large_numbers_of_segments(spark):
+    seen = spark.createDataFrame([(n,) for n in (0, 1, 64, 65, 1000, 200_000)], "n int")
+    rows = seen.select("n", toxicity.binned(seen["n"]).alias("b")).collect()
+    assert all(abs(r["b"] - r["n"]) <= 0.05 * r["n"] and (r["n"] > 64 or r["b"] == r["n"]) for r in rows)
