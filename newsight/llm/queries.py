@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsight.llm import decontam, fingerprint, minhash, packing, pii, quality, substring, suffix, toxicity, url_filter
+from newsight.llm import (
+    decontam, fingerprint, importance, minhash, packing, pii, prefix_trie, quality, substring, suffix,
+    token_counts, toxicity, url_filter,
+)
 from newsight.llm.common import held_out, table
+from newsight.llm.oracles import ORACLES
 
 
 def tokenizer_files() -> dict[str, str]:
@@ -112,6 +116,26 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        plain_pattern=token_counts.WORD_PATTERN, limit=2048,
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), every=20, shared=4)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+        percent=25, least_words=20, buckets=10_000, longest=2, seed=7,
+    ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring": op2_substring,
@@ -123,5 +147,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
     "op10_suffix": op10_suffix,
+    "op11_token_counts": op11_token_counts,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_importance": op13_importance,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES", "tokenizer_files"]
