@@ -389,12 +389,15 @@ _LABEL_SCORES = f"""{_window_words("eligible", "ord", "title || '. ' || content"
 label_scores AS (SELECT id AS ord, {_POOLED} FROM window_words GROUP BY id)"""
 
 
-def _components(vectors: str, threshold: float) -> str:
-    """Smallest reachable id per node, by repeated minimum over similar pairs."""
+def _similar(vectors: str, threshold: float) -> str:
+    return f"""SELECT a.id AS u, b.id AS v FROM {vectors} a JOIN {vectors} b ON a.id < b.id
+  WHERE list_cosine_similarity(a.vec, b.vec) >= {threshold}"""
+
+
+def _components(pairs: str) -> str:
+    """Smallest reachable id per node, by repeated minimum over pairs (u, v)."""
     return f"""
-pairs AS (
-  SELECT a.id AS u, b.id AS v FROM {vectors} a JOIN {vectors} b ON a.id < b.id
-  WHERE list_cosine_similarity(a.vec, b.vec) >= {threshold}),
+pairs AS ({pairs}),
 both_ways AS (SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs),
 reach AS (
   SELECT u AS node, u AS low FROM both_ways
@@ -404,9 +407,27 @@ component AS (SELECT node, min(low) AS low FROM reach GROUP BY node),
 numbered_clusters AS (SELECT node, dense_rank() OVER (ORDER BY low) AS cluster_id FROM component)"""
 
 
+# hashed terms: the first 32 bits of a word's MD5
+_TERMS = f"""word_rows AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '(\\p{{L}}+)', 1)) AS word FROM documents),
+term_rows AS (
+  SELECT doc_id, ('0x' || substr(md5(word), 1, 8))::BIGINT % {1 << 18} AS term, count(*) AS n
+  FROM word_rows GROUP BY ALL)"""
+
+_WEIGHTS = f"""{_TERMS},
+frequency AS (SELECT term, count(*) AS df FROM term_rows GROUP BY term),
+tf_idf AS (
+  SELECT doc_id, term, n * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) AS w
+  FROM term_rows JOIN frequency USING (term)),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM tf_idf GROUP BY doc_id),
+weights AS (SELECT doc_id, term, w / norm AS w FROM tf_idf JOIN norms USING (doc_id) WHERE w > 0)"""
+
+_ALIKE = f"""SELECT a.doc_id AS u, b.doc_id AS v FROM weights a JOIN weights b
+  ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY ALL HAVING sum(a.w * b.w) >= {settings.SIMILARITY_THRESHOLD}"""
+
 _VECTORS = "vectors AS (SELECT vec_id AS id, embedding AS vec FROM embeddings)"
 
-_ENRICHMENT = f"""{_components("vectors", X.SIMILARITY)},
+_ENRICHMENT = f"""{_components(_similar("vectors", X.SIMILARITY))},
 phrase_rows AS (
   SELECT ord AS id, unnest({phrases("scraped_content")}) AS phrase FROM articles
   WHERE scrape_status = 'success' AND scraped_content IS NOT NULL),
@@ -612,6 +633,27 @@ ORACLES = {
     "q_label_scores": f"""WITH {_ARTICLES}, {_LABEL_SCORES}
         SELECT a.ord, {", ".join(f'coalesce(l."{c}", 0.0::DOUBLE) AS "{c}"' for c in settings.LABEL_COLUMNS.values())}
         FROM articles a LEFT JOIN label_scores l ON a.ord = l.ord""",
+    "q_train_labels": f"""WITH {_TERMS},
+        seen AS (SELECT doc_id, quality AS k FROM documents JOIN labels USING (doc_id)),
+        sizes AS (SELECT k, count(*) AS size FROM seen GROUP BY k),
+        held AS (SELECT k, term, count(*) AS n FROM seen JOIN term_rows USING (doc_id) GROUP BY k, term),
+        likely AS (SELECT s.k, t.term, ln((coalesce(h.n, 0) + 1) / (s.size + 2)) AS l
+          FROM sizes s CROSS JOIN (SELECT DISTINCT term FROM term_rows) t
+          LEFT JOIN held h ON h.k = s.k AND h.term = t.term),
+        evidence AS (SELECT doc_id, k, sum(l) / sqrt(count(*)) AS e
+          FROM term_rows JOIN likely USING (term) GROUP BY doc_id, k),
+        logs AS (SELECT d.doc_id, s.k,
+            ln(s.size / (SELECT sum(size) FROM sizes)) + coalesce(e.e, 0) AS l
+          FROM documents d CROSS JOIN sizes s LEFT JOIN evidence e ON e.doc_id = d.doc_id AND e.k = s.k),
+        shares AS (SELECT doc_id, k, exp(l - max(l) OVER (PARTITION BY doc_id)) AS share FROM logs)
+        SELECT doc_id, round(sum(share) FILTER (k = 1) / sum(share), 6) AS score FROM shares GROUP BY doc_id""",
+    "q_doc_vectors": f"""WITH {_WEIGHTS}
+        SELECT d.doc_id, count(w.term) AS n_terms, round(coalesce(sum(w.w), 0), 6) AS weight_sum,
+          round(max(w.w), 6) AS top_weight, arg_max(w.term, (w.w, -w.term)) AS top_term
+        FROM documents d LEFT JOIN weights w USING (doc_id) GROUP BY d.doc_id""",
+    "q_doc_clusters": f"""WITH RECURSIVE {_WEIGHTS}, {_components(_ALIKE)}
+        SELECT doc_id, coalesce(cluster_id, 0) AS cluster_id
+        FROM documents LEFT JOIN numbered_clusters ON doc_id = node""",
     "q_cosine_pairs": f"""SELECT a.vec_id AS src, b.vec_id AS dst FROM embeddings a JOIN embeddings b
         ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.embedding, b.embedding) >= {X.SIMILARITY}""",
     "q_first_similar": f"""WITH every AS (SELECT vec_id, embedding FROM embeddings UNION ALL
@@ -620,7 +662,7 @@ ORACLES = {
         WHERE list_cosine_similarity(a.embedding, b.embedding) >= {X.SIMILARITY} GROUP BY b.vec_id""",
     "q_append": f"""WITH {_ARTICLES} SELECT url, ord, relevance_score, CAST({AS_OF} AS DATE) AS run_date
         FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord) AS k FROM articles) WHERE k = 1""",
-    "q_clusters": f"""WITH RECURSIVE {_VECTORS}, {_components("vectors", X.SIMILARITY)}
+    "q_clusters": f"""WITH RECURSIVE {_VECTORS}, {_components(_similar("vectors", X.SIMILARITY))}
         SELECT id AS vec_id, coalesce(cluster_id, 0) AS cluster_id
         FROM vectors LEFT JOIN numbered_clusters ON id = node""",
     "q_analysis_normalize": f"""

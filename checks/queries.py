@@ -12,7 +12,7 @@ from newsight import settings
 from newsight.functions import dates, replies, text, url
 from newsight.functions.html import page_text
 from newsight.operators import batches, content, dedup, export, filters, models, scoring
-from newsight.operators.clusters import cluster_articles, with_cluster_id
+from newsight.operators.clusters import cluster_articles, cluster_texts, with_cluster_id
 from newsight.operators.similarity import cosine_pairs, first_similar
 from newsight.plans import daily as plan
 from newsight.plans.collect import collect, union_sources
@@ -424,8 +424,9 @@ def train_labels(spark, sf):
     """Fitted on the labelled documents, applied to all."""
     docs = X.table(spark, sf, "documents").select("doc_id", "text")
     rows = docs.join(X.table(spark, sf, "labels"), "doc_id").select("doc_id", "text", "quality")
-    model = models.train_label_model(rows, "text", "quality")
-    return models.score_label(model, docs, "score").select("doc_id", F.round("score", 6).alias("score"))
+    model = models.train_label_model(rows, "doc_id", "text", "quality")
+    scored = models.score_label(model, docs, "doc_id", "text", "score")
+    return scored.select("doc_id", F.round("score", 6).alias("score"))
 
 
 # ---- similarity --------------------------------------------------------------
@@ -434,10 +435,13 @@ def train_labels(spark, sf):
 @query
 def doc_vectors(spark, sf):
     vectors = models.doc_vectors(X.table(spark, sf, "documents"), "doc_id", "text")
+    best = F.array_max("weights")
     return vectors.select(
         "doc_id",
-        F.size("embedding").alias("dims"),
-        F.size(F.filter("embedding", lambda x: x != 0)).alias("non_zero"),
+        F.size("terms").cast("long").alias("n_terms"),
+        F.round(F.aggregate("weights", F.lit(0.0), lambda a, w: a + w), 6).alias("weight_sum"),
+        F.round(best, 6).alias("top_weight"),
+        F.element_at("terms", F.array_position("weights", best).cast("int")).cast("long").alias("top_term"),
     )
 
 
@@ -445,7 +449,7 @@ def doc_vectors(spark, sf):
 def doc_clusters(spark, sf):
     docs = X.table(spark, sf, "documents")
     vectors = models.doc_vectors(docs, "doc_id", "text")
-    clusters = cluster_articles(vectors, "doc_id", "embedding")
+    clusters = cluster_texts(vectors, "doc_id")
     return with_cluster_id(docs.select("doc_id"), clusters, "doc_id")
 
 

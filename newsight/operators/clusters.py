@@ -9,6 +9,7 @@ from newsight import settings
 from newsight.operators.components import connected_components
 from newsight.operators.numbering import with_row_number
 from newsight.operators.similarity import similarity_links
+from newsight.operators.sparse import sparse_links
 
 
 def number_clusters(edges: DataFrame) -> DataFrame:
@@ -32,6 +33,13 @@ def cluster_articles(
     return number_clusters(links).withColumnRenamed("node", id_col)
 
 
+def cluster_texts(
+    vectors: DataFrame, id_col: str = "article_id", threshold: float = settings.SIMILARITY_THRESHOLD
+) -> DataFrame:
+    """``cluster_articles`` for sparse vectors (``terms``, ``weights``)."""
+    return number_clusters(sparse_links(vectors, id_col, threshold)).withColumnRenamed("node", id_col)
+
+
 def with_cluster_id(articles: DataFrame, clusters: DataFrame, id_col: str) -> DataFrame:
     """Add ``cluster_id``, 0 for articles similar to no other."""
     joined = articles.join(clusters, id_col, "left")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from newsight import settings
-from newsight.operators.clusters import cluster_articles, with_cluster_id
+from newsight.operators.clusters import cluster_articles, cluster_texts, with_cluster_id
 from newsight.operators.filters import has_content
 from newsight.operators.models import doc_vectors
 from newsight.operators.scoring import ArrayScorer, with_label_scores, with_sentiment, with_topic
@@ -30,12 +30,12 @@ def article_clusters(
 ) -> DataFrame:
     """``(id, cluster_id)`` of the clustered articles.
 
-    ``vectors`` is ``(id_col, embedding)``; without it hashed TF-IDF vectors of the
+    ``vectors`` is ``(id_col, embedding)``; without it sparse TF-IDF vectors of the
     articles with content are used.
     """
     if vectors is None:
         eligible = articles.filter(has_content(title=None)).select(id_col, "scraped_content")
-        vectors = doc_vectors(eligible, id_col, "scraped_content")
+        return cluster_texts(doc_vectors(eligible, id_col, "scraped_content"), id_col, threshold)
     return cluster_articles(vectors, id_col, "embedding", threshold)
 
 
