@@ -42,33 +42,26 @@ def drop_repeats(df: DataFrame, key: str, order_by: str) -> DataFrame:
 
 
 def _scan_group(rows: pa.Table) -> pa.Table:
-    """Kept positions of one conflict group of bounded size.
+    """Kept positions of one conflict group of bounded size, in one walk over its rows.
 
-    Keys become slots of one array. Each turn keeps every row that comes first in all its
-    slots and removes the rows that share a slot with it.
+    Keys are integer codes; each code has a slot that says whether a kept row holds it.
     """
     rows = rows.sort_by("at")
-    at = rows.column("at").to_numpy()
-    slots, width = [], 0
+    codes, width = [], 0
     for name in ("a", "b"):
-        codes = rows.column(name).combine_chunks().dictionary_encode(null_encoding="encode").indices
-        slots.append(codes.to_numpy() + width)
-        width += len(rows)
+        column = rows.column(name).combine_chunks().dictionary_encode()
+        codes.append(column.indices.fill_null(-1).to_numpy() + width)
+        width += len(column.dictionary)
     # a null second key conflicts with nothing: it gets a slot of its own
     free = rows.column("b").is_null().to_numpy()
-    slots[1] = np.where(free, width + np.arange(len(rows)), slots[1])
-    live, kept = np.arange(len(rows)), []
-    while len(live):
-        head = np.full(width + len(rows), len(rows))
-        for slot in slots:
-            np.minimum.at(head, slot[live], live)
-        firsts = live[(head[slots[0][live]] == live) & (head[slots[1][live]] == live)]
-        kept.append(at[firsts])
-        taken = np.zeros(len(head), bool)
-        for slot in slots:
-            taken[slot[firsts]] = True
-        live = live[~(taken[slots[0][live]] | taken[slots[1][live]])]
-    return pa.table({"at": pa.array(np.sort(np.concatenate([*kept, at[:0]])), pa.int64())})
+    codes[1] = np.where(free, width + np.arange(len(rows)), codes[1])
+    taken, kept = bytearray(width + len(rows)), []
+    for place, slots in enumerate(zip(codes[0].tolist(), codes[1].tolist(), strict=True)):
+        if not any(taken[s] for s in slots):
+            for s in slots:
+                taken[s] = 1
+            kept.append(place)
+    return pa.table({"at": rows.column("at").take(pa.array(kept, pa.int64()))})
 
 
 def _close_small_groups(pending: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -92,6 +85,55 @@ def _close_small_groups(pending: DataFrame, group_rows: int) -> tuple[DataFrame,
     return small.groupBy("group").applyInArrow(_scan_group, "at long"), large
 
 
+def _leads(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """First row of each first key ``(at, b, a)`` and of each second key ``(at, b)``."""
+    lead_a = pending.groupBy("a").agg(F.min(F.struct("at", "b")).alias("m")).select("m.*", "a")
+    return lead_a, pending.filter("b is not null").groupBy("b").agg(F.min("at").alias("at"))
+
+
+def _chain_links(pending: DataFrame, lead_a: DataFrame, lead_b: DataFrame) -> DataFrame:
+    """``(at, to, odd)`` of rows with just one earlier conflict, the row ``to``.
+
+    Such a row comes first for one key (or has no second key) and second for the other.
+    """
+    def seconds(key: str, lead: DataFrame) -> DataFrame:
+        firsts = lead.select(key, F.col("at").alias("to"))
+        behind = pending.join(firsts, key).filter("at > to")
+        other = "b" if key == "a" else "a"
+        return behind.groupBy(key).agg(F.min(F.struct("at", other, "to")).alias("m")).select("m.*")
+
+    by_a = seconds("a", lead_a).join(lead_b.select("at", F.lit(True).alias("leads")), "at", "left")
+    by_b = seconds("b", lead_b).join(lead_a.select("at"), "at", "left_semi")
+    links = by_a.filter("b is null or leads").select("at", "to").unionByName(by_b.select("at", "to"))
+    return links.withColumn("odd", F.lit(True))
+
+
+def _follow(links: DataFrame) -> tuple[DataFrame | None, int]:
+    """Where each chain starts, and whether a row is an odd number of links behind it.
+
+    Pointer jumping: each step doubles the links that a row has followed, so a chain of n rows
+    takes about log2(n) steps. Also returns the number of steps.
+    """
+    live, n_live = materialise_counted(links, "dedup-chains")
+    ended, steps = None, 0
+    while n_live:
+        known = live if ended is None else live.unionByName(ended)
+        onward = known.select(F.col("at").alias("to"), F.col("to").alias("next"), F.col("odd").alias("more"))
+        jumped = materialise(
+            live.join(onward, "to", "left").select(
+                "at", F.coalesce("next", "to").alias("to"),
+                (F.col("odd") != F.coalesce("more", F.lit(False))).alias("odd"),
+                F.col("next").isNull().alias("done"),
+            ),
+            "dedup-chains",
+        )
+        at_start = jumped.filter("done").drop("done")
+        ended = at_start if ended is None else ended.unionByName(at_start)
+        live = jumped.filter("not done").drop("done")
+        n_live, steps = live.count(), steps + 1
+    return ended, steps
+
+
 def greedy_two_key(
     df: DataFrame,
     first_key: str,
@@ -106,10 +148,15 @@ def greedy_two_key(
     Rejected rows do not mark their keys, so this differs from two chained
     single-key passes. It is the greedy matching of an edge list, which can be
     built in parallel (Blelloch, Fineman, Shun 2012): a row that comes first for
-    both of its keys is kept; rows sharing a key with a kept row go; repeat. A
-    chain of conflicts costs one round per link, so after every ``rounds`` rounds
-    the conflict groups of at most ``group_rows`` rows are finished at once, each
-    in one task; larger ones go on in rounds.
+    both of its keys is kept; rows sharing a key with a kept row go; repeat.
+
+    A chain of rows that each conflict with one earlier row only would cost one round per
+    link. Such a row is kept iff the row before it is not, so its place in the chain decides:
+    from the second round on, chains are followed to their start by pointer jumping and closed at
+    once, whatever their length. What is left are rows with several earlier conflicts that wait
+    for each other; in general no short parallel form is known for those (the problem is
+    P-complete), so after every ``rounds`` rounds the conflict groups of at most
+    ``group_rows`` rows are finished at once, each in one task; larger ones go on in rounds.
 
     ``order_by`` is a unique integer. Hot keys: rows equal in both keys are reduced
     to their first one before any shuffle, the minima combine map-side, and kept
@@ -125,12 +172,17 @@ def greedy_two_key(
     )
     kept, done = [], 0
     while n_pending:
-        lead_a = pending.groupBy("a").agg(F.min(F.struct("at", "b")).alias("m")).select("m.*", "a")
-        lead_b = pending.filter("b is not null").groupBy("b").agg(F.min("at").alias("at"))
-        chosen = lead_a.join(lead_b.select("at", F.lit(True).alias("leads_b")), "at", "left").filter(
+        lead_a, lead_b = _leads(pending)
+        first = lead_a.join(lead_b.select("at", F.lit(True).alias("leads_b")), "at", "left").filter(
             F.col("b").isNull() | F.col("leads_b")
         )
-        chosen = materialise(chosen.select("at", "a", "b"), "dedup-kept")
+        chosen = materialise(first.select("at", "a", "b"), "dedup-kept")
+        if done:
+            places, _ = _follow(_chain_links(pending, lead_a, lead_b))
+            if places is not None:
+                even = places.filter("not odd").join(chosen.select(F.col("at").alias("to")), "to", "left_semi")
+                closed = materialise(pending.join(even.select("at"), "at", "left_semi"), "dedup-kept")
+                chosen = chosen.unionByName(closed)
         kept.append(chosen.select("at"))
         left = pending.join(chosen.select("a"), "a", "left_anti").join(
             chosen.select("b").filter("b is not null"), "b", "left_anti"

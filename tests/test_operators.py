@@ -1,6 +1,8 @@
 import random
+import time
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings as hyp
 from hypothesis import strategies as st
@@ -60,6 +62,63 @@ def test_long_chains_are_closed_at_once(spark, group_rows):
     assert_greedy(rows, [r.ord for r in kept.collect()])
 
 
+def test_a_chain_of_a_million_rows_takes_few_rounds(spark, monkeypatch):
+    rounds, steps, store, follow = [], [], dedup.materialise_counted, dedup._follow
+
+    def counted(df, name):
+        rounds.append(name)
+        return store(df, name)
+
+    def followed(links):
+        found = follow(links)
+        steps.append(found[1])
+        return found
+
+    monkeypatch.setattr(dedup, "materialise_counted", counted)
+    monkeypatch.setattr(dedup, "_follow", followed)
+    n = 1_000_000
+    df = spark.range(n).selectExpr(
+        "id AS ord", "concat('c', (id + 1) div 2) AS u", "concat('d', id div 2) AS t"
+    )
+    kept = dedup.greedy_two_key(df, "u", "t", "ord", group_rows=1)
+    assert kept.agg(F.count("*"), F.sum("ord")).first() == (n // 2, (n // 2) * (n // 2 - 1))
+    assert kept.filter("ord % 2 = 1").count() == 0
+    # the rows at the start, one round for all rounds of links, at most one more
+    assert rounds.count("dedup-pending") <= 4 and max(steps) <= 21
+
+
+def test_chains_behind_rows_with_several_conflicts(spark):
+    """Branches, ladders and chains that start at a rejected row."""
+    rng = random.Random(2)
+    for seed in range(3):
+        rows, at = [], 0
+        for c in range(6):
+            for i in range(rng.randint(2, 14)):
+                rows.append((at, f"{c}u{(i + 1) // 2}", f"{c}t{i // 2}" if rng.random() > 0.1 else None))
+                at += 1
+                if rng.random() < 0.3:  # a second row at a link, with a chain of its own
+                    rows.append((at, f"{c}u{i // 2}", f"{c}{seed}x{i}"))
+                    rows.append((at + 1, f"{c}{seed}y{i}", f"{c}{seed}x{i}"))
+                    at += 2
+        df = spark.createDataFrame(rows, "ord long, u string, t string")
+        kept = dedup.greedy_two_key(df, "u", "t", "ord", rounds=50)
+        assert_greedy(rows, [r.ord for r in kept.collect()])
+
+
+def test_a_conflict_group_is_scanned_in_linear_time():
+    def seconds(n):
+        rows = pa.table({
+            "at": range(n), "a": [f"c{(i + 1) // 2}" for i in range(n)],
+            "b": [f"d{i // 2}" if i % 100 else None for i in range(n)],
+        })
+        start = time.perf_counter()
+        kept = dedup._scan_group(rows).column("at").to_pylist()
+        return time.perf_counter() - start, kept
+
+    (once, few), (four, many) = seconds(20_000), seconds(80_000)
+    assert many[: len(few) - 2] == few[:-2] and four < 10 * once + 0.5
+
+
 def test_dedup_articles_uses_canonical_url_and_stripped_title(spark):
     rows = [(1, "http://a/x?ref=1", " T "), (2, "http://a/x#top", "other"), (3, "http://b/", "T"), (4, "http://c/", " ")]
     df = spark.createDataFrame(rows, "ord long, url string, title string")
