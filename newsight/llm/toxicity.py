@@ -67,7 +67,8 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments as (first, last, score), in linear time.
 
     Runs of one sign are summed first; the scan keeps a stack of candidates with the
-    cumulative sums to their left and right ends.
+    cumulative sums to their left and right ends. Each candidate remembers the nearest one before
+    it that begins lower, so a search never passes over the same candidate twice.
     """
     up = scores > 0
     if not up.any():
@@ -76,21 +77,22 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     sums = np.add.reduceat(scores.astype(float), begins)
     ends = np.concatenate([begins[1:], [len(scores)]]) - 1
     after = np.cumsum(sums)
-    stack: list[tuple[int, int, float, float]] = []
+    stack: list[tuple[int, int, float, float, int]] = []
     for i in np.nonzero(up[begins])[0]:
         first, last = int(begins[i]), int(ends[i])
         low, high = float(after[i] - sums[i]), float(after[i])
+        j = len(stack) - 1
         while True:
             # the nearest candidate that begins lower; those passed over stay as they are
-            j = len(stack) - 1
             while j >= 0 and stack[j][2] >= low:
-                j -= 1
+                j = stack[j][4]
             if j < 0 or stack[j][3] >= high:
                 break
-            first, low = stack[j][0], stack[j][2]
+            first, low, before = stack[j][0], stack[j][2], stack[j][4]
             del stack[j:]
-        stack.append((first, last, low, high))
-    return [(first, last, high - low) for first, last, low, high in stack]
+            j = before
+        stack.append((first, last, low, high, j))
+    return [(first, last, high - low) for first, last, low, high, _ in stack]
 
 
 def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
