@@ -71,9 +71,15 @@ def signature(shingles: np.ndarray, by: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, n_shingles, node, signature``; node and signature are null for no words."""
-    by = _multipliers()
+def signatures(docs: DataFrame, n: int, text_key: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, node, signature``; node and signature are null for no words.
+
+    With ``text_key``, the text's SHA-256 too.
+    """
+    by, own = _multipliers(), keyed_text(docs)
+    kept = ["doc_id"]
+    if text_key:
+        own, kept = own.withColumn("text_key", F.sha2("text", 256)), ["text_key", "doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,13 +90,13 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 sign.append(signature(s, by) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
+                    *[batch.column(c) for c in kept], pa.array(size, pa.int64()), pa.array(node, pa.int64()),
                     pa.array(sign, pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "n_shingles", "node", "signature"],
+                names=[*kept, "n_shingles", "node", "signature"],
             )
 
-    return keyed_text(docs).mapInArrow(run, _ROW)
+    return own.mapInArrow(run, f"text_key string, {_ROW}" if text_key else _ROW)
 
 
 def candidate_edges(classes: DataFrame) -> DataFrame:
@@ -249,10 +255,13 @@ def confirmed_links(docs: DataFrame, families: DataFrame, n: int, percent: int)
 
 def near_duplicates(
     docs: DataFrame, shingle_words: int = 5, percent: int = 80,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", text_key: bool = False,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every input row (runs jobs).
 
+    With ``text_key`` also the SHA-256 of the row's text, which tells rows with one id and different
+    texts apart: each is judged by its own text.
+
     A document's set holds its distinct shingles of ``shingle_words`` words (the whole
     sequence if it has fewer). Documents with a Jaccard similarity of at least ``percent``
     / 100 are linked; ``component_id`` is the smallest doc_id reachable, and ``kept`` marks
@@ -262,7 +271,7 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     own = keyed_text(docs, id_col, text_col)
-    base = stored(signatures(own, shingle_words), "signatures")
+    base = stored(signatures(own, shingle_words, text_key), "signatures")
     classes = stored(
         base.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(
             F.min("doc_id").alias("doc_id"), F.any_value("signature").alias("signature")
@@ -289,7 +298,8 @@ def near_duplicates(
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
     )
-    return base.select("doc_id", "n_shingles", "node").join(of_node.hint("shuffle_hash"), "node", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"),
+    names = ["doc_id", "n_shingles"] + ["text_key"] * text_key
+    return base.select(*names, "node").join(of_node.hint("shuffle_hash"), "node", "left").select(
+        *names, component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
