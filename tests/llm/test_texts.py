@@ -279,6 +279,33 @@ def test_decontamination_odd_rows(spark, odd, empty):
     assert decontam.contaminated(empty, items).count() == 0
 
 
+def test_near_duplicate_stage_judges_each_text(spark):
+    """Ids shared by unlike texts, repeated rows, nulls, and a copy under a shared id."""
+    say = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [
+        (1, say("a")), (2, say("b")), (2, say("c")), (2, say("c")), (3, say("a")), (3, say("d")),
+        (4, None), (4, ""), (5, None), (None, say("a")), (None, None), (6, say("a") + " more"),
+    ]
+    docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], "doc_id long, text string, node string, text_key string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"] or 0, (r["text"] or "")[:1]) for r in kept.collect()))
+    assert got == [(0, ""), (0, "a"), (1, "a"), (2, "b"), (2, "c"), (3, "d"), (4, ""), (5, "")]
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_packing_stage_on_odd_rows(spark, odd, tokenizer):
+    rows = corpus_pipeline.pack(spark, odd, "").collect()
+    ids = lambda t: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1
+    assert sum(r["length"] for r in rows) == sum(ids(r["text"]) for r in odd.collect())
+    places = defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in places.values():
+        ends = np.cumsum([n for _, n in sorted(own)])
+        assert [o for o, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] <= 2048
+
+
 def test_pipeline(spark, sf_dir, documents, tokenizer):
     """Each stage on its own input, then the packed result against the last texts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
