@@ -24,6 +24,7 @@ FRENCH = ["therti", "ththa", "m."]
 SIMILARITY = 0.40
 COPY_IDS = 1_000_000  # added to the ids of copied vectors
 PER_PAYLOAD = 25
+ARRIVALS = 3  # files of a stream of feeds
 
 POSITIVE = ["the", "and", "les", "der", "que", "with", "un"]
 NEGATIVE = ["of", "de", "is", "und", "la", "that", "en"]

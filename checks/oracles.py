@@ -163,6 +163,23 @@ keyed AS (SELECT ord AS tick, {canonical("url")} AS a,
 {_greedy("keyed")},
 collected AS (SELECT r.* FROM recent_rows r JOIN kept k ON r.ord = k.tick)"""
 
+# Rows arrive in files, by feed. A row is late if it is not newer than the newest row of the files
+# two before its own, less the window; the first row of a URL counts, then the first of a title.
+_STREAMED = f"""
+arrived AS (
+  SELECT *, source_ord % {X.ARRIVALS} AS arrival, {canonical("url")} AS canonical_url,
+    CASE WHEN {strip("title")} <> '' THEN {strip("title")} ELSE 'url ' || canonical_url END AS title_key
+  FROM feed_rows WHERE ts IS NOT NULL),
+newest AS (SELECT arrival, max(ts) AS top FROM arrived GROUP BY arrival),
+in_time AS (
+  SELECT a.* FROM arrived a WHERE NOT EXISTS (
+    SELECT 1 FROM newest n WHERE n.arrival < a.arrival - 1
+      AND a.ts <= n.top - INTERVAL {settings.RECENCY_HOURS} HOUR)),
+by_url AS (
+  SELECT * FROM in_time QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY arrival, ord) = 1),
+taken AS (
+  SELECT * FROM by_url QUALIFY row_number() OVER (PARTITION BY title_key ORDER BY arrival, ord) = 1)"""
+
 # ---- relevance replies -------------------------------------------------------
 
 
@@ -544,8 +561,8 @@ ORACLES = {
         count(*) FILTER (ts >= {_CUT}) AS recent, count(*) FILTER (ts < {_CUT}) AS old,
         count(*) FILTER (ts IS NULL) AS undated FROM all_rows GROUP BY source""",
     "q_collect": f"WITH RECURSIVE {_COLLECTED} SELECT * FROM collected",
-    "q_stream_collect": f"""WITH {_ALL_ROWS} SELECT DISTINCT {canonical('url')} AS canonical_url
-        FROM feed_rows WHERE ts IS NOT NULL""",
+    "q_stream_collect": f"""WITH RECURSIVE {_ALL_ROWS}, {_STREAMED}
+        SELECT canonical_url, title, ord FROM taken""",
     "q_parse_date": """SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL
         WHEN event_id % 5 = 3 THEN CAST(date_trunc('day', ts) AS TIMESTAMP)
         ELSE CAST(date_trunc('second', ts) AS TIMESTAMP) END AS parsed FROM events""",

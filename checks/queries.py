@@ -17,7 +17,7 @@ from newsight.operators.similarity import cosine_pairs, first_similar
 from newsight.plans import daily as plan
 from newsight.plans.collect import collect, union_sources
 from newsight.plans.enrich import enrich
-from newsight.session import scratch_root
+from newsight.session import materialise, scratch_root
 from newsight.sources import feed_errors, parse_feeds, parse_search_pages, scan_feeds, scan_search_pages
 from newsight.streaming import stream_collect
 
@@ -115,12 +115,17 @@ def collect_(spark, sf):
 
 @query
 def stream_collect_(spark, sf):
+    """Feeds arrive in three files, one per trigger; rows behind the watermark are late."""
     root = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
-    feeds = _mixed_feeds(spark, sf)
-    feeds.write.parquet(f"{root}/feeds")
-    stream = spark.readStream.schema(feeds.schema).parquet(f"{root}/feeds")
+    feeds = materialise(_mixed_feeds(spark, sf), "stream-feeds")
+    for arrival in range(X.ARRIVALS):
+        part = feeds.filter(F.col("source_ord") % X.ARRIVALS == arrival)
+        part.coalesce(1).write.mode("append").parquet(f"{root}/feeds")
+    stream = (
+        spark.readStream.schema(feeds.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feeds")
+    )
     stream_collect(stream, f"{root}/articles", f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/articles").select("canonical_url")
+    return spark.read.parquet(f"{root}/articles").select("canonical_url", "title", "ord")
 
 
 # ---- dates -------------------------------------------------------------------

@@ -101,6 +101,35 @@ def test_stream_collect_resumes_without_repeats(spark, tmp_path):
     assert run() == ["http://a/1?x=1&y=2", "http://s/1", "http://s/2"]
 
 
+def test_stream_collect_over_micro_batches(spark, tmp_path):
+    """Titles across batches, a key that its timer forgets, a late row."""
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    ns = "http://www.sitemaps.org/schemas/sitemap/0.9"
+    news = "http://www.google.com/schemas/sitemap-news/0.9"
+
+    def arrive(*entries):
+        body = "".join(
+            f"<url><loc>http://{u}</loc><n:news><n:publication_date>2025-01-{at}:00:00Z</n:publication_date>"
+            f"<n:title>{title}</n:title></n:news></url>" for u, title, at in entries
+        )
+        xml = f'<urlset xmlns="{ns}" xmlns:n="{news}">{body}</urlset>'
+        feeds(spark, ("https://s/map", xml)).coalesce(1).write.mode("append").parquet(source)
+
+    arrive(("a/1", "T", "10T10"), ("a/2", " ", "10T10"), ("a/1#x", "other", "10T11"))
+    arrive(("b/1", " T ", "10T12"), ("b/2", "", "10T12"), ("b/3", "new", "10T12"))
+    arrive(("c/1", "far", "14T00"))
+    arrive(("d/1", "last", "14T01"))
+    arrive(("a/1", "T", "14T02"), ("e/1", "late", "12T00"), ("c/1", "again", "14T02"))
+    stream = spark.readStream.schema("feed_url string, source_ord long, payload string").option("maxFilesPerTrigger", 1)
+    query = stream_collect(stream.parquet(source), target, state)
+    query.awaitTermination()
+    rows = sorted((r.canonical_url, r.title.strip()) for r in spark.read.parquet(target).collect())
+    assert rows == [
+        ("http://a/1", "T"), ("http://a/1", "T"), ("http://a/2", ""), ("http://b/2", ""), ("http://b/3", "new"),
+        ("http://c/1", "far"), ("http://d/1", "last"),
+    ]
+
+
 def test_feed_shapes_of_real_publishers(spark):
     rss = "<rss><channel><item><link>http://a/1</link></item></channel>{}</rss>"
     ns = "http://www.sitemaps.org/schemas/sitemap/0.9"
