@@ -25,6 +25,7 @@ SIMILARITY = 0.40
 COPY_IDS = 1_000_000  # added to the ids of copied vectors
 PER_PAYLOAD = 25
 ARRIVALS = 3  # files of a stream of feeds
+SHARED_VECTORS = 4  # neighbouring pages with one vector, so that a run has clusters
 
 POSITIVE = ["the", "and", "les", "der", "que", "with", "un"]
 NEGATIVE = ["of", "de", "is", "und", "la", "that", "en"]
@@ -256,6 +257,15 @@ def batch_replies(batched: DataFrame) -> DataFrame:
     return clean.select("batch_id", F.inline(sent))
 
 
+def batch_failures(batched: DataFrame) -> DataFrame:
+    """Errors of some batches; those of every fourth were mended by a later attempt."""
+    b = F.col("batch_id")
+    text = F.concat(F.lit("429 RESOURCE_EXHAUSTED: the quota for batch "), b.cast("string"), F.lit(" is used up, try again later"))
+    return batched.select("batch_id").distinct().filter((b % 14 == 6) | (b % 4 == 3)).filter(b % 14 != 13).select(
+        "batch_id", text.alias("error")
+    )
+
+
 def article_labels(batched: DataFrame) -> DataFrame:
     """Scores for the articles of a run, in the shape ``batch_replies`` expects."""
     return batched.select(
@@ -311,7 +321,7 @@ def article_redirects(spark: SparkSession, sf_dir: str, articles: DataFrame) ->
 
 
 def article_vectors(spark: SparkSession, sf_dir: str, articles: DataFrame) -> DataFrame:
-    """Embedding of the page behind each article that has content."""
+    """Embedding of the page behind each article that has content; neighbours share one."""
     search = F.col("source_ord") - settings.SEARCH_SOURCE_BASE
     payload = F.when(search < 0, F.col("source_ord")).otherwise(
         F.shiftright(search, settings.SEARCH_PAGE_BITS)
@@ -319,7 +329,8 @@ def article_vectors(spark: SparkSession, sf_dir: str, articles: DataFrame) -> Da
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("page_id"), "embedding")
     return (
         articles.filter(has_content(title=None))
-        .select("ord", (payload * PER_PAYLOAD + F.col("item_ord")).alias("page_id"))
+        .select("ord", (payload * PER_PAYLOAD + F.col("item_ord")).alias("number"))
+        .select("ord", (F.col("number") - F.col("number") % SHARED_VECTORS).alias("page_id"))
         .join(vectors, "page_id")
         .select("ord", "embedding")
     )

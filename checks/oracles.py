@@ -126,6 +126,9 @@ _SEARCH = f"""
     FROM entries)
   WHERE url <> ''"""
 
+# with the results that have no link
+_EVERY_RESULT = _SEARCH.removesuffix("WHERE url <> ''")
+
 _ALL_ROWS = f"""{ENTRIES},
 feed_rows AS ({_feed_select("rss", "source_ord % 2 = 0")}
   UNION ALL {_feed_select("sitemap", "source_ord % 2 = 1")}),
@@ -231,7 +234,9 @@ _REPLY_JOIN = """LEFT JOIN last_one u
   ON b.batch_id = u.batch_id AND b.batch_index = u.batch_index AND u.k = 1"""
 _RECONCILED = f"""coalesce(u.score, 0) AS relevance_score,
   CASE WHEN u.score IS NULL THEN 'ERROR' ELSE {_category("u.score")} END AS category,
-  CASE WHEN u.score IS NULL THEN {_text(settings.UNMATCHED_REASONING)}
+  CASE WHEN u.score IS NULL AND b.batch_id % 14 = 6 THEN substr('429 RESOURCE_EXHAUSTED: the quota for batch '
+      || b.batch_id || ' is used up, try again later', 1, {settings.ERROR_TEXT_CHARS})
+    WHEN u.score IS NULL THEN {_text(settings.UNMATCHED_REASONING)}
     ELSE u.extra || 'thème ' || CASE WHEN u.doc_id % 3 = 0 THEN ' ' ELSE '' END || u.doc_id END AS reasoning,
   CASE WHEN u.score IS NULL THEN '' ELSE 'q' || u.quality || ', t' || u.toxic END AS key_indicators"""
 
@@ -524,7 +529,8 @@ articles AS (
   FROM relevant r LEFT JOIN content c ON r.url = c.url),
 {_ELIGIBLE},
 vectors AS (
-  SELECT a.ord AS id, e.embedding AS vec FROM articles a JOIN embeddings e ON a.page_number = e.vec_id
+  SELECT a.ord AS id, e.embedding AS vec FROM articles a JOIN embeddings e
+    ON a.page_number - a.page_number % {X.SHARED_VECTORS} = e.vec_id
   WHERE {strip("a.scraped_content")} <> ''),
 {_ENRICHMENT},
 {_ANALYSIS}"""
@@ -561,6 +567,15 @@ ORACLES = {
         count(*) FILTER (ts >= {_CUT}) AS recent, count(*) FILTER (ts < {_CUT}) AS old,
         count(*) FILTER (ts IS NULL) AS undated FROM all_rows GROUP BY source""",
     "q_collect": f"WITH RECURSIVE {_COLLECTED} SELECT * FROM collected",
+    "q_collect_counts": f"""WITH RECURSIVE {_COLLECTED},
+        results AS ({_EVERY_RESULT}),
+        judged AS (SELECT (source_ord - {settings.SEARCH_SOURCE_BASE}) // {1 << settings.SEARCH_PAGE_BITS} AS search_ord,
+            (source_ord - {settings.SEARCH_SOURCE_BASE}) % {1 << settings.SEARCH_PAGE_BITS} AS page,
+            url <> '' AND (ts IS NULL OR ts >= {_CUT}) AS taken FROM results)
+        SELECT 'page' AS scope, search_ord, page, count(*) FILTER (taken) AS kept,
+          count(*) FILTER (NOT taken) AS skipped FROM judged GROUP BY search_ord, page
+        UNION ALL SELECT 'dedup', NULL, NULL, (SELECT count(*) FROM collected),
+          (SELECT count(*) FROM recent_rows) - (SELECT count(*) FROM collected)""",
     "q_stream_collect": f"""WITH RECURSIVE {_ALL_ROWS}, {_STREAMED}
         SELECT canonical_url, title, ord FROM taken""",
     "q_parse_date": """SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL

@@ -15,7 +15,7 @@ from newsight.operators import batches, content, dedup, export, filters, models,
 from newsight.operators.clusters import cluster_articles, cluster_texts, with_cluster_id
 from newsight.operators.similarity import cosine_pairs, first_similar
 from newsight.plans import daily as plan
-from newsight.plans.collect import collect, union_sources
+from newsight.plans.collect import collect, collect_counted, union_sources
 from newsight.plans.enrich import enrich
 from newsight.session import materialise, scratch_root
 from newsight.sources import feed_errors, parse_feeds, parse_search_pages, scan_feeds, scan_search_pages
@@ -113,6 +113,13 @@ def collect_(spark, sf):
     return collect(_mixed_feeds(spark, sf), X.search_pages(entries), X.AS_OF)
 
 
+@query
+def collect_counts(spark, sf):
+    """Kept and skipped results per search page, rows left and removed by the dedup."""
+    entries = X.page_entries(spark, sf)
+    return collect_counted(_mixed_feeds(spark, sf), X.search_pages(entries), X.AS_OF)[1]
+
+
 @query
 def stream_collect_(spark, sf):
     """Feeds arrive in three files, one per trigger; rows behind the watermark are late."""
@@ -271,7 +278,8 @@ def reply_counts(spark, sf):
 def _reconciled(spark, sf):
     batched = X.label_batches(spark, sf)
     parsed = batches.parse_batch_replies(X.batch_replies(batched))
-    return batches.reconcile(batched, batches.first_valid(parsed, "batch_id", "results"))
+    results = batches.first_valid(parsed, "batch_id", "results")
+    return batches.reconcile(batched, results, X.batch_failures(batched))
 
 
 @query
@@ -577,7 +585,9 @@ def daily(spark, sf):
     feeds = _mixed_feeds(spark, sf)
     results = X.search_pages(X.page_entries(spark, sf))
     batched = plan.batched_articles(feeds, results, X.AS_OF)
-    scored = plan.score_relevance(batched, X.batch_replies(X.article_labels(batched)))
+    scored = plan.score_relevance(
+        batched, X.batch_replies(X.article_labels(batched)), X.batch_failures(batched)
+    )
     articles = plan.fetch_content(
         scored,
         X.article_redirects(spark, sf, batched),

@@ -18,10 +18,16 @@ def recent(
     keep_undated: bool = False,
 ) -> DataFrame:
     """Rows of the last ``hours`` before ``as_of``; undated rows by policy."""
+    return df.filter(is_recent(as_of, hours, ts_col, keep_undated))
+
+
+def is_recent(
+    as_of, hours: int = settings.RECENCY_HOURS, ts_col: str = "ts", keep_undated: bool = False
+) -> Column:
     cut = as_of_literal(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours), F.lit(0), F.lit(0))
     ts = F.col(ts_col)
     keep = ts >= cut
-    return df.filter(keep | ts.isNull()) if keep_undated else df.filter(keep)
+    return keep | ts.isNull() if keep_undated else keep
 
 
 def above_threshold(

@@ -41,6 +41,7 @@ class Inputs:
     pages: DataFrame
     article_replies: DataFrame
     vectors: DataFrame | None = None
+    failures: DataFrame | None = None
 
 
 def batched_articles(feeds: DataFrame, search_pages: DataFrame, as_of) -> DataFrame:
@@ -53,9 +54,12 @@ def prompts(batched: DataFrame) -> DataFrame:
     return batch_prompts(batched)
 
 
-def score_relevance(batched: DataFrame, batch_replies: DataFrame) -> DataFrame:
+def score_relevance(
+    batched: DataFrame, batch_replies: DataFrame, failures: DataFrame | None = None
+) -> DataFrame:
+    """Relevance of each article; ``failures(batch_id, error)`` explains batches without a reply."""
     results = first_valid(parse_batch_replies(batch_replies), "batch_id", "results")
-    return reconcile(batched, results)
+    return reconcile(batched, results, failures)
 
 
 def fetch_content(scored: DataFrame, redirects: DataFrame, pages: DataFrame, **options) -> DataFrame:
@@ -102,6 +106,6 @@ def daily_run(inputs: Inputs, scorers: Scorers, as_of, **fetch_options) -> DataF
     made during the run, call the stage functions one by one.
     """
     batched = batched_articles(inputs.feeds, inputs.search_pages, as_of)
-    scored = score_relevance(batched, inputs.batch_replies)
+    scored = score_relevance(batched, inputs.batch_replies, inputs.failures)
     articles = fetch_content(scored, inputs.redirects, inputs.pages, **fetch_options)
     return finish(articles, inputs.article_replies, scorers, as_of, inputs.vectors)

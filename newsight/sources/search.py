@@ -16,13 +16,13 @@ from newsight.schemas import ARTICLE_COLUMNS, SEARCH_JSON
 from newsight.sources.order import packed_ord, search_source_ord
 
 
-def scan_search_pages(pages: DataFrame, as_of) -> DataFrame:
-    """Every result with a link, before the recency cut."""
+def scan_results(pages: DataFrame, as_of) -> DataFrame:
+    """Every result of every page, with ``search_ord`` and ``page``; ``url`` may be missing."""
     source_ord = search_source_ord(F.col("search_ord"), F.col("page"))
     results = pages.select(
-        source_ord.alias("source_ord"),
+        "search_ord", "page", source_ord.alias("source_ord"),
         F.posexplode(F.from_json("payload", SEARCH_JSON)["news_results"]).alias("item_ord", "item"),
-    ).filter(F.length("item.link") > 0)
+    )
     source = F.col("item.source")
     # an object read as a string keeps its JSON text
     named = F.coalesce(F.get_json_object(source, "$.name"), F.lit(settings.DEFAULT_SEARCH_SOURCE))
@@ -39,7 +39,14 @@ def scan_search_pages(pages: DataFrame, as_of) -> DataFrame:
         "item_ord",
         packed_ord(F.col("source_ord"), F.col("item_ord")).alias("ord"),
         parse_relative_date(F.col("item.date"), as_of).alias("ts"),
-    ).select(*ARTICLE_COLUMNS)
+        "search_ord",
+        "page",
+    )
+
+
+def scan_search_pages(pages: DataFrame, as_of) -> DataFrame:
+    """Every result with a link, before the recency cut."""
+    return scan_results(pages, as_of).filter(F.length("url") > 0).select(*ARTICLE_COLUMNS)
 
 
 def parse_search_pages(pages: DataFrame, as_of, hours: int = settings.RECENCY_HOURS) -> DataFrame:

@@ -3,10 +3,12 @@ import tempfile
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from newsight import session
+from newsight import session, settings
 from newsight.operators.scoring import lexicon_labels, lexicon_polarity
 from newsight.plans import daily
+from newsight.plans.collect import collect, collect_counted
 from newsight.plans.enrich import Scorers
 from newsight.session import clear_scratch, materialise, scratch_root
 
@@ -58,6 +60,50 @@ def test_daily_run_keeps_failures_and_drops_flags(spark):
         assert (r.sentiment, r.cluster_id, r.Restaurant) == (0.0, 0, 0.0)
 
 
+def test_daily_run_explains_failed_batches(spark):
+    items = "".join(
+        f"<item><link>http://site/{i}</link><title>Story {i}</title><pubDate>Fri, 31 Jan 2025 10:00:00 GMT</pubDate></item>"
+        for i in range(27)
+    )
+    feeds = spark.createDataFrame([("http://feed/", 0, f"<rss><channel>{items}</channel></rss>")], "feed_url string, source_ord long, payload string")
+    search = spark.createDataFrame([], "search_ord long, page long, payload string")
+    batched = daily.batched_articles(feeds, search, AS_OF)
+    one = json.dumps([{"article_id": "0", "relevance_score": 90, "category": "HIGHLY_RELEVANT", "reasoning": "r", "key_indicators": []}])
+    replies = spark.createDataFrame([(0, 1, one)], "batch_id long, attempt int, raw string")
+    failures = spark.createDataFrame([(0, "x" * 80), (1, "429 " + "y" * 80)], "batch_id long, error string")
+    rows = {(r.batch_id, r.batch_index): r for r in daily.score_relevance(batched, replies, failures).collect()}
+    assert rows[0, 0].reasoning == "r" and rows[0, 1].reasoning == settings.UNMATCHED_REASONING
+    assert rows[1, 0].reasoning == ("429 " + "y" * 80)[: settings.ERROR_TEXT_CHARS] and rows[1, 0].category == "ERROR"
+
+
+def test_collect_reads_each_payload_once_and_counts(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(payload):
+        read.add(1)
+        return payload
+
+    items = "".join(
+        f"<item><link>http://site/{i}</link><title>Story {i // 2}</title><pubDate>Fri, 31 Jan 2025 10:00:00 GMT</pubDate></item>"
+        for i in range(6)
+    )
+    feeds = spark.createDataFrame([("http://feed/", k, f"<rss><channel>{items}</channel></rss>") for k in range(4)], "feed_url string, source_ord long, payload string")
+    news = [{"link": "http://found/1", "title": "New"}, {"title": "no link"}, {"link": "http://old/1", "date": "3 days ago"}]
+    pages = [(0, 1, json.dumps({"news_results": news})), (1, 1, json.dumps({"news_results": news[1:]})), (1, 2, "{}")]
+    search = spark.createDataFrame(pages, "search_ord long, page long, payload string")
+    watch = F.udf(seen, "string").asNondeterministic()
+    watched = [df.withColumn("payload", watch("payload")) for df in (feeds, search)]
+    articles, counts = collect_counted(*watched, AS_OF)
+    assert read.value == 7
+    assert sorted(r.url for r in articles.collect()) == ["http://found/1", "http://site/0", "http://site/2", "http://site/4"]
+    assert sorted(tuple(r[c] for c in ("scope", "search_ord", "page", "kept", "skipped")) for r in counts.collect()) == [
+        ("dedup", None, None, 4, 21), ("page", 0, 1, 1, 2), ("page", 1, 1, 0, 2),
+    ]
+    assert collect(*watched, AS_OF).count() == 4 and read.value == 14
+    none = collect_counted(feeds.limit(0), search.limit(0), AS_OF)
+    assert none[0].count() == 0 and [r.kept for r in none[1].collect()] == [0]
+
+
 def test_empty_day(spark):
     feeds = spark.createDataFrame([], "feed_url string, source_ord long, payload string")
     search = spark.createDataFrame([], "search_ord long, page long, payload string")
