@@ -29,6 +29,7 @@ SHARED_VECTORS = 4  # neighbouring pages with one vector, so that a run has clus
 
 POSITIVE = ["the", "and", "les", "der", "que", "with", "un"]
 NEGATIVE = ["of", "de", "is", "und", "la", "that", "en"]
+WEIGHTS = {"the": 2, "les": 2, "und": 1, "que": 3, "of": -1, "de": -2, "la": -1, "ng": -4, "er": 1}
 TOPICS = {
     "education": ["this", "are", "des", "und", "los"],
     "health": ["with", "from", "les", "der", "las"],

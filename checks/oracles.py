@@ -658,6 +658,17 @@ ORACLES = {
         SELECT doc_id AS id, unnest({phrases("text")}) AS phrase FROM documents), {_SENTIMENT}
         SELECT doc_id, coalesce(sentiment, 0.0::DOUBLE) AS sentiment
         FROM documents LEFT JOIN sentiments ON doc_id = id""",
+    "q_batch_scorer": f"""WITH pieces AS (
+          SELECT doc_id, unnest({phrases("text")}) AS phrase FROM documents),
+        weighed AS (SELECT doc_id, coalesce(list_sum(list_transform({words("phrase")},
+          lambda w: CASE w {" ".join(f"WHEN '{w}' THEN {n}" for w, n in X.WEIGHTS.items())} ELSE 0 END)), 0) AS total
+          FROM pieces),
+        judged AS (SELECT doc_id, count(*) AS n_phrases, count(*) FILTER (total > 0) AS p,
+          count(*) FILTER (total < 0) AS n FROM weighed GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_phrases, 0)::INTEGER AS n_phrases,
+          CASE WHEN coalesce(p + n, 0) = 0 THEN 0.0::DOUBLE
+            ELSE {round2("((p - n)::DOUBLE / (p + n)::DOUBLE)")} END AS sentiment
+        FROM documents d LEFT JOIN judged j USING (doc_id)""",
     "q_topic_top1": f"""WITH {_ARTICLES}, {_TOPICS}
         SELECT a.ord, iptc_topic FROM articles a LEFT JOIN topics t ON a.ord = t.ord""",
     "q_topic_map": f"""WITH {_ARTICLES}, {_TOPICS}
@@ -694,6 +705,10 @@ ORACLES = {
         WHERE list_cosine_similarity(a.embedding, b.embedding) >= {X.SIMILARITY} GROUP BY b.vec_id""",
     "q_append": f"""WITH {_ARTICLES} SELECT url, ord, relevance_score, CAST({AS_OF} AS DATE) AS run_date
         FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord) AS k FROM articles) WHERE k = 1""",
+    "q_publish": f"""WITH {_ARTICLES},
+        runs AS (SELECT ord, url, {AS_OF} + to_hours(ord % 2) AS processed_timestamp FROM articles)
+        SELECT 'runs' AS name, * FROM runs UNION ALL SELECT 'log', * FROM runs
+        UNION ALL SELECT 'log', * FROM runs WHERE ord % 2 = 1""",
     "q_clusters": f"""WITH RECURSIVE {_VECTORS}, {_components(_similar("vectors", X.SIMILARITY))}
         SELECT id AS vec_id, coalesce(cluster_id, 0) AS cluster_id
         FROM vectors LEFT JOIN numbered_clusters ON id = node""",

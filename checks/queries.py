@@ -401,6 +401,17 @@ def sentiment(spark, sf):
     )
 
 
+@query
+def batch_scorer(spark, sf):
+    """Sentiment by a Python model, in Arrow batches."""
+    scorer = scoring.batch_scorer(scoring.weighted_polarity(X.WEIGHTS), "string")
+    docs = scoring.with_pieces(X.table(spark, sf, "documents"), text.phrases(F.col("text")), "pieces")
+    scored = materialise(docs.select("doc_id", scorer(F.col("pieces")).alias("labels")), "labels")
+    return scored.select(
+        "doc_id", F.size("labels").alias("n_phrases"), scoring.sentiment_ratio(F.col("labels")).alias("sentiment")
+    )
+
+
 @query
 def topic_top1(spark, sf):
     articles = X.document_articles(spark, sf)
@@ -493,6 +504,27 @@ def append_(spark, sf):
     return spark.read.parquet(target).select("url", "ord", "relevance_score", "run_date")
 
 
+@query
+def publish(spark, sf):
+    """Two runs into new catalog tables, the second one twice: appended, and one partition per run."""
+    articles = X.document_articles(spark, sf).select("ord", "url", "relevance_score")
+    at = F.lit(X.AS_OF).cast("timestamp_ntz")
+    runs = [
+        articles.filter(F.col("ord") % 2 == k).withColumn("processed_timestamp", at + F.make_dt_interval(hours=F.lit(k)))
+        for k in (0, 1)
+    ]
+    database = f"news_{uuid.uuid4().hex}"
+    location = f"{scratch_root(spark)}/{database}"
+    for run in (*runs, runs[1]):
+        export.append_to_table(run, database, "log", location)
+        export.publish_run(run, database, "runs", location)
+    rows = [
+        spark.table(f"{database}.{name}").select(F.lit(name).alias("name"), "ord", "url", "processed_timestamp")
+        for name in ("log", "runs")
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 @query
 def clusters(spark, sf):
     vectors = X.table(spark, sf, "embeddings")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsight import settings
@@ -11,6 +11,9 @@ from newsight.operators.dedup import keep_first
 from newsight.schemas import EXPORT_SCHEMA, REQUIRED_ENRICHMENTS
 
 
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def require_columns(df: DataFrame, required: list[str] = REQUIRED_ENRICHMENTS) -> DataFrame:
     """Fail before any job runs if an enrichment is missing."""
     missing = [c for c in required if c not in df.columns]
@@ -60,12 +63,48 @@ def append_to_path(export: DataFrame, path: str) -> None:
     )
 
 
-def append_to_table(export: DataFrame, database: str, table: str) -> None:
-    """Append to a catalog table; database and table are created on first use."""
-    export.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def _ensure_database(spark: SparkSession, database: str, location: str | None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
+
+
+def append_to_table(
+    export: DataFrame, database: str, table: str, location: str | None = None
+) -> None:
+    """Append to a catalog table; database and table are created on first use.
+
+    ``location`` is where a new database keeps its tables, the warehouse by default.
+    """
+    _ensure_database(export.sparkSession, database, location)
     export.write.mode("append").saveAsTable(f"`{database}`.`{table}`")
 
 
+def publish_run(
+    export: DataFrame, database: str, table: str, location: str | None = None
+) -> None:
+    """Append the rows of a run to a catalog table, or replace those of the same run.
+
+    The table has one partition per run, named by ``processed_timestamp``; only partitions that
+    occur in ``export`` are overwritten. A repeated or retried run therefore leaves the table as
+    it was, and other runs are never touched. Database and table are created on first use.
+    """
+    spark = export.sparkSession
+    _ensure_database(spark, database, location)
+    named = export.withColumn("run", F.date_format("processed_timestamp", "yyyyMMdd'T'HHmmss"))
+    target = f"`{database}`.`{table}`"
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        named.limit(0).write.partitionBy("run").saveAsTable(target)
+    # by position, as an insert reads it; the partition column is the last one
+    rows = named.select(*spark.table(target).columns)
+    # an insert takes the mode from the session, not from the writer
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        rows.write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
+
+
 def source_counts(articles: DataFrame, as_of, hours: int = settings.RECENCY_HOURS) -> DataFrame:
     """Entries per source and how many are recent, old or undated."""
     cut = as_of_literal(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours), F.lit(0), F.lit(0))

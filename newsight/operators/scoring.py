@@ -56,6 +56,27 @@ def batch_scorer(
     return score
 
 
+def weighted_polarity(weights: dict[str, float]) -> Callable[[], Callable[[list[str]], list[str]]]:
+    """A small Python model for ``batch_scorer``: sign of the summed weights of a piece's words.
+
+    Words are lower-case runs of letters. Stands in for a hosted classifier in tests and as an
+    example of what ``load`` has to return.
+    """
+
+    def load() -> Callable[[list[str]], list[str]]:
+        import regex
+
+        words = regex.compile(r"\p{L}+").findall
+
+        def label(piece: str) -> str:
+            total = sum(weights.get(w, 0) for w in words(piece.lower()))
+            return "positive" if total > 0 else "negative" if total < 0 else "neutral"
+
+        return lambda pieces: [label(p) for p in pieces]
+
+    return load
+
+
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
 
@@ -159,10 +180,20 @@ def _eligible() -> Column:
     return ~is_blank(F.col("scraped_content")) & ~is_blank(F.col("title"))
 
 
+def with_pieces(rows: DataFrame, pieces: Column, name: str = "_pieces") -> DataFrame:
+    """Add the texts that a scorer reads as a column of their own.
+
+    A generator keeps them apart from the scorer's expression: over a file scan Spark does not
+    move a Python function out of a plan if its input has lambdas inside lambdas.
+    """
+    return rows.select("*", F.explode(F.array(pieces)).alias(name))
+
+
 def with_sentiment(articles: DataFrame, scorer: ArrayScorer) -> DataFrame:
     """Add ``sentiment``; 0.0 unless the scrape succeeded."""
     pieces = F.when(F.col("scrape_status") == "success", phrases(F.col("scraped_content")))
-    return articles.withColumn("sentiment", sentiment_ratio(scorer(pieces)))
+    scored = with_pieces(articles, pieces).withColumn("sentiment", sentiment_ratio(scorer(F.col("_pieces"))))
+    return scored.drop("_pieces")
 
 
 def with_topic(
@@ -170,12 +201,13 @@ def with_topic(
 ) -> DataFrame:
     """Add ``iptc_topic`` and ``iptc_topic_fr``; null without title and content."""
     text = F.when(_eligible(), F.array(topic_text(F.col("title"), F.col("scraped_content"))))
-    best = top_label(F.element_at(scorer(text), 1))
+    best = top_label(F.element_at(scorer(F.col("_pieces")), 1))
 
     def both(topic: Column) -> Column:
         return F.struct(topic.alias("iptc_topic"), topic_name(topic, names_fr).alias("iptc_topic_fr"))
 
-    return articles.select("*", F.inline(F.transform(F.array(best), both)))
+    staged = with_pieces(articles, text)
+    return staged.select(*articles.columns, F.inline(F.transform(F.array(best), both)))
 
 
 def topic_name(topic: Column, names: dict[str, str] = settings.TOPIC_LABELS_FR) -> Column:
@@ -195,7 +227,7 @@ def with_label_scores(
     """Add one score column per label, best window of the whole text; 0.0 by default."""
     text = label_text(F.col("title"), F.col("scraped_content"))
     windows = F.when(_eligible(), window_texts(text))
-    pooled = max_pool(scorer(windows), list(columns))
+    pooled = max_pool(scorer(F.col("_pieces")), list(columns))
 
     def spread(scores: Column) -> Column:
         return F.struct(
@@ -205,4 +237,5 @@ def with_label_scores(
             ]
         )
 
-    return articles.select("*", F.inline(F.transform(F.array(pooled), spread)))
+    staged = with_pieces(articles, windows)
+    return staged.select(*articles.columns, F.inline(F.transform(F.array(pooled), spread)))

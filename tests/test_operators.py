@@ -242,6 +242,26 @@ def test_batch_scorer_scores_each_distinct_piece_once(spark):
     assert got == [["positive", "negative", "positive"], ["negative", "negative"], None]
 
 
+def test_python_models_score_stored_articles(spark, tmp_path):
+    """The same labels from a Python model and from an expression, over files."""
+    body = "The best day of all. Of a bad day, it was said. Neither here nor there, they went home. " * 3
+    rows = [(i, f"the title {i}", body[i:] if i % 3 else None, "success" if i % 4 else "partial") for i in range(12)]
+    spark.createDataFrame(rows, "ord int, title string, scraped_content string, scrape_status string").write.parquet(str(tmp_path / "a"))
+    articles = spark.read.parquet(str(tmp_path / "a"))
+    model = scoring.batch_scorer(scoring.weighted_polarity({"best": 1, "bad": -1}), "string")
+    plain = scoring.lexicon_polarity(["best"], ["bad"])
+    by = lambda scorer: sorted((r.ord, r.sentiment) for r in scoring.with_sentiment(articles, scorer).collect())
+    assert by(model) == by(plain) and len({s for _, s in by(plain)}) > 1
+
+    def shares():
+        return lambda texts: [{"health": t.lower().count("the") / 100} for t in texts]
+
+    scored = scoring.batch_scorer(shares, "map<string,double>")
+    assert {r.iptc_topic for r in scoring.with_topic(articles, scored).collect()} == {"health", None}
+    pooled = scoring.with_label_scores(articles, scored, {"health": "H"}).collect()
+    assert all((r.H > 0) == (r.scraped_content is not None) for r in pooled)
+
+
 def test_scores_of_ineligible_articles(spark):
     rows = [("t", "the the cat", "partial"), ("t", " ", "success"), (None, "the", "success"), ("t", None, None)]
     df = spark.createDataFrame(rows, "title string, scraped_content string, scrape_status string")
