@@ -121,7 +121,82 @@ SELECT doc_id, n_features, weight, score, CASE WHEN can AND place <= 25 * n // 1
 FROM ranked
 """
 
+_WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+
+SUBSTRING = f"""
+WITH split AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)
+), seen AS (SELECT gram, min(doc_id) AS first FROM windows GROUP BY gram),
+covered AS (
+  SELECT DISTINCT doc_id, i + j AS pos
+  FROM windows JOIN seen USING (gram), range(13) AS r(j) WHERE first < doc_id
+), words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM split),
+kept AS (
+  SELECT doc_id, count(c.pos) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (c.pos IS NULL) AS kept
+  FROM words LEFT JOIN covered c USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT s.doc_id, len(s.w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN kept USING (doc_id)
+"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MINHASH = f"""
+WITH RECURSIVE split AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1) + 1))) AS i FROM split)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL) p
+    JOIN sizes s ON s.doc_id = p.a JOIN sizes t ON t.doc_id = p.b
+  WHERE 100 * common >= 80 * (s.n + t.n - common)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS low FROM documents
+  UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.node
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.low) AS component_id,
+  min(r.low) = d.doc_id AS kept
+FROM documents d JOIN reach r ON r.node = d.doc_id LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id
+"""
+
+SUFFIX = """
+WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (  -- 256 windows each, as cutting from a long string is slow
+  SELECT doc_id, base, substr(h, 2 * base + 1, 2 * 655) AS part
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399, 256)) AS base FROM hexed)
+), windows AS (
+  SELECT doc_id, base + j AS i, md5(substr(part, 2 * j + 1, 800)) AS k
+  FROM (SELECT doc_id, base, part, unnest(range(0, len(part) // 2 - 399)) AS j FROM parts)
+), repeated AS (
+  SELECT doc_id, i FROM windows WHERE k IN (SELECT k FROM windows GROUP BY k HAVING count(*) > 1)
+), steps AS (
+  SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, TRUE) AS new FROM repeated
+), runs AS (
+  SELECT doc_id, min(i) AS first, max(i) + 400 AS last
+  FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps) GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY first), 0) AS a, first AS b FROM runs
+  UNION ALL SELECT h.doc_id, coalesce(max(r.last), 0), any_value(len(h.h)) // 2
+  FROM hexed h LEFT JOIN runs r USING (doc_id) GROUP BY h.doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS kept
+  FROM gaps JOIN hexed USING (doc_id) GROUP BY doc_id
+), removed AS (SELECT doc_id, sum(last - first) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT h.doc_id, (len(h.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(k.kept)) AS kept_sha256
+FROM hexed h JOIN kept k USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_substring": SUBSTRING,
+    "op6_minhash": MINHASH,
+    "op10_suffix": SUFFIX,
     "op12_prefix_trie": PREFIX_TRIE,
     "op13_importance": IMPORTANCE,
 }
