@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from newsight import settings
 from newsight.functions.html import page_text
 from newsight.functions.url import is_blocked, is_redirect, locale, netloc
+from newsight.operators.bloom import bloom_words, maybe_in
 from newsight.operators.filters import above_threshold
 from newsight.operators.numbering import with_row_number
+from newsight.session import materialise
 
 
 def resolve_redirects(urls: DataFrame, redirects: DataFrame) -> DataFrame:
@@ -106,13 +108,15 @@ def scrape(urls: DataFrame, redirects: DataFrame, pages: DataFrame, **options) -
 
     ``pages`` is ``(url, html, http_status, error, final_url)`` keyed by the fetched
     URL. URLs that need no page still get their status; others without a page
-    are absent, as if they had not been fetched yet. Text extraction comes after the join, so only
-    requested pages are read for their text.
+    are absent, as if they had not been fetched yet. The wanted URLs are stored first (runs a job);
+    a Bloom filter of them thins the page table out where it is read, so HTML of other pages
+    never moves. Text extraction comes after the join.
     """
     resolved = resolve_redirects(urls.select("url"), redirects)
     # unresolved rows join on their own URL: null keys would all meet in one task
-    wanted = resolved.withColumn("_page", F.coalesce("fetch_url", "url"))
-    found = pages.withColumnRenamed("url", "_page").withColumn("_found", F.lit(True))
+    wanted = materialise(resolved.withColumn("_page", F.coalesce("fetch_url", "url")), "wanted")
+    thinned = maybe_in(pages, "url", bloom_words(wanted, "_page"))
+    found = thinned.withColumnRenamed("url", "_page").withColumn("_found", F.lit(True))
     fetched = wanted.join(found, "_page", "left")
     blocked = options.get("blocked", settings.BLOCKED_DOMAINS)
     needs_none = (
