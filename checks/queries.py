@@ -161,13 +161,7 @@ def parse_relative_date(spark, sf):
     for at, unit in ((1, " hours ago"), (2, " days ago"), (3, " week ago")):
         printed = printed.when(k == at, F.concat(n, F.lit(unit)))
     printed = printed.when(k == 4, F.lit("Yesterday")).when(k == 5, F.lit("just now"))
-    shapes = [
-        "MMM d, yyyy, hh:mm:ss a", "MMM d, yyyy, hh:mm a", "MMM d, yyyy",
-        "MMMM d, yyyy, hh:mm:ss a", "MMMM d, yyyy, hh:mm a", "MMMM d, yyyy",
-        "MM/dd/yyyy hh:mm a", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd",
-        "dd MMM yyyy", "dd MMMM yyyy",
-    ]
-    for at, shape in enumerate(shapes, start=6):
+    for at, shape in enumerate(settings.SEARCH_DATE_SHAPES, start=6):
         printed = printed.when(k == at, F.date_format(ts, shape))
     printed = printed.otherwise(F.lit("about 2 hours ago"))
     return X.table(spark, sf, "events").select(

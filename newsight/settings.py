@@ -120,6 +120,22 @@ MAIL_ZONE_MINUTES = {
     "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420,
 }
 
+# forms of the absolute dates of search results, in the order in which they are tried
+SEARCH_DATE_SHAPES = [
+    "MMM d, yyyy, hh:mm:ss a",
+    "MMM d, yyyy, hh:mm a",
+    "MMM d, yyyy",
+    "MMMM d, yyyy, hh:mm:ss a",
+    "MMMM d, yyyy, hh:mm a",
+    "MMMM d, yyyy",
+    "MM/dd/yyyy hh:mm a",
+    "MM/dd/yyyy",
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd",
+    "dd MMM yyyy",
+    "dd MMMM yyyy",
+]
+
 # prompt texts around the numbered article list and around one article
 BATCH_PROMPT_HEAD = (
     "Analyze the relevance of these {n} articles to Quebec City and the Capitale-Nationale region."
