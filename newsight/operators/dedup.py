@@ -152,8 +152,8 @@ def greedy_two_key(
 
     A chain of rows that each conflict with one earlier row only would cost one round per
     link. Such a row is kept iff the row before it is not, so its place in the chain decides:
-    from the second round on, chains are followed to their start by pointer jumping and closed at
-    once, whatever their length. What is left are rows with several earlier conflicts that wait
+    when a round has left more than half of the rows, chains are followed to their start by pointer
+    jumping and closed at once, whatever their length. What is left are rows with several earlier conflicts that wait
     for each other; in general no short parallel form is known for those (the problem is
     P-complete), so after every ``rounds`` rounds the conflict groups of at most
     ``group_rows`` rows are finished at once, each in one task; larger ones go on in rounds.
@@ -170,14 +170,14 @@ def greedy_two_key(
         df.groupBy(one.alias("a"), two.alias("b")).agg(F.min(order).alias("at")).select("at", "a", "b"),
         "dedup-pending",
     )
-    kept, done = [], 0
+    kept, done, slow = [], 0, False
     while n_pending:
         lead_a, lead_b = _leads(pending)
         first = lead_a.join(lead_b.select("at", F.lit(True).alias("leads_b")), "at", "left").filter(
             F.col("b").isNull() | F.col("leads_b")
         )
         chosen = materialise(first.select("at", "a", "b"), "dedup-kept")
-        if done:
+        if slow:
             places, _ = _follow(_chain_links(pending, lead_a, lead_b))
             if places is not None:
                 even = places.filter("not odd").join(chosen.select(F.col("at").alias("to")), "to", "left_semi")
@@ -187,8 +187,9 @@ def greedy_two_key(
         left = pending.join(chosen.select("a"), "a", "left_anti").join(
             chosen.select("b").filter("b is not null"), "b", "left_anti"
         )
+        before = n_pending
         pending, n_pending = materialise_counted(left.select("at", "a", "b"), "dedup-pending")
-        done += 1
+        done, slow = done + 1, 2 * n_pending > before
         if n_pending and done % rounds == 0:
             closed, pending = _close_small_groups(pending, group_rows)
             kept.append(materialise(closed, "dedup-kept"))

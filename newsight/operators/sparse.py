@@ -2,10 +2,11 @@
 
 Terms are ordered from rare to frequent. A vector posts itself under its first terms only, until
 the norm of the rest is below the threshold: two vectors with no common posted term have a
-smaller product (Bayardo, Ma, Srikant 2007; Chaudhuri, Ganti, Kaushik 2006). Where two vectors meet,
-``w_x * w_y + rest_x * rest_y`` bounds their product if this is the first term they share, with
-``rest`` the norm behind the term, so a pair that fails it everywhere is dropped unseen. The
-remaining pairs are computed.
+smaller product (Bayardo, Ma, Srikant 2007; Chaudhuri, Ganti, Kaushik 2006). The products of posted
+terms are summed for each pair that meets. Whatever else the two share lies behind the end of
+the shorter posting, so the norm there (``tail``) times the norm that the other one has left
+(``rest``) bounds the missing part. Pairs that cannot reach the threshold go before any vector
+moves; the others are computed. Posting a little further than necessary makes this bound sharp.
 
 A posting list of any length is dealt to units of two blocks of bounded size, so a term of a third
 of all rows is spread over many tasks. ``sparse_links`` is the form for clustering: first every
@@ -26,8 +27,12 @@ from newsight import settings
 from newsight.operators.components import connected_components
 from newsight.session import materialise
 
+_POSTING = "term int, id long, w double, rest double, last int, tail double"
 # postings of one term that one side of a unit holds
 BLOCK_ROWS = 1_000
+# the norm behind a posting's end, as a share of the threshold: the lower, the more terms are
+# posted and the fewer pairs are left to compute
+_POSTED = 0.94
 _SLACK = 1e-9
 
 
@@ -44,14 +49,18 @@ def _copies(vectors: DataFrame) -> DataFrame:
 
 
 def postings(vectors: DataFrame, threshold: float) -> DataFrame:
-    """``(term, id, w, rest)`` of each vector's rare terms, as far as the threshold asks."""
+    """``(term, id, w, rest, last, tail)`` of each vector's rare terms, as far as the threshold asks.
+
+    ``rest`` is the norm behind the term, ``last`` the rank of the last posted term, ``tail`` the
+    norm behind that one.
+    """
     entries = vectors.select("id", F.explode(F.arrays_zip("terms", "weights")).alias("e")).select(
         "id", F.col("e.terms").alias("term"), F.col("e.weights").alias("w")
     )
     frequency = materialise(entries.groupBy("term").agg(F.count("*").alias("df")), "term-frequency")
     dims = frequency.agg(F.max("term")).first()[0]
     if dims is None:
-        return entries.select("term", "id", "w", F.col("w").alias("rest")).limit(0)
+        return entries.sparkSession.createDataFrame([], _POSTING)
     # one counter per term; the number of hashed terms is fixed by the vectors' maker
     df = np.zeros(dims + 1, np.int64)
     for term, n in frequency.collect():
@@ -73,32 +82,50 @@ def postings(vectors: DataFrame, threshold: float) -> DataFrame:
             at = np.arange(len(w))
             with_self = np.sqrt(np.maximum(run_sq[end] - run_sq[at], 0.0))
             rest = np.sqrt(np.maximum(run_sq[end] - run_sq[at + 1], 0.0))
-            posted = np.flatnonzero(with_self >= threshold - _SLACK)
+            posted = np.flatnonzero(with_self >= _POSTED * threshold - _SLACK)
+            # a vector's posted terms stand together; the last of them is where its postings end
+            rows = owner[posted]
+            ends = posted[np.searchsorted(rows, rows, "right") - 1]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(term[posted].astype(np.int32)),
-                    batch.column("id").take(pa.array(owner[posted])),
+                    batch.column("id").take(pa.array(rows)),
                     pa.array(w[posted]), pa.array(rest[posted]),
+                    pa.array(shared.value[term[ends]]), pa.array(rest[ends]),
                 ],
-                names=["term", "id", "w", "rest"],
+                names=["term", "id", "w", "rest", "last", "tail"],
             )
 
-    return vectors.mapInArrow(run, "term int, id long, w double, rest double")
+    return vectors.mapInArrow(run, _POSTING)
 
 
-def _may_reach(a: str, b: str, threshold: float) -> Column:
-    bound = F.col(f"{a}.w") * F.col(f"{b}.w") + F.col(f"{a}.rest") * F.col(f"{b}.rest")
-    return bound >= threshold - _SLACK
+def _may_reach(met: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of ids, from all places where sides ``a`` and ``b`` meet, that may reach the threshold."""
+    behind = F.when(F.col("a.last") <= F.col("b.last"), F.col("a.tail") * F.col("b.rest")).otherwise(
+        F.col("b.tail") * F.col("a.rest")
+    )
+    places = met.select(
+        F.least("a.id", "b.id").alias("src"), F.greatest("a.id", "b.id").alias("dst"),
+        (F.col("a.w") * F.col("b.w")).alias("product"),
+        F.least(behind, F.col("a.rest") * F.col("b.rest")).alias("missing"),
+    )
+    # the bound is smallest at the last term that both have posted
+    summed = places.groupBy("src", "dst").agg(
+        F.sum("product").alias("product"), F.min("missing").alias("missing")
+    )
+    return summed.filter(F.col("product") + F.col("missing") >= threshold - _SLACK).select("src", "dst")
 
 
 def _with_leaders(posted: DataFrame, threshold: float) -> DataFrame:
     """Candidates of each row with the smallest row of each of its lists."""
-    lead = posted.groupBy("term").agg(F.min(F.struct("id", "w", "rest")).alias("m")).select("term", "m.*")
+    lead = posted.groupBy("term").agg(
+        F.min(F.struct("id", "w", "rest", "last", "tail")).alias("m")
+    ).select("term", "m.*")
     a, b = lead.alias("a"), posted.alias("b")
     met = a.join(b, (F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id")))
-    return met.filter(_may_reach("a", "b", threshold)).select(
-        F.col("a.id").alias("src"), F.col("b.id").alias("dst")
-    ).distinct()
+    # only the lists that this row leads are summed, so a similar pair may be passed over here;
+    # the comparison of groups, which sums all lists, finds it
+    return _may_reach(met, threshold)
 
 
 def units(posted: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -124,10 +151,7 @@ def _met(posted: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     # inside one block a pair stands on both sides
     once = (F.col("a.x") < F.col("a.y")) | (F.col("a.id") < F.col("b.id"))
     apart = F.col("a.group") != F.col("b.group")
-    met = a.join(b, same_unit[0] & same_unit[1] & same_unit[2] & once & apart & _may_reach("a", "b", threshold))
-    return met.select(
-        F.least("a.id", "b.id").alias("src"), F.greatest("a.id", "b.id").alias("dst")
-    ).distinct()
+    return _may_reach(a.join(b, same_unit[0] & same_unit[1] & same_unit[2] & once & apart), threshold)
 
 
 def _reaching(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
