@@ -79,8 +79,8 @@ def doc_vectors(
     n = counts.count()
     idf = np.zeros(features)
     frequency = counts.select(F.explode("terms").alias("term")).groupBy("term").count()
-    for term, df in frequency.collect():  # at most ``features`` rows
-        idf[term] = math.log((n + 1) / (df + 1))
+    seen = frequency.toArrow()  # at most ``features`` rows
+    idf[seen["term"].to_numpy()] = [math.log((n + 1) / (df + 1)) for df in seen["count"].to_pylist()]
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +137,9 @@ def train_label_model(
     classes = sorted(sizes)
     held = np.zeros((len(classes), features))
     per_term = counts.select("_class", F.explode("terms").alias("term")).groupBy("_class", "term").count()
-    for klass, term, n in per_term.collect():
-        held[classes.index(klass), term] = n
+    seen = per_term.toArrow()
+    place = {c: i for i, c in enumerate(classes)}
+    held[[place[c] for c in seen["_class"].to_pylist()], seen["term"].to_numpy()] = seen["count"].to_numpy()
     size = np.array([sizes[c] for c in classes], np.float64)
     terms = np.log((held + 1) / (size[:, None] + 2))
     return LabelModel(classes, np.log(size / size.sum()), terms)

@@ -62,9 +62,8 @@ def postings(vectors: DataFrame, threshold: float) -> DataFrame:
     if dims is None:
         return entries.sparkSession.createDataFrame([], _POSTING)
     # one counter per term; the number of hashed terms is fixed by the vectors' maker
-    df = np.zeros(dims + 1, np.int64)
-    for term, n in frequency.collect():
-        df[term] = n
+    df, seen = np.zeros(dims + 1, np.int64), frequency.toArrow()
+    df[seen["term"].to_numpy()] = seen["df"].to_numpy()
     rank = np.empty(dims + 1, np.int64)
     rank[np.lexsort((np.arange(dims + 1), df))] = np.arange(dims + 1)
     shared = vectors.sparkSession.sparkContext.broadcast(rank.astype(np.int32))
