@@ -1,19 +1,22 @@
 """Near-duplicates: an inverted join on MinHash signature coordinates.
 
-Every distinct shingle set is posted under each of its ``COORDINATES`` signature values.
-Two sets are candidates when they share at least ``MATCHES`` values; each candidate is
-confirmed on its full set. A pair with a Jaccard similarity of 0.8 shares fewer than 32 of
-64 values with a probability below 1e-7.
-
-* Counting needs no pair list of long posting lists. A list of up to ``COLD`` members adds
-  its pairs; equal member lists are merged first, with their number. A longer list only
-  adds to its members' number of *hot* values, because a pair with c shared cold values
-  needs MATCHES - c shared hot ones. Pairs below that bound are skipped.
-* Sets with at least MATCHES hot values (groups of near copies) may match by hot values
-  alone; they are linked in a star to the list's smallest such member.
-* These candidates form families. Families are compared whole, in blocks of two chunks of
-  ``CHUNK`` sets, with exact intersections from an index inside the task; a block returns
-  a spanning forest of its confirmed links. No pair of a group is ever a row.
+Every distinct shingle set is posted under ``COORDINATES`` signature values, and two sets are
+candidates when they share at least ``MATCHES`` of them. A pair with a Jaccard similarity of 0.8
+shares fewer than 32 of 64 with a probability of 2e-8.
+
+* Prefix: two sets with ``MATCHES`` shared values share one of the ``COORDINATES - MATCHES + 1``
+  rarest of each. Only these are posted; values that stand in one set count as the rarest, so
+  a set with many of them is skipped as a whole.
+* Inside a list collisions are counted over ``SIGNATURE`` coordinates, and a pair goes on with
+  ``AGREE`` of them (a pair at 0.8 has fewer with a probability of 3e-8). A pair is counted in the
+  longest list that its prefixes share, so a group is handled in few lists. Lists are compared
+  in blocks of two chunks of ``CHUNK`` sets; no pair of a group is ever a row.
+* First pass: every set names two partners in the first chunk of its list, which are confirmed on
+  the full sets. That joins groups of near copies at linear cost.
+* Second pass: lists that still hold sets of several components are compared whole. Blocks with
+  candidates between components fetch the texts of those sets, confirm them by exact intersections, and
+  return a spanning forest. Sets of one component need no further link; no candidate is a link
+  before its full sets were compared.
 """
 
 from __future__ import annotations
@@ -29,11 +32,15 @@ from newsight.llm.common import (
     free_shuffles, gram_hashes, hash_words, keyed_text, mix, release, slices, split_all, stored,
     text_bytes,
 )
+from newsight.operators.bloom import bloom_words, maybe_in
 from newsight.operators.components import connected_components
 
 COORDINATES, MATCHES = 64, 32
-COLD = 16
+SIGNATURE, AGREE = 128, 76
 CHUNK = 512
+PAIRS = 50_000  # pairs compared at once inside a task; bounds its memory, not the result
+_BLOCK = "list long, a int, b int"
+_MEMBER = "c int, chunk int, label long, signature array<int>, weight array<int>"
 _ROW = "doc_id long, n_shingles long, node long, signature array<int>"
 
 
@@ -59,7 +66,7 @@ def node_of(shingles: np.ndarray) -> int:
 
 def _multipliers() -> np.ndarray:
     rng = np.random.default_rng(20240229)
-    return rng.integers(0, 2**63, COORDINATES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    return rng.integers(0, 2**63, SIGNATURE, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def signature(shingles: np.ndarray, by: np.ndarray) -> np.ndarray:
@@ -99,48 +106,177 @@ def signatures(docs: DataFrame, n: int, text_key: bool = False) -> DataFrame:
     return own.mapInArrow(run, f"text_key string, {_ROW}" if text_key else _ROW)
 
 
-def candidate_edges(classes: DataFrame) -> DataFrame:
-    """Edges ``src, dst`` that connect all sets sharing at least MATCHES values (runs jobs)."""
-    postings = classes.select("node", F.posexplode("signature").alias("c", "v"))
+def prefixes(classes: DataFrame) -> DataFrame:
+    """``node, signature, weight, prefix`` of the sets that may have a candidate.
+
+    ``prefix`` holds the lists that the set is posted in. ``weight`` is a list's length at the place of its
+    coordinate, zero for a coordinate outside the prefix.
+    """
+    postings = classes.select("node", F.posexplode(F.slice("signature", 1, COORDINATES)).alias("c", "v"))
     lists = postings.groupBy("c", "v").agg(F.count("*").alias("n")).filter("n > 1")
-    live = stored(postings.join(lists.hint("shuffle_hash"), ["c", "v"]), "postings")
-    cold, hot = live.filter(F.col("n") <= COLD), live.filter(F.col("n") > COLD)
+    shared = postings.join(lists.hint("shuffle_hash"), ["c", "v"]).groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("n", F.xxhash64("c", "v").alias("list"), "c"))).alias("p")
+    )
+    rarest = shared.filter(F.size("p") >= MATCHES).select(
+        "node", F.slice("p", F.lit(1), F.size("p") - (MATCHES - 1)).alias("prefix")
+    )
+    length = F.map_from_entries(F.transform(
+        "prefix", lambda p: F.struct(p["c"], F.least(p["n"], F.lit(2**31 - 1)).cast("int"))
+    ))
+    weight = F.transform(
+        F.sequence(F.lit(0), F.lit(COORDINATES - 1)),
+        lambda c: F.coalesce(F.try_element_at("lengths", c), F.lit(0)),
+    )
+    return (
+        rarest.withColumn("lengths", length).withColumn("weight", weight)
+        .join(classes.select("node", "signature").hint("shuffle_hash"), "node")
+        .select("node", "signature", "weight", "prefix")
+    )
+
 
-    # lists of at most COLD members; equal ones are one row with their number
-    members = (
-        cold.groupBy("c", "v").agg(F.sort_array(F.collect_list("node")).alias("m"))
-        .groupBy("m").agg(F.count("*").alias("k"))
+def list_blocks(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of every block of the lists that hold sets of several components.
+
+    ``labels`` has ``node, label``; a set without one is a component of its own.
+    """
+    if labels is None:
+        labelled = posted.withColumn("label", F.col("node"))
+    else:
+        labelled = posted.join(labels.hint("shuffle_hash"), "node", "left").withColumn(
+            "label", F.coalesce("label", "node")
+        )
+    narrow = labelled.select("node", "label", F.explode("prefix").alias("p")).select(
+        "node", "label", "p.list", "p.n", "p.c"
     )
-    first = members.select("k", "m", F.posexplode("m").alias("i", "a"))
-    pairs = (
-        first.select("k", "a", F.explode(F.slice("m", F.col("i") + 2, COLD)).alias("b"))
-        .groupBy("a", "b").agg(F.sum("k").alias("shared"))
+    open_lists = (
+        narrow.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter("low < high").select("list")
     )
-    heat = stored(hot.groupBy("node").agg(F.count("*").alias("h")), "heat")
-    bound = F.col("shared") + F.least(
-        F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))
+    spread = F.ceil(F.col("n") / CHUNK).cast("int")
+    chunks = narrow.join(open_lists.hint("shuffle_hash"), "list", "left_semi").select(
+        "list", "node", "label", "c", F.pmod(F.xxhash64("node", "list"), spread).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), spread - 1)).alias("other"),
     )
-    kept = (
-        pairs.join(heat.select(F.col("node").alias("a"), F.col("h").alias("ha")), "a", "left")
-        .join(heat.select(F.col("node").alias("b"), F.col("h").alias("hb")), "b", "left")
-        .filter(bound >= MATCHES)
-        .select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    return chunks.join(posted.select("node", "signature", "weight").hint("shuffle_hash"), "node").select(
+        "list", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
+        "node", "c", "chunk", "label", "signature", "weight",
     )
-    dense = hot.join(heat.filter(F.col("h") >= MATCHES).select("node"), "node", "left_semi")
-    centre = dense.groupBy("c", "v").agg(F.min("node").alias("src"))
-    stars = (
-        dense.join(centre, ["c", "v"]).filter("src <> node")
-        .select("src", F.col("node").alias("dst")).distinct()
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by ``key`` as tables that hold groups whole, with the first row of each group."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        first = _firsts(held, key)
+        if len(first) > 1:
+            yield held.slice(0, int(first[-1])), first[:-1]
+            held = held.slice(int(first[-1])).combine_chunks()
+    if held is not None and len(held):
+        yield held, _firsts(held, key)
+
+
+def _firsts(rows: pa.Table, key: tuple[str, ...]) -> np.ndarray:
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for name in key:
+        own = rows.column(name).to_numpy()
+        new[1:] |= own[1:] != own[:-1]
+    return np.nonzero(new)[0]
+
+
+def _matrix(rows: pa.Table, name: str, width: int) -> np.ndarray:
+    return rows.column(name).combine_chunks().flatten().to_numpy().reshape(-1, width)
+
+
+def agreeing(rows: pa.Table, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Candidate pairs of rows in blocks, and in how many coordinates they agree.
+
+    A pair of one component, of one chunk in a block of two, or with a longer shared list is none.
+    """
+    sign, weight = _matrix(rows, "signature", SIGNATURE), _matrix(rows, "weight", COORDINATES)
+    label, chunk, c = (rows.column(k).to_numpy() for k in ("label", "chunk", "c"))
+    alone = rows.column("a").to_numpy() == rows.column("b").to_numpy()
+    size = np.diff(np.append(first, len(rows)))
+    after = np.repeat(first + size, size) - np.arange(len(rows)) - 1  # partners of each row
+    done = np.concatenate([[0], np.cumsum(after)])
+    lo = 0
+    while lo < len(rows):
+        hi = max(lo + 1, int(np.searchsorted(done, done[lo] + PAIRS, "right")) - 1)
+        many = after[lo:hi]
+        u = np.repeat(np.arange(lo, hi), many)
+        v = u + 1 + np.arange(len(u)) - np.repeat(done[lo:hi] - done[lo], many)
+        lo = hi
+        apart = (label[u] != label[v]) & (alone[u] | (chunk[u] != chunk[v]))
+        u, v = u[apart], v[apart]
+        same = sign[u] == sign[v]
+        agree = same.sum(1)
+        enough = agree >= AGREE
+        u, v, agree, same = u[enough], v[enough], agree[enough], same[enough, :COORDINATES]
+        length = np.where(same & (weight[v] > 0), weight[u], 0)
+        here = length.argmax(1) == c[u] if len(u) else np.zeros(0, bool)
+        yield u[here], v[here], agree[here]
+
+
+def first_partners(blocks: DataFrame) -> DataFrame:
+    """Pairs ``src, dst``: for each set the first and the most similar candidates of its blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, first in whole_groups(batches, ("list", "a", "b")):
+            node = rows.column("node").to_numpy()
+            for u, v, agree in agreeing(rows, first):
+                best = np.argsort(-agree, kind="stable")
+                named = np.unique(np.concatenate([
+                    np.unique(v, return_index=True)[1],
+                    best[np.unique(v[best], return_index=True)[1]],
+                    best[np.unique(u[best], return_index=True)[1]],
+                ]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[u[named]]), pa.array(node[v[named]])], names=["src", "dst"]
+                )
+
+    return (
+        blocks.filter("a = 0").repartition("list", "a", "b").sortWithinPartitions("list", "a", "b", "node")
+        .mapInArrow(run, "src long, dst long").distinct()
     )
-    edges = stored(kept.unionByName(stars), "near-edges")
-    release(live, heat)
-    return edges
 
 
-def block_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def members_with_candidates(blocks: DataFrame) -> DataFrame:
+    """The rows of blocks that have a candidate there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, first in whole_groups(batches, ("list", "a", "b")):
+            wanted = np.zeros(len(rows), bool)
+            for u, v, _ in agreeing(rows, first):
+                wanted[u] = wanted[v] = True
+            yield from rows.filter(pa.array(wanted)).to_batches()
+
+    return (
+        blocks.repartition("list", "a", "b").sortWithinPartitions("list", "a", "b", "node")
+        .mapInArrow(run, f"{_BLOCK}, node long, {_MEMBER}")
+    )
+
+
+def stars(pairs: DataFrame) -> DataFrame:
+    """Pairs as blocks of one set and a chunk of its partners."""
+    many = pairs.groupBy("src").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("spread"))
+    spokes = pairs.join(many.hint("shuffle_hash"), "src").select(
+        F.col("src").alias("list"), F.lit(0).alias("a"),
+        F.pmod(F.xxhash64("dst"), F.col("spread")).cast("int").alias("b"), F.col("dst").alias("node"), F.lit(1).alias("chunk"),
+    )
+    hubs = many.select(
+        F.col("src").alias("list"), F.lit(0).alias("a"),
+        F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("b"), F.col("src").alias("node"), F.lit(0).alias("chunk"),
+    )
+    return spokes.unionByName(hubs)
+
+
+def block_links(
+    sets: list[np.ndarray], side: np.ndarray, percent: int, among: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs whose Jaccard similarity is at least ``percent`` / 100, from exact counts.
 
-    ``side``: pairs are taken between the two sides, or among all if there is one side.
+    ``side``: pairs are taken between the two sides, or among all if there is one side. ``among``:
+    a matrix of the pairs to look at.
     """
     m = len(sets)
     size = np.array([len(s) for s in sets])
@@ -159,7 +295,7 @@ def block_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple
     for i in range(m):
         own = group[at : at + size[i]]
         at += size[i]
-        if cross and side[i] != side.min():
+        if (cross and side[i] != side.min()) or (among is not None and not among[i].any()):
             continue
         own = own[length[own] > 1]
         if not len(own):
@@ -169,6 +305,8 @@ def block_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple
         shared = np.bincount(owner[places], minlength=m)
         links = 100 * shared >= percent * (size[i] + size - shared)
         links &= (side != side[i]) if cross else (np.arange(m) > i)
+        if among is not None:
+            links &= among[i]
         found = np.nonzero(links)[0]
         left.append(np.full(len(found), i))
         right.append(found)
@@ -192,63 +330,49 @@ def forest(u: np.ndarray, v: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray
     return label[moved], moved
 
 
-def confirmed_links(docs: DataFrame, families: DataFrame, n: int, percent: int) -> DataFrame:
-    """A spanning forest ``src, dst`` of the links inside each family.
+def confirmed_links(docs: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
+    """A spanning forest ``src, dst`` of the links inside each block, from full texts.
 
-    ``families`` has ``doc_id, node, family``: one document for each set.
+    ``wanted`` has ``doc_id, list, a, b, node, chunk``: one document for each set of a block. With signatures,
+    only pairs that agree are looked at, else all between its two chunks.
     """
-    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
-    spread = F.ceil(F.col("size") / CHUNK).cast("int")
-    chunk = F.pmod(F.xxhash64("node"), spread).cast("int")
-    blocks = (
-        families.join(sizes.hint("shuffle_hash"), "family")
-        .select("doc_id", "node", "family", chunk.alias("chunk"), spread.alias("n_chunks"))
-    )
+    signed = "signature" in wanted.columns
+    carried = ["list", "a", "b", "node", "chunk"] + ["c", "label", "signature", "weight"] * signed
+    # a Bloom filter thins the texts out before they move; the join decides
+    near = maybe_in(keyed_text(docs), "doc_id", bloom_words(wanted, "doc_id"))
     # the members grow with the corpus: never rely on broadcasting them
-    texts = keyed_text(docs).join(blocks.hint("shuffle_hash"), "doc_id").select(
-        "node", "family", "chunk", "text",
-        F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("other"),
-    ).select(
-        "family", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
-        "chunk", "node", "text",
-    )
-    grouped = texts.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b", "node")
+    texts = wanted.hint("merge").join(near, "doc_id").select(*carried, "text")
+    grouped = texts.repartition("list", "a", "b").sortWithinPartitions("list", "a", "b", "node")
 
-    def links(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch | None:
-        chunks, nodes, sets, seen = [], [], [], set()
-        found = shingle_sets([t for _, _, t in rows], n)
-        for (chunk, node, _), s in zip(rows, found, strict=True):
+    def links(rows: pa.Table) -> pa.RecordBatch | None:
+        node, kept, sets, seen = rows.column("node").to_pylist(), [], [], set()
+        texts = [t for part in rows.column("text").chunks for t in text_bytes(part)]
+        for i, s in enumerate(shingle_sets(texts, n)):
             # repeated rows, and other texts under a repeated doc_id
-            if node not in seen and len(s) and node_of(s) == node:
-                seen.add(node)
-                chunks.append(chunk)
-                nodes.append(node)
+            if node[i] not in seen and len(s) and node_of(s) == node[i]:
+                seen.add(node[i])
+                kept.append(i)
                 sets.append(s)
         if len(sets) < 2:
             return None
-        u, v = block_links(sets, np.array(chunks), percent)
+        rows = rows.drop_columns(["text"]).take(kept).combine_chunks()
+        among = None
+        if signed:
+            among = np.zeros((len(sets), len(sets)), bool)
+            for u, v, _ in agreeing(rows, np.zeros(1, np.int64)):
+                among[u, v] = among[v, u] = True
+        u, v = block_links(sets, rows.column("chunk").to_numpy(), percent, among)
         if not len(u):
             return None
         u, v = forest(u, v, len(sets))
-        nodes = np.array(nodes, np.int64)
+        nodes = rows.column("node").to_numpy()
         return pa.RecordBatch.from_arrays([pa.array(nodes[u]), pa.array(nodes[v])], names=["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-        for batch in batches:
-            own = zip(*[batch.column(c).to_pylist() for c in ("family", "a", "b")], strict=True)
-            rest = zip(
-                batch.column("chunk").to_pylist(), batch.column("node").to_pylist(),
-                text_bytes(batch.column("text")), strict=True,
-            )
-            for k, row in zip(own, rest, strict=True):
-                if k != key:
-                    if (out := links(rows)) is not None:
-                        yield out
-                    key, rows = k, []
-                rows.append(row)
-        if (out := links(rows)) is not None:
-            yield out
+        for rows, first in whole_groups(batches, ("list", "a", "b")):
+            for lo, hi in zip(first, np.append(first[1:], len(rows)), strict=True):
+                if (out := links(rows.slice(int(lo), int(hi - lo)))) is not None:
+                    yield out
 
     return grouped.mapInArrow(run, "src long, dst long")
 
@@ -279,14 +403,23 @@ def near_duplicates(
         "classes",
     )
     free_shuffles(spark)
-    edges = candidate_edges(classes)
-    free_shuffles(spark)
-    families = connected_components(edges).select("node", F.col("component").alias("family"))
-    members = stored(classes.select("doc_id", "node").join(families.hint("shuffle_hash"), "node"), "families")
+    posted = stored(prefixes(classes), "prefixes")
     free_shuffles(spark)
-    links = stored(confirmed_links(own, members, shingle_words, percent), "near-links")
+    documents = classes.select("node", "doc_id")
+
+    def confirmed(wanted: DataFrame, name: str) -> DataFrame:
+        named = stored(wanted.join(documents.hint("shuffle_hash"), "node"), name)
+        found = stored(confirmed_links(own, named, shingle_words, percent), "near-links")
+        release(named)
+        free_shuffles(spark)
+        return found
+
+    pairs = stored(first_partners(list_blocks(posted, None)), "partners")
     free_shuffles(spark)
-    linked = connected_components(links)
+    links = confirmed(stars(pairs), "stars")
+    groups = connected_components(links).select("node", F.col("component").alias("label"))
+    rest = confirmed(members_with_candidates(list_blocks(posted, groups)), "candidates")
+    linked = connected_components(links.unionByName(rest))
     labelled = classes.select("doc_id", "node").join(linked, "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("component")
     )
@@ -294,7 +427,7 @@ def near_duplicates(
     of_node = stored(
         labelled.join(smallest, "component").select("node", "component_id"), "near-components"
     )
-    release(classes, edges, members, links)
+    release(classes, posted, pairs, links, rest)
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
     )

@@ -39,9 +39,9 @@ def test_near_duplicates_whole_table(spark, sf_dir, documents):
     assert as_rows(queries.op6_minhash(spark, sf_dir)) == brute_components(documents.items(), 4)
 
 
-@pytest.mark.parametrize("cold,chunk", [(2, 7), (16, 512)])
-def test_group_of_near_copies_in_chunks(spark, monkeypatch, cold, chunk):
-    monkeypatch.setattr(minhash, "COLD", cold)
+@pytest.mark.parametrize("chunk,pairs", [(7, 20), (512, 50_000)])
+def test_group_of_near_copies_in_chunks(spark, monkeypatch, chunk, pairs):
+    monkeypatch.setattr(minhash, "PAIRS", pairs)
     monkeypatch.setattr(minhash, "CHUNK", chunk)
     rng = np.random.default_rng(5)
     base = [f"b{i}" for i in range(150)]
@@ -56,6 +56,43 @@ def test_group_of_near_copies_in_chunks(spark, monkeypatch, cold, chunk):
     assert as_rows(minhash.near_duplicates(frame, 5)) == brute_components(docs, 5)
 
 
+def test_stock_sentences_make_no_candidates(spark):
+    rng = np.random.default_rng(11)
+    stock = [" ".join(f"s{i}w{j}" for j in range(12)) for i in range(60)]
+    docs = [(i, " ".join(stock[k] for k in sorted(rng.choice(60, 30, replace=False)))) for i in range(500)]
+    docs += [(1000 + i, docs[i][1] + " tail") for i in range(0, 500, 50)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = minhash.signatures(frame, 5).select("node", "signature")
+    blocks = minhash.list_blocks(minhash.prefixes(sets), None)
+    assert blocks.groupBy("list", "a", "b").count().agg({"count": "max"}).first()[0] > 50
+    # lists are long, but only the ten copies are candidates
+    assert minhash.first_partners(blocks).count() == 10
+    assert as_rows(minhash.near_duplicates(frame, 5)) == brute_components(docs, 5)
+
+
+@pytest.mark.parametrize("chunk", [5, 512])
+def test_links_that_the_first_pass_misses(spark, monkeypatch, chunk):
+    """Two drifting chains and two clusters whose likeness lies just below the bound."""
+    monkeypatch.setattr(minhash, "CHUNK", chunk)
+    rng = np.random.default_rng(23)
+    docs = []
+    for chain in range(2):
+        words = [f"c{chain}_{i}" for i in range(200)]
+        for step in range(30):
+            docs.append((chain * 100 + int(rng.permutation(30)[0]) * 1000 + step, " ".join(words)))
+            for p in rng.choice(200, 4, replace=False):
+                words[p] = f"d{chain}_{step}_{p}"
+    base = [f"b{i}" for i in range(200)]
+    for cluster, tail in enumerate((24, 30, 36)):
+        for i in range(12):
+            words = base[: 200 - tail] + [f"t{cluster}_{j}" for j in range(tail)]
+            words[int(rng.integers(200))] = f"e{i}"
+            docs.append((50_000 + cluster * 100 + i, " ".join(words)))
+    docs = sorted(dict(docs).items())
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert as_rows(minhash.near_duplicates(frame, 5)) == brute_components(docs, 5)
+
+
 def test_block_links_between_sides():
     sets = [np.arange(100, dtype=np.uint64), np.arange(5, 105, dtype=np.uint64), np.arange(300, 400, dtype=np.uint64)]
     u, v = minhash.block_links(sets, np.array([0, 1, 1]), 80)
