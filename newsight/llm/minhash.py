@@ -8,15 +8,16 @@ shares fewer than 32 of 64 with a probability of 2e-8.
   rarest of each. Only these are posted; values that stand in one set count as the rarest, so
   a set with many of them is skipped as a whole.
 * Inside a list collisions are counted over ``SIGNATURE`` coordinates, and a pair goes on with
-  ``AGREE`` of them (a pair at 0.8 has fewer with a probability of 3e-8). A pair is counted in the
-  longest list that its prefixes share, so a group is handled in few lists. Lists are compared
-  in blocks of two chunks of ``CHUNK`` sets; no pair of a group is ever a row.
-* First pass: every set names two partners in the first chunk of its list, which are confirmed on
+  ``AGREE`` of them (a pair at 0.8 has fewer with a probability of 3e-8). Lists are compared in blocks of
+  two chunks of ``CHUNK`` sets; no pair of a group is ever a row.
+* First pass: every set names two candidates in the first chunks of its lists, which are confirmed on
   the full sets. That joins groups of near copies at linear cost.
-* Second pass: lists that still hold sets of several components are compared whole. Blocks with
-  candidates between components fetch the texts of those sets, confirm them by exact intersections, and
-  return a spanning forest. Sets of one component need no further link; no candidate is a link
-  before its full sets were compared.
+* Families: the named pairs connect sets, and lists that still hold sets of several families are compared
+  whole; each block returns a spanning forest of its candidates between families.
+* Second pass: families in which confirmed components differ are compared, again in blocks of two chunks.
+  Sets with a candidate in another component fetch their texts and are confirmed by exact intersections.
+  Sets of one component need no further link; no candidate is a link before its full sets were
+  compared.
 """
 
 from __future__ import annotations
@@ -39,8 +40,7 @@ COORDINATES, MATCHES = 64, 32
 SIGNATURE, AGREE = 128, 76
 CHUNK = 512
 PAIRS = 50_000  # pairs compared at once inside a task; bounds its memory, not the result
-_BLOCK = "list long, a int, b int"
-_MEMBER = "c int, chunk int, label long, signature array<int>, weight array<int>"
+_MEMBER = "list long, a int, b int, node long, chunk int, label long, signature array<int>"
 _ROW = "doc_id long, n_shingles long, node long, signature array<int>"
 
 
@@ -107,60 +107,61 @@ def signatures(docs: DataFrame, n: int, text_key: bool = False) -> DataFrame:
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
-    """``node, signature, weight, prefix`` of the sets that may have a candidate.
-
-    ``prefix`` holds the lists that the set is posted in. ``weight`` is a list's length at the place of its
-    coordinate, zero for a coordinate outside the prefix.
-    """
+    """``node, signature, prefix`` of the sets that may have a candidate; ``prefix`` has the lists that the
+    set is posted in, with their lengths."""
     postings = classes.select("node", F.posexplode(F.slice("signature", 1, COORDINATES)).alias("c", "v"))
     lists = postings.groupBy("c", "v").agg(F.count("*").alias("n")).filter("n > 1")
     shared = postings.join(lists.hint("shuffle_hash"), ["c", "v"]).groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("n", F.xxhash64("c", "v").alias("list"), "c"))).alias("p")
+        F.sort_array(F.collect_list(F.struct("n", F.xxhash64("c", "v").alias("list")))).alias("p")
     )
     rarest = shared.filter(F.size("p") >= MATCHES).select(
         "node", F.slice("p", F.lit(1), F.size("p") - (MATCHES - 1)).alias("prefix")
     )
-    length = F.map_from_entries(F.transform(
-        "prefix", lambda p: F.struct(p["c"], F.least(p["n"], F.lit(2**31 - 1)).cast("int"))
-    ))
-    weight = F.transform(
-        F.sequence(F.lit(0), F.lit(COORDINATES - 1)),
-        lambda c: F.coalesce(F.try_element_at("lengths", c), F.lit(0)),
+    return rarest.join(classes.select("node", "signature").hint("shuffle_hash"), "node")
+
+
+def labelled(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """With ``label``, the component of a set; a set without one is a component of its own."""
+    return sets.join(labels.hint("shuffle_hash"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def in_blocks(members: DataFrame, posted: DataFrame, key: str, size: str) -> DataFrame:
+    """Members of each key, dealt to blocks of two of its chunks, with their signatures."""
+    spread = F.ceil(F.col(size) / CHUNK).cast("int")
+    return members.select(
+        F.col(key).alias("list"), "node", "label", F.pmod(F.xxhash64("node"), spread).cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), spread - 1)).alias("other"),
+    ).join(posted.select("node", "signature").hint("shuffle_hash"), "node").select(
+        "list", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
+        "node", "chunk", "label", "signature",
     )
+
+
+def of_several(members: DataFrame, key: str) -> DataFrame:
+    """Keys whose members belong to several components, with the number of members."""
     return (
-        rarest.withColumn("lengths", length).withColumn("weight", weight)
-        .join(classes.select("node", "signature").hint("shuffle_hash"), "node")
-        .select("node", "signature", "weight", "prefix")
+        members.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+        .filter("low < high").select(key, "size")
     )
 
 
 def list_blocks(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of every block of the lists that hold sets of several components.
+    """Blocks of the lists that hold sets of several labels (without labels, all sets differ)."""
+    sets = posted.withColumn("label", F.col("node")) if labels is None else labelled(posted, labels)
+    members = sets.select("node", "label", F.explode("prefix").alias("p")).select("node", "label", "p.list", "p.n")
+    mixed = members.join(of_several(members, "list").hint("shuffle_hash"), "list", "left_semi")
+    return in_blocks(mixed, posted, "list", "n")
 
-    ``labels`` has ``node, label``; a set without one is a component of its own.
-    """
-    if labels is None:
-        labelled = posted.withColumn("label", F.col("node"))
-    else:
-        labelled = posted.join(labels.hint("shuffle_hash"), "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
-        )
-    narrow = labelled.select("node", "label", F.explode("prefix").alias("p")).select(
-        "node", "label", "p.list", "p.n", "p.c"
-    )
-    open_lists = (
-        narrow.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .filter("low < high").select("list")
-    )
-    spread = F.ceil(F.col("n") / CHUNK).cast("int")
-    chunks = narrow.join(open_lists.hint("shuffle_hash"), "list", "left_semi").select(
-        "list", "node", "label", "c", F.pmod(F.xxhash64("node", "list"), spread).cast("int").alias("chunk"),
-        F.explode(F.sequence(F.lit(0), spread - 1)).alias("other"),
-    )
-    return chunks.join(posted.select("node", "signature", "weight").hint("shuffle_hash"), "node").select(
-        "list", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
-        "node", "c", "chunk", "label", "signature", "weight",
-    )
+
+def family_blocks(posted: DataFrame, labels: DataFrame, families: DataFrame) -> DataFrame:
+    """Blocks of the families that hold sets of several components."""
+    members = labelled(families, labels)
+    mixed = members.join(of_several(members, "family").hint("shuffle_hash"), "family")
+    return in_blocks(mixed, posted, "family", "size")
+
+
+def dealt(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition("list", "a", "b").sortWithinPartitions("list", "a", "b", "node")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -186,17 +187,13 @@ def _firsts(rows: pa.Table, key: tuple[str, ...]) -> np.ndarray:
     return np.nonzero(new)[0]
 
 
-def _matrix(rows: pa.Table, name: str, width: int) -> np.ndarray:
-    return rows.column(name).combine_chunks().flatten().to_numpy().reshape(-1, width)
-
-
 def agreeing(rows: pa.Table, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Candidate pairs of rows in blocks, and in how many coordinates they agree.
 
-    A pair of one component, of one chunk in a block of two, or with a longer shared list is none.
+    A pair of one component, or of one chunk in a block of two, is none.
     """
-    sign, weight = _matrix(rows, "signature", SIGNATURE), _matrix(rows, "weight", COORDINATES)
-    label, chunk, c = (rows.column(k).to_numpy() for k in ("label", "chunk", "c"))
+    sign = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, SIGNATURE)
+    label, chunk = rows.column("label").to_numpy(), rows.column("chunk").to_numpy()
     alone = rows.column("a").to_numpy() == rows.column("b").to_numpy()
     size = np.diff(np.append(first, len(rows)))
     after = np.repeat(first + size, size) - np.arange(len(rows)) - 1  # partners of each row
@@ -210,17 +207,13 @@ def agreeing(rows: pa.Table, first: np.ndarray) -> Iterator[tuple[np.ndarray, np
         lo = hi
         apart = (label[u] != label[v]) & (alone[u] | (chunk[u] != chunk[v]))
         u, v = u[apart], v[apart]
-        same = sign[u] == sign[v]
-        agree = same.sum(1)
+        agree = (sign[u] == sign[v]).sum(1)
         enough = agree >= AGREE
-        u, v, agree, same = u[enough], v[enough], agree[enough], same[enough, :COORDINATES]
-        length = np.where(same & (weight[v] > 0), weight[u], 0)
-        here = length.argmax(1) == c[u] if len(u) else np.zeros(0, bool)
-        yield u[here], v[here], agree[here]
+        yield u[enough], v[enough], agree[enough]
 
 
 def first_partners(blocks: DataFrame) -> DataFrame:
-    """Pairs ``src, dst``: for each set the first and the most similar candidates of its blocks."""
+    """Pairs ``src, dst``: of each set with its first and its most similar candidate in all its blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, first in whole_groups(batches, ("list", "a", "b")):
             node = rows.column("node").to_numpy()
@@ -232,13 +225,34 @@ def first_partners(blocks: DataFrame) -> DataFrame:
                     best[np.unique(u[best], return_index=True)[1]],
                 ]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[u[named]]), pa.array(node[v[named]])], names=["src", "dst"]
+                    [pa.array(node[u[named]]), pa.array(node[v[named]]), pa.array(agree[named], pa.int32())],
+                    names=["src", "dst", "agree"],
                 )
 
-    return (
-        blocks.filter("a = 0").repartition("list", "a", "b").sortWithinPartitions("list", "a", "b", "node")
-        .mapInArrow(run, "src long, dst long").distinct()
+    found = dealt(blocks.filter("a = 0")).mapInArrow(run, "src long, dst long, agree int")
+    both = found.select(F.explode(F.array(
+        F.struct(F.col("dst").alias("node"), F.col("src").alias("other"), "agree"),
+        F.struct(F.col("src").alias("node"), F.col("dst").alias("other"), "agree"),
+    )).alias("p")).select("p.*")
+    chosen = both.groupBy("node").agg(
+        F.min("other").alias("low"), F.max_by("other", F.struct("agree", -F.col("other"))).alias("near")
     )
+    return chosen.select("node", F.explode(F.array("low", "near")).alias("other")).select(
+        F.least("node", "other").alias("src"), F.greatest("node", "other").alias("dst")
+    ).distinct()
+
+
+def candidate_forest(blocks: DataFrame) -> DataFrame:
+    """Edges ``src, dst`` that connect the candidates of each block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, first in whole_groups(batches, ("list", "a", "b")):
+            node = rows.column("node").to_numpy()
+            for u, v, _ in agreeing(rows, first):
+                if len(u):
+                    u, v = forest(u, v, len(rows))
+                    yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["src", "dst"])
+
+    return dealt(blocks).mapInArrow(run, "src long, dst long")
 
 
 def members_with_candidates(blocks: DataFrame) -> DataFrame:
@@ -250,10 +264,7 @@ def members_with_candidates(blocks: DataFrame) -> DataFrame:
                 wanted[u] = wanted[v] = True
             yield from rows.filter(pa.array(wanted)).to_batches()
 
-    return (
-        blocks.repartition("list", "a", "b").sortWithinPartitions("list", "a", "b", "node")
-        .mapInArrow(run, f"{_BLOCK}, node long, {_MEMBER}")
-    )
+    return dealt(blocks).mapInArrow(run, _MEMBER)
 
 
 def stars(pairs: DataFrame) -> DataFrame:
@@ -337,12 +348,11 @@ def confirmed_links(docs: DataFrame, wanted: DataFrame, n: int, percent: int) ->
     only pairs that agree are looked at, else all between its two chunks.
     """
     signed = "signature" in wanted.columns
-    carried = ["list", "a", "b", "node", "chunk"] + ["c", "label", "signature", "weight"] * signed
+    carried = ["list", "a", "b", "node", "chunk"] + ["label", "signature"] * signed
     # a Bloom filter thins the texts out before they move; the join decides
     near = maybe_in(keyed_text(docs), "doc_id", bloom_words(wanted, "doc_id"))
     # the members grow with the corpus: never rely on broadcasting them
     texts = wanted.hint("merge").join(near, "doc_id").select(*carried, "text")
-    grouped = texts.repartition("list", "a", "b").sortWithinPartitions("list", "a", "b", "node")
 
     def links(rows: pa.Table) -> pa.RecordBatch | None:
         node, kept, sets, seen = rows.column("node").to_pylist(), [], [], set()
@@ -374,7 +384,7 @@ def confirmed_links(docs: DataFrame, wanted: DataFrame, n: int, percent: int) ->
                 if (out := links(rows.slice(int(lo), int(hi - lo)))) is not None:
                     yield out
 
-    return grouped.mapInArrow(run, "src long, dst long")
+    return dealt(texts).mapInArrow(run, "src long, dst long")
 
 
 def near_duplicates(
@@ -417,8 +427,12 @@ def near_duplicates(
     pairs = stored(first_partners(list_blocks(posted, None)), "partners")
     free_shuffles(spark)
     links = confirmed(stars(pairs), "stars")
+    near = connected_components(pairs).select("node", F.col("component").alias("label"))
+    edges = stored(candidate_forest(list_blocks(posted, near)), "near-edges")
+    free_shuffles(spark)
+    families = connected_components(pairs.unionByName(edges)).select("node", F.col("component").alias("family"))
     groups = connected_components(links).select("node", F.col("component").alias("label"))
-    rest = confirmed(members_with_candidates(list_blocks(posted, groups)), "candidates")
+    rest = confirmed(members_with_candidates(family_blocks(posted, groups, families)), "candidates")
     linked = connected_components(links.unionByName(rest))
     labelled = classes.select("doc_id", "node").join(linked, "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("component")
@@ -427,7 +441,7 @@ def near_duplicates(
     of_node = stored(
         labelled.join(smallest, "component").select("node", "component_id"), "near-components"
     )
-    release(classes, posted, pairs, links, rest)
+    release(classes, posted, pairs, links, edges, rest)
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
     )
