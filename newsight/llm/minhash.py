@@ -213,29 +213,33 @@ def agreeing(rows: pa.Table, first: np.ndarray) -> Iterator[tuple[np.ndarray, np
 
 
 def first_partners(blocks: DataFrame) -> DataFrame:
-    """Pairs ``src, dst``: of each set with its first and its most similar candidate in all its blocks."""
+    """Pairs ``src, dst``: of each set with its first and its most similar candidate in all its blocks.
+
+    A task combines its blocks before it returns a row for a set.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, first in whole_groups(batches, ("list", "a", "b")):
-            node = rows.column("node").to_numpy()
+            node, at = np.unique(rows.column("node").to_numpy(), return_inverse=True)
+            low = np.full(len(node), len(node))
+            near, most = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
             for u, v, agree in agreeing(rows, first):
-                best = np.argsort(-agree, kind="stable")
-                named = np.unique(np.concatenate([
-                    np.unique(v, return_index=True)[1],
-                    best[np.unique(v[best], return_index=True)[1]],
-                    best[np.unique(u[best], return_index=True)[1]],
-                ]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[u[named]]), pa.array(node[v[named]]), pa.array(agree[named], pa.int32())],
-                    names=["src", "dst", "agree"],
-                )
-
-    found = dealt(blocks.filter("a = 0")).mapInArrow(run, "src long, dst long, agree int")
-    both = found.select(F.explode(F.array(
-        F.struct(F.col("dst").alias("node"), F.col("src").alias("other"), "agree"),
-        F.struct(F.col("src").alias("node"), F.col("dst").alias("other"), "agree"),
-    )).alias("p")).select("p.*")
-    chosen = both.groupBy("node").agg(
-        F.min("other").alias("low"), F.max_by("other", F.struct("agree", -F.col("other"))).alias("near")
+                u, v = at[u], at[v]
+                for own, other in ((u, v), (v, u)):
+                    np.minimum.at(low, own, other)
+                    rising = np.argsort(agree, kind="stable")
+                    best, count = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
+                    best[own[rising]], count[own[rising]] = other[rising], agree[rising]
+                    near = np.where(count > most, best, near)
+                    most = np.maximum(count, most)
+            named = np.nonzero(most)[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (node[named], node[low[named]], node[near[named]], most[named])],
+                names=["node", "low", "near", "agree"],
+            )
+
+    found = dealt(blocks.filter("a = 0")).mapInArrow(run, "node long, low long, near long, agree long")
+    chosen = found.groupBy("node").agg(
+        F.min("low").alias("low"), F.max_by("near", F.struct("agree", "near")).alias("near")
     )
     return chosen.select("node", F.explode(F.array("low", "near")).alias("other")).select(
         F.least("node", "other").alias("src"), F.greatest("node", "other").alias("dst")
