@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsight.session import materialise
+from newsight.session import bounded_batches, materialise
 
 # hashed terms; also the bound of all tables that reach the driver or every worker
 FEATURES = 1 << 18
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 100_000
 
 
 def term_of(word: str, features: int = FEATURES) -> int:
@@ -37,8 +37,10 @@ def term_counts(
 ) -> DataFrame:
     """``(id, terms, counts)`` and the ``keep`` columns: hashed letters-only lower-case words.
 
-    Counted in the row from the whole text; nothing is shuffled. Terms ascend.
+    Counted in the row from the whole text; nothing is shuffled. Terms ascend. Batches are bounded
+    in bytes, as a limit in records lets the words of long texts fill a worker.
     """
+    bounded_batches(docs.sparkSession)
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(r"(\p{L}+)"), F.lit(1))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), *keep, words.alias("words"))
 
