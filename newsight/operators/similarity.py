@@ -7,8 +7,12 @@
    every x that has a partner of cell q within chord distance eps). Of two cells
    the one with the lower number hosts the pair. Nothing that reaches the
    threshold is lost; how much is pruned depends on the data.
-3. Rows of a cell are split into blocks of bounded size; a task multiplies two
-   blocks. A cell with a large share of all rows is thus spread over many tasks.
+   Pivots that a sample shows to prune little are left out, down to a single cell, as each
+   row would be copied to most of their cells.
+3. Rows of a cell are split into blocks; a task multiplies two blocks, in tiles of bounded
+   size. A cell with a large share of all rows is thus spread over many tasks. Beyond
+   ``_BLOCKS`` blocks grow before they become more, up to ``_BLOCK_BYTES``, so the copies of a row
+   do not grow with the input; the dot products do where vectors do not prune.
 
 ``links`` is the form for clustering: vectors within half the threshold angle of
 their pivot are all similar to each other, so one link to the pivot replaces
@@ -27,7 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsight import settings
-from newsight.session import materialise, materialise_counted
+from newsight.operators.bloom import bloom_words, maybe_in
+from newsight.session import bounded_batches, materialise, materialise_counted
 
 # roles of a row in a cell
 _LOOSE, _TIGHT, _FAR, _NEAR = 0, 1, 2, 3
@@ -42,6 +47,12 @@ _PAIRINGS = {
 _SLACK = 1e-9
 # candidates sampled per pivot wanted
 _OVERSAMPLE = 4
+# cells that a row may be in on average, and the largest share of all cells that makes them worth it
+_COPIES, _SHARE = 8, 0.25
+# blocks of a cell, and bytes of vectors in a block from which on there are more
+_BLOCKS, _BLOCK_BYTES = 8, 1 << 25
+# places of rows and pivots that are looked at together
+_NEAR_CELLS = 1 << 20
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -70,22 +81,49 @@ def _spread(sample: list, wanted: int, threshold: float) -> tuple[list, np.ndarr
     return [sample[i] for i in picked], rows[picked]
 
 
-def _assigner(pivots: np.ndarray, threshold: float, collapse: bool):
+def _reach(near: np.ndarray, home: np.ndarray, apart: np.ndarray, threshold: float) -> np.ndarray:
+    """Cells of lower number that may hold a partner of each row, from its products with the pivots."""
     eps = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
-    apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
+    gap = near[np.arange(len(home)), home][:, None] - near
+    reach = gap <= eps * apart[home] + _SLACK
+    return reach & (np.arange(near.shape[1])[None, :] < home[:, None])
+
+
+def _apart(pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
+
+
+def _useful(sample: list, pivots: np.ndarray, threshold: float) -> int:
+    """How many of the pivots to use, from the cells that sampled rows would be in.
+
+    Copies of rows grow with the cells they reach: where most cells are in reach, nothing is
+    saved and one cell is enough.
+    """
+    rows = np.array([row.vec for row in sample[: 4 * _NEAR_CELLS // len(pivots)]], dtype=np.float64)
+    near = rows @ pivots.T / np.linalg.norm(rows, axis=1, keepdims=True)
+    apart, n = _apart(pivots), len(pivots)
+    while n > 1:
+        home = near[:, :n].argmax(axis=1)
+        cells = 1 + _reach(near[:, :n], home, apart[:n, :n], threshold).sum() / len(rows)
+        if cells <= min(_COPIES, max(2.0, _SHARE * n)):
+            break
+        n //= 2
+    return n
+
+
+def _assigner(pivots: np.ndarray, threshold: float, collapse: bool):
+    apart = _apart(pivots)
     half_angle = math.cos(math.acos(threshold) / 2.0) + _SLACK
+    step = max(1, _NEAR_CELLS // len(pivots))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        parts = (batch.slice(lo, step) for batch in batches for lo in range(0, batch.num_rows, step))
+        for batch in parts:
             vectors = _matrix(batch.column("vec"))
             near = vectors @ pivots.T
             home = near.argmax(axis=1)
             at = np.arange(len(home))
-            gap = near[at, home][:, None] - near
-            reach = gap <= eps * apart[home] + _SLACK
-            reach &= np.arange(len(pivots))[None, :] < home[:, None]
+            reach = _reach(near, home, apart, threshold)
             within = near >= half_angle if collapse else np.zeros_like(near, dtype=bool)
             out_row, out_cell = np.nonzero(reach)
             row = np.concatenate([at, out_row])
@@ -131,7 +169,18 @@ def _forest(close: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[lis
     return src, dst
 
 
-def _comparer(threshold: float, links_only: bool):
+def _close(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Which products reach the threshold. Single precision finds the few that are computed in double."""
+    rough = threshold - 1e-6 - 4 * left.shape[1] * float(np.finfo(np.float32).eps)
+    close = left.astype(np.float32) @ right.astype(np.float32).T >= rough
+    if close.sum() * 64 > close.size:
+        return left @ right.T >= threshold
+    at, to = np.nonzero(close)
+    close[at, to] = np.einsum("ij,ij->i", left[at], right[to]) >= threshold
+    return close
+
+
+def _comparer(threshold: float, links_only: bool, tile: int):
     def compare(unit: pa.Table) -> pa.Table:
         ids = unit.column("id").to_numpy()
         side = unit.column("side").to_numpy()
@@ -140,35 +189,43 @@ def _comparer(threshold: float, links_only: bool):
         )
         in_a = side == 0
         in_b = in_a if same else ~in_a
-        src, dst = [], []
-        if in_a.any() and in_b.any():
-            vectors = _matrix(unit.column("vec"))
-            left, right = ids[in_a], ids[in_b]
-            close = vectors[in_a] @ vectors[in_b].T >= threshold
-            if same:
-                close = close & (left[:, None] != right[None, :])
-            if links_only:
-                src, dst = _forest(close, left, right)
-            else:
-                at, to = np.nonzero(np.triu(close, 1) if same else close)
-                src, dst = left[at], right[to]
-        lo = np.minimum(src, dst).astype(np.int64)
-        hi = np.maximum(src, dst).astype(np.int64)
-        return pa.table({"src": lo, "dst": hi})
+        rows_a, rows_b = np.nonzero(in_a)[0], np.nonzero(in_b)[0]
+        vectors = unit.column("vec").combine_chunks()
+        found = [np.zeros((2, 0), np.int64)]
+        for i in range(0, len(rows_a), tile):
+            part = rows_a[i : i + tile]
+            left = _matrix(vectors.take(pa.array(part)))
+            for j in range(i if same else 0, len(rows_b), tile):
+                other = rows_b[j : j + tile]
+                close = _close(left, _matrix(vectors.take(pa.array(other))), threshold)
+                if same and i == j:
+                    close &= ids[part][:, None] != ids[other][None, :]
+                if links_only:
+                    src, dst = _forest(close, ids[part], ids[other])
+                else:
+                    at, to = np.nonzero(np.triu(close, 1) if same and i == j else close)
+                    src, dst = ids[part][at], ids[other][to]
+                src, dst = np.asarray(src, np.int64), np.asarray(dst, np.int64)
+                found.append(np.array([np.minimum(src, dst), np.maximum(src, dst)]))
+        src, dst = np.concatenate(found, axis=1)
+        return pa.table({"src": src, "dst": dst})
 
     return compare
 
 
-def _blocked(rows: DataFrame, block_rows: int) -> DataFrame:
-    """Give every row the block comparisons it takes part in."""
+def _blocked(rows: DataFrame, block_rows: int, full_rows: int) -> DataFrame:
+    """Give every row the block comparisons it takes part in.
+
+    Blocks have ``block_rows`` rows while they are few and at most ``full_rows`` when they are many.
+    """
     sizes = rows.groupBy("cell").pivot("role", [_LOOSE, _TIGHT, _FAR, _NEAR]).count()
-    blocks = sizes.select(
-        "cell",
-        *[
-            F.ceil(F.coalesce(F.col(str(r)), F.lit(0)) / block_rows).cast("int").alias(f"n{r}")
-            for r in (_LOOSE, _TIGHT, _FAR, _NEAR)
-        ],
-    )
+
+    def blocks_of(role: int) -> Column:
+        size = F.coalesce(F.col(str(role)), F.lit(0))
+        few = F.least(F.ceil(size / block_rows), F.lit(_BLOCKS))
+        return F.greatest(few, F.ceil(size / full_rows)).cast("int").alias(f"n{role}")
+
+    blocks = sizes.select("cell", *[blocks_of(r) for r in (_LOOSE, _TIGHT, _FAR, _NEAR)])
     # one row per pivot, and the number of pivots is bounded
     placed = rows.join(F.broadcast(blocks), "cell")
     counts = F.array(*[F.col(f"n{r}") for r in (_LOOSE, _TIGHT, _FAR, _NEAR)])
@@ -221,7 +278,8 @@ def _copies(vectors: DataFrame) -> DataFrame:
     """
     marked = vectors.withColumn("mark", F.xxhash64("vec"))
     shared = marked.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
-    suspects = marked.join(shared, "mark", "left_semi")
+    # an inner join, as Spark would move a semi-join before the filter
+    suspects = maybe_in(marked, "mark", bloom_words(shared, "mark")).join(shared, "mark")
     firsts = suspects.groupBy("mark", "vec").agg(F.min("id").alias("src"))
     return (
         suspects.join(firsts, ["mark", "vec"])
@@ -242,6 +300,7 @@ def _similar(
 ) -> DataFrame:
     if not 0.0 < threshold < 1.0:
         raise ValueError("threshold must lie between 0 and 1")
+    bounded_batches(vectors.sparkSession)
     vec = F.col(vec_col).cast("array<float>")
     # a zero vector is similar to nothing; stored, as making vectors is costly
     usable = materialise(
@@ -260,6 +319,9 @@ def _similar(
     if not sample:
         return copy_links
     chosen, pivots = _spread(sample, wanted, threshold)
+    used = _useful(sample, pivots, threshold)
+    chosen, pivots = chosen[:used], pivots[:used]
+    full_rows = max(block_rows, _BLOCK_BYTES // (4 * pivots.shape[1]))
 
     placed = materialise(
         firsts.select("id", "vec").mapInArrow(
@@ -269,9 +331,9 @@ def _similar(
         "cells",
     )
     pairs = (
-        _blocked(placed, block_rows)
+        _blocked(placed, block_rows, full_rows)
         .groupBy("cell", "kind", "block_a", "block_b")
-        .applyInArrow(_comparer(threshold, links_only), "src long, dst long")
+        .applyInArrow(_comparer(threshold, links_only, block_rows), "src long, dst long")
     )
     found = pairs.unionByName(copy_links)
     if links_only:

@@ -124,3 +124,43 @@ def test_components(spark, monkeypatch, chunk):
 def test_no_edges(spark):
     none = spark.range(3).select(F.col("id").alias("src"), F.col("id").alias("dst"))
     assert components.connected_components(none).count() == 0
+
+
+def test_cells_that_do_not_prune_are_left_out():
+    from pyspark.sql import Row
+
+    from newsight.operators.similarity import _assigner, _spread, _useful
+
+    rng = np.random.default_rng(4)
+    loose = rng.normal(size=(400, 64)).astype(np.float32)
+    centres = rng.normal(size=(20, 64))
+    tight = (centres[np.arange(400) % 20] + 0.02 * rng.normal(size=(400, 64))).astype(np.float32)
+    for v, threshold, few in ((loose, 0.4, True), (tight, 0.95, False)):
+        sample = [Row(id=i, vec=[float(x) for x in row]) for i, row in enumerate(v)]
+        pivots = _spread(sample, 64, threshold)[1]
+        used = _useful(sample, pivots, threshold)
+        assert (used <= 8) if few else (used == len(pivots) == 20)
+        batch = pa.RecordBatch.from_pylist([{"id": r.id, "vec": r.vec} for r in sample])
+        batch = batch.set_column(1, "vec", batch.column("vec").cast(pa.list_(pa.float32())))
+        placed = sum(x.num_rows for x in _assigner(pivots[:used], threshold, True)(iter([batch])))
+        assert placed <= 8 * len(v)
+
+
+def test_copies_of_a_row_do_not_grow_with_its_cell(spark):
+    from newsight.operators.similarity import _blocked
+
+    for n in (100, 1_000):
+        rows = spark.range(n).selectExpr("id", "array(1f) AS vec", "0 AS cell", "0 AS role")
+        blocked = _blocked(rows, 10, 1_000)
+        assert blocked.count() == 8 * n
+        assert blocked.filter("side = 0 AND block_a = block_b").count() == n
+
+
+def test_rough_products_decide_nothing():
+    from newsight.operators.similarity import _close
+
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(200, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    for threshold in (0.2, 0.3, float((v @ v.T)[3, 9])):
+        assert (_close(v, v, threshold) == (v @ v.T >= threshold - 1e-15)).all()
