@@ -31,10 +31,11 @@ from newsight.llm.minhash import forest
 from newsight.operators.components import connected_components
 
 SAMPLES = 64  # least number of samples of a text with enough characters
-WALK_CHARS = 8_000_000  # characters walked over at once; bounds a task's memory
+WALK_CHARS = 4_000_000  # characters walked over at once; bounds a task's memory
+GRAM_CHARS = 1 << 19  # characters whose samples are hashed at once
 BANDS, BAND_SAMPLES = 12, 6
 NEAR = 0.8
-CHUNK, TILE = 2048, 256  # members of a bucket in a block, rows of a block compared at once; no caps
+CHUNK, TILE = 2048, 128  # members of a bucket in a block, rows of a block compared at once; no caps
 PAIRS = 32_768  # fingerprint pairs compared at once
 _ROW = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
@@ -71,9 +72,14 @@ def fingerprints(texts: list[np.ndarray]) -> list[str]:
     chars = np.zeros(int(first[-1]), np.uint32)
     for at, i in zip(first, order, strict=False):
         chars[at : at + len(texts[i])] = texts[i] + np.uint32(1)
-    wide = _spread(chars)  # zero for the padding: the walk stays at the end
-    gram = (_spread(chars[:-2] + wide[1:-1] * np.uint32(5) + wide[2:] * np.uint32(25)) >> np.uint32(28)).astype(np.uint8) \
-        if len(chars) > 2 else np.zeros(0, np.uint8)
+    wide = np.empty_like(chars)  # zero for the padding: the walk stays at the end
+    for at in range(0, len(chars), GRAM_CHARS):
+        wide[at : at + GRAM_CHARS] = _spread(chars[at : at + GRAM_CHARS])
+    gram = np.zeros(max(0, len(chars) - 2), np.uint8)
+    for at in range(0, len(gram), GRAM_CHARS):
+        to = min(at + GRAM_CHARS, len(gram))
+        near = chars[at:to] + wide[at + 1 : to + 1] * np.uint32(5) + wide[at + 2 : to + 2] * np.uint32(25)
+        gram[at:to] = _spread(near) >> np.uint32(28)
     del chars
     rows = np.nonzero(size > 0)[0]
     pos, end = first[rows].copy(), first[rows] + size[rows]
