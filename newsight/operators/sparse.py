@@ -5,13 +5,15 @@ the norm of the rest is below the threshold: two vectors with no common posted t
 smaller product (Bayardo, Ma, Srikant 2007; Chaudhuri, Ganti, Kaushik 2006). The products of posted
 terms are summed for each pair that meets. Whatever else the two share lies behind the end of
 the shorter posting, so the norm there (``tail``) times the norm that the other one has left
-(``rest``) bounds the missing part. Pairs that cannot reach the threshold go before any vector
-moves; the others are computed. Posting a little further than necessary makes this bound sharp.
-
-A posting list of any length is dealt to units of two blocks of bounded size, so a term of a third
-of all rows is spread over many tasks. ``sparse_links`` is the form for clustering: first every
-row is compared with one row of each of its lists only, which joins near copies into groups; after
-that rows of one group are not paired, and its output is linear for groups of near copies.
+behind that term bounds the missing part. Pairs that cannot reach the threshold go before any
+vector moves; the others are computed.
+
+Rows are dealt to a few blocks, and a task compares two of them: it sums the products of their posted
+terms row by row in a dense array of bounded size, so no pair that is not a candidate ever leaves a
+task. A row moves once per block, whose number does not grow until blocks are full: the shuffle is
+linear in the input, the sums inside the tasks are not. ``sparse_links`` is the form for clustering:
+first every row is compared with one row of each of its lists only, which joins near copies into
+groups; after that rows of one group are not paired, and its output is linear for groups of near copies.
 """
 
 from __future__ import annotations
@@ -20,27 +22,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsight import settings
+from newsight.operators.bloom import bloom_words, maybe_in
 from newsight.operators.components import connected_components
-from newsight.session import materialise
-
-_POSTING = "term int, id long, w double, rest double, last int, tail double"
-# postings of one term that one side of a unit holds
-BLOCK_ROWS = 1_000
+from newsight.session import bounded_batches, discard, materialise
+
+_PREFIX = "id long, terms array<int>, weights array<float>, tail float"
+# least rows of a block, blocks that rows are dealt to, and rows of a block from which on there are more
+BLOCK_ROWS, BLOCKS, FULL_ROWS = 1_000, 4, 96_000
+# products, and cells of the dense array, that are summed at once in a task
+_PRODUCTS, _CELLS = 1 << 18, 1 << 19
+_BOUNDED = 1 << 11  # pairs whose bound is computed at once
 # the norm behind a posting's end, as a share of the threshold: the lower, the more terms are
 # posted and the fewer pairs are left to compute
 _POSTED = 0.94
 _SLACK = 1e-9
+# prefixes hold single precision; the candidates are computed in double
+_ROUGH = 1e-5
 
 
 def _copies(vectors: DataFrame) -> DataFrame:
     """``(src, dst)``: rows equal to an earlier row, linked to the first one."""
     marked = vectors.withColumn("mark", F.xxhash64("terms", "weights"))
     shared = marked.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
-    suspects = marked.join(shared, "mark", "left_semi")
+    # an inner join, as Spark would move a semi-join before the filter
+    suspects = maybe_in(marked, "mark", bloom_words(shared, "mark")).join(shared, "mark")
     firsts = suspects.groupBy("mark", "terms", "weights").agg(F.min("id").alias("src"))
     return (
         suspects.join(firsts, ["mark", "terms", "weights"]).filter("id <> src")
@@ -48,19 +57,24 @@ def _copies(vectors: DataFrame) -> DataFrame:
     )
 
 
-def postings(vectors: DataFrame, threshold: float) -> DataFrame:
-    """``(term, id, w, rest, last, tail)`` of each vector's rare terms, as far as the threshold asks.
+def _norms(owner: np.ndarray, w: np.ndarray, tail: np.ndarray | None = None) -> np.ndarray:
+    """Norm of each entry and those behind it in its row, ``tail`` behind the last one."""
+    sums = np.concatenate([[0.0], np.cumsum(w.astype(np.float64) ** 2)])
+    end = np.searchsorted(owner, owner, "right")
+    behind = sums[end] - sums[:-1] + (0.0 if tail is None else tail.astype(np.float64)[owner] ** 2)
+    return np.sqrt(np.maximum(behind, 0.0))
+
+
+def prefixes(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``(id, terms, weights, tail)`` of each vector's rare terms, as far as the threshold asks.
 
-    ``rest`` is the norm behind the term, ``last`` the rank of the last posted term, ``tail`` the
-    norm behind that one.
+    Terms are numbered anew from rare to frequent and ascend. ``tail`` is the norm behind the last.
     """
-    entries = vectors.select("id", F.explode(F.arrays_zip("terms", "weights")).alias("e")).select(
-        "id", F.col("e.terms").alias("term"), F.col("e.weights").alias("w")
-    )
+    entries = vectors.select(F.explode("terms").alias("term"))
     frequency = materialise(entries.groupBy("term").agg(F.count("*").alias("df")), "term-frequency")
     dims = frequency.agg(F.max("term")).first()[0]
     if dims is None:
-        return entries.sparkSession.createDataFrame([], _POSTING)
+        return entries.sparkSession.createDataFrame([], _PREFIX)
     # one counter per term; the number of hashed terms is fixed by the vectors' maker
     df, seen = np.zeros(dims + 1, np.int64), frequency.toArrow()
     df[seen["term"].to_numpy()] = seen["df"].to_numpy()
@@ -72,59 +86,100 @@ def postings(vectors: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             lens = batch.column("terms").value_lengths().to_numpy()
             owner = np.repeat(np.arange(batch.num_rows), lens)
-            term = batch.column("terms").flatten().to_numpy()
+            term = shared.value[batch.column("terms").flatten().to_numpy()]
             w = batch.column("weights").flatten().to_numpy()
-            order = np.lexsort((shared.value[term], owner))
+            order = np.lexsort((term, owner))
             term, w = term[order], w[order]
-            run_sq = np.concatenate([[0.0], np.cumsum(w * w)])
-            end = np.repeat(np.cumsum(lens), lens)
-            at = np.arange(len(w))
-            with_self = np.sqrt(np.maximum(run_sq[end] - run_sq[at], 0.0))
-            rest = np.sqrt(np.maximum(run_sq[end] - run_sq[at + 1], 0.0))
-            posted = np.flatnonzero(with_self >= _POSTED * threshold - _SLACK)
-            # a vector's posted terms stand together; the last of them is where its postings end
-            rows = owner[posted]
-            ends = posted[np.searchsorted(rows, rows, "right") - 1]
+            posted = np.flatnonzero(_norms(owner, w) >= _POSTED * threshold - _SLACK)
+            left = np.bincount(owner, w * w, batch.num_rows) - np.bincount(owner[posted], w[posted] ** 2, batch.num_rows)
+            offsets = pa.array(np.searchsorted(owner[posted], np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(offsets, pa.array(x[posted].astype(kind)))
+                for x, kind in ((term, np.int32), (w, np.float32))
+            ]
+            tail = np.sqrt(np.maximum(left, 0.0)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), *lists, pa.array(tail)], names=["id", "terms", "weights", "tail"]
+            )
+
+    return vectors.select("id", "terms", "weights").mapInArrow(run, _PREFIX)
+
+
+def postings(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``(term, id, w)``: the prefixes, one row per term."""
+    entries = prefixes(vectors, threshold).select("id", F.explode(F.arrays_zip("terms", "weights")).alias("e"))
+    return entries.select(F.col("e.terms").alias("term"), "id", F.col("e.weights").alias("w"))
+
+
+def _rests(prefix: DataFrame) -> DataFrame:
+    """``(term, id, w, rest, last, tail)`` of each posting: ``rest`` is the norm behind it, ``last``
+    the row's last term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lens = batch.column("terms").value_lengths().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), lens)
+            term, w = (batch.column(c).flatten().to_numpy() for c in ("terms", "weights"))
+            tail = batch.column("tail").to_numpy()
+            rest = np.sqrt(np.maximum(_norms(owner, w, tail) ** 2 - w.astype(np.float64) ** 2, 0.0))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(term[posted].astype(np.int32)),
-                    batch.column("id").take(pa.array(rows)),
-                    pa.array(w[posted]), pa.array(rest[posted]),
-                    pa.array(shared.value[term[ends]]), pa.array(rest[ends]),
+                    pa.array(term), batch.column("id").take(pa.array(owner)), pa.array(w),
+                    pa.array(rest.astype(np.float32)), pa.array(term[np.cumsum(lens) - 1][owner]),
+                    pa.array(tail[owner]),
                 ],
                 names=["term", "id", "w", "rest", "last", "tail"],
             )
 
-    return vectors.mapInArrow(run, _POSTING)
+    return prefix.mapInArrow(run, "term int, id long, w float, rest float, last int, tail float")
 
 
-def _may_reach(met: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of ids, from all places where sides ``a`` and ``b`` meet, that may reach the threshold."""
-    behind = F.when(F.col("a.last") <= F.col("b.last"), F.col("a.tail") * F.col("b.rest")).otherwise(
-        F.col("b.tail") * F.col("a.rest")
-    )
-    places = met.select(
-        F.least("a.id", "b.id").alias("src"), F.greatest("a.id", "b.id").alias("dst"),
-        (F.col("a.w") * F.col("b.w")).alias("product"),
-        F.least(behind, F.col("a.rest") * F.col("b.rest")).alias("missing"),
-    )
-    # the bound is smallest at the last term that both have posted
-    summed = places.groupBy("src", "dst").agg(
-        F.sum("product").alias("product"), F.min("missing").alias("missing")
-    )
-    return summed.filter(F.col("product") + F.col("missing") >= threshold - _SLACK).select("src", "dst")
+def _with_leaders(prefix: DataFrame, threshold: float) -> DataFrame:
+    """Candidates of each row with the smallest row of each of its lists; nothing is shuffled for them.
 
+    Only the lists that this row leads are summed, so a similar pair may be passed over here; the
+    comparison of groups, which sums all lists, finds it.
+    """
+    fields = ("id", "w", "rest", "last", "tail")
+    # one row per term, whose number is fixed
+    lead = _rests(prefix).groupBy("term").agg(F.min(F.struct(*fields)).alias("m")).select("term", "m.*").toArrow()
+    at, table = lead["term"].to_numpy(), {}
+    size = int(at.max(initial=-1)) + 1
+    for name in fields:
+        values = lead[name].to_numpy()
+        table[name] = np.zeros(size, values.dtype)
+        table[name][at] = values
+    shared = prefix.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        led = shared.value
+        for batch in batches:
+            lens = batch.column("terms").value_lengths().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), lens)
+            term, w = (batch.column(c).flatten().to_numpy() for c in ("terms", "weights"))
+            tail = batch.column("tail").to_numpy()
+            rest = np.sqrt(np.maximum(_norms(owner, w, tail) ** 2 - w.astype(np.float64) ** 2, 0.0))
+            end = np.cumsum(lens) - 1
+            ids, src = batch.column("id").to_numpy(), led["id"][term]
+            met = np.flatnonzero(src < ids[owner])
+            own, t, src = owner[met], term[met], src[met]
+            behind = np.where(
+                led["last"][t] <= term[end[own]], led["tail"][t] * rest[met], tail[own] * led["rest"][t]
+            )
+            missing = np.minimum(behind, led["rest"][t] * rest[met])
+            order = np.lexsort((src, own))
+            own, src = own[order], src[order]
+            new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (src[1:] != src[:-1])])[: len(own)])
+            if not len(new):
+                continue
+            # the bound is smallest at the last term that both have posted
+            bound = np.add.reduceat((led["w"][t] * w[met])[order], new) + np.minimum.reduceat(missing[order], new)
+            kept = new[bound >= threshold - _ROUGH]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(src[kept]), pa.array(ids[own[kept]])], names=["src", "dst"]
+            )
 
-def _with_leaders(posted: DataFrame, threshold: float) -> DataFrame:
-    """Candidates of each row with the smallest row of each of its lists."""
-    lead = posted.groupBy("term").agg(
-        F.min(F.struct("id", "w", "rest", "last", "tail")).alias("m")
-    ).select("term", "m.*")
-    a, b = lead.alias("a"), posted.alias("b")
-    met = a.join(b, (F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id")))
-    # only the lists that this row leads are summed, so a similar pair may be passed over here;
-    # the comparison of groups, which sums all lists, finds it
-    return _may_reach(met, threshold)
+    return prefix.mapInArrow(run, "src long, dst long")
 
 
 def units(posted: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -142,20 +197,113 @@ def units(posted: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, D
     return left.withColumn("x", F.col("own")), right.withColumn("y", F.col("own"))
 
 
-def _met(posted: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """Candidate pairs of different groups."""
-    left, right = units(posted, block_rows)
-    a, b = left.alias("a"), right.alias("b")
-    same_unit = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("term", "x", "y")]
-    # inside one block a pair stands on both sides
-    once = (F.col("a.x") < F.col("a.y")) | (F.col("a.id") < F.col("b.id"))
-    apart = F.col("a.group") != F.col("b.group")
-    return _may_reach(a.join(b, same_unit[0] & same_unit[1] & same_unit[2] & once & apart), threshold)
+class _Side:
+    """One block's prefixes as flat arrays."""
+
+    def __init__(self, rows: pa.Table):
+        self.id, self.group = rows.column("id").to_numpy(), rows.column("group").to_numpy()
+        terms, weights = (rows.column(c).combine_chunks() for c in ("terms", "weights"))
+        self.lens = terms.value_lengths().to_numpy().astype(np.int64)
+        self.term, self.w = terms.flatten().to_numpy(), weights.flatten().to_numpy()
+        self.start = np.concatenate([[0], np.cumsum(self.lens)])
+        self.last, self.tail = self.term[self.start[1:] - 1], rows.column("tail").to_numpy()
+
+    def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``rows`` each of their entries belongs to, and the entry's place."""
+        n = self.lens[rows]
+        of = np.repeat(np.arange(len(rows)), n)
+        return of, np.arange(len(of)) + (self.start[rows] - np.cumsum(n) + n)[of]
+
+    def behind(self, rows: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """Norm of some rows behind one term each."""
+        of, at = self.entries(rows)
+        squares = self.w[at].astype(np.float64) ** 2 * (self.term[at] > term[of])
+        return np.sqrt(np.bincount(of, squares, len(rows)) + self.tail[rows].astype(np.float64) ** 2)
+
+
+def _missing(a: _Side, b: _Side, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Most that terms which are not posted in both may add: all others end with the shorter posting."""
+    out = np.zeros(len(u))
+    for lo in range(0, len(u), _BOUNDED):
+        i, j = u[lo : lo + _BOUNDED], v[lo : lo + _BOUNDED]
+        out[lo : lo + _BOUNDED] = np.where(
+            a.last[i] <= b.last[j], a.tail[i] * b.behind(j, a.last[i]), b.tail[j] * a.behind(i, b.last[j])
+        )
+    return out
+
+
+def _candidates(a: _Side, b: _Side, same: bool, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of different groups, one of each side, that may reach the threshold."""
+    dims = int(max(a.term.max(), b.term.max())) + 1
+    by_term = np.argsort(b.term, kind="stable")
+    row_of = np.repeat(np.arange(len(b.id), dtype=np.int32), b.lens)[by_term]
+    w_of = b.w[by_term]
+    first = np.concatenate([[0], np.cumsum(np.bincount(b.term, minlength=dims))])
+    width = len(b.id)
+    # products of all rows before each row
+    made = np.concatenate([[0], np.cumsum(first[a.term + 1] - first[a.term])])[a.start]
+    least = threshold - _ROUGH - float(max(a.tail.max(), b.tail.max()))
+    lo = 0
+    while lo < len(a.id):
+        most = np.searchsorted(made, made[lo] + _PRODUCTS, "right") - 1
+        hi = max(lo + 1, min(len(a.id), int(most), lo + _CELLS // width))
+        own, part = a.entries(np.arange(lo, hi))
+        term = a.term[part]
+        n = first[term + 1] - first[term]
+        entry = np.repeat(np.arange(len(n)), n)
+        place = np.arange(len(entry)) + (first[term] - np.cumsum(n) + n)[entry]
+        cell = own[entry] * width + row_of[place]
+        sums = np.bincount(cell, a.w[part][entry] * w_of[place], minlength=(hi - lo) * width)
+        found = np.flatnonzero(sums >= least) if least > 0 else np.unique(cell)
+        u, v = found // width + lo, found % width
+        kept = a.group[u] != b.group[v]
+        kept &= (a.id[u] < b.id[v]) if same else (a.id[u] != b.id[v])
+        u, v, product = u[kept], v[kept], sums[found[kept]]
+        kept = product + _missing(a, b, u, v) >= threshold - _ROUGH
+        src, dst = a.id[u[kept]], b.id[v[kept]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(src, dst)), pa.array(np.maximum(src, dst))], names=["src", "dst"]
+        )
+        lo = hi
+
+
+def _met(grouped: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Candidate pairs of different groups; ``grouped`` is stored."""
+    total = grouped.count()
+    rows = min(FULL_ROWS, max(block_rows, -(-total // BLOCKS)))
+    placed = grouped.select(
+        F.lit(0).alias("term"), "id", "group", "terms", "weights", "tail"
+    )
+    left, right = units(placed, rows)
+    # a block that meets itself moves once
+    sides = left.withColumn("side", F.lit(0)).unionByName(right.filter("x < y").withColumn("side", F.lit(1)))
+
+    def run(unit: pa.Table) -> pa.Table:
+        none = pa.table({"src": pa.array([], pa.int64()), "dst": pa.array([], pa.int64())})
+        side = unit.column("side").to_numpy()
+        same = unit.column("x")[0].as_py() == unit.column("y")[0].as_py()
+        parts = [unit.filter(pa.array(side == k)) for k in (0, 1)]
+        if not parts[0].num_rows or not (same or parts[1].num_rows):
+            return none
+        a = _Side(parts[0])
+        b = a if same else _Side(parts[1])
+        found = [none, *map(lambda x: pa.Table.from_batches([x]), _candidates(a, b, same, threshold))]
+        # rows with equal ids name a pair more than once
+        return pa.concat_tables(found).group_by(["src", "dst"]).aggregate([])
+
+    return sides.select("x", "y", "side", "id", "group", "terms", "weights", "tail").groupBy("x", "y").applyInArrow(
+        run, "src long, dst long"
+    )
 
 
 def _reaching(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose product reaches the threshold."""
-    side = lambda k, n: vectors.select(
+    """The pairs whose product reaches the threshold; both tables are stored.
+
+    A Bloom filter thins the vectors out before they move; the joins decide.
+    """
+    ids = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
+    wanted = maybe_in(vectors, "id", bloom_words(ids, "id"))
+    side = lambda k, n: wanted.select(
         F.col("id").alias(k), F.col("terms").alias(f"terms{n}"), F.col("weights").alias(f"weights{n}")
     )
     both = pairs.join(side("src", 0), "src").join(side("dst", 1), "dst")
@@ -179,19 +327,19 @@ def _reaching(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFra
     return both.mapInArrow(run, "src long, dst long")
 
 
-def _firsts(vectors: DataFrame, id_col: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _prepared(vectors: DataFrame, id_col: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Vectors, copies, and prefixes of the rows that are no copies; all stored."""
     if not 0.0 < threshold < 1.0:
         raise ValueError("threshold must lie between 0 and 1")
+    bounded_batches(vectors.sparkSession)
     usable = materialise(
         vectors.select(F.col(id_col).cast("long").alias("id"), "terms", "weights").filter(F.size("terms") > 0),
         "sparse-vectors",
     )
     copies = materialise(_copies(usable), "sparse-copies")
-    firsts = materialise(
-        usable.join(copies.select(F.col("dst").alias("id")), "id", "left_anti"), "sparse-vectors"
-    )
-    posted = materialise(postings(firsts, threshold), "postings")
-    return firsts, copies, posted
+    every = prefixes(usable, threshold).filter("id IS NOT NULL AND size(terms) > 0")
+    prefix = materialise(every.join(copies.select(F.col("dst").alias("id")), "id", "left_anti"), "prefixes")
+    return usable, copies, prefix
 
 
 def sparse_pairs(
@@ -203,9 +351,9 @@ def sparse_pairs(
     ``vectors`` holds unit vectors as ``terms`` (ascending) and ``weights`` (positive). The result itself
     grows with the square of a group of similar vectors: use ``sparse_links`` for groups.
     """
-    firsts, copies, posted = _firsts(vectors, id_col, threshold)
-    found = _met(posted.withColumn("group", F.col("id")), threshold, block_rows)
-    return _reaching(found, firsts, threshold).unionByName(copies)
+    usable, copies, prefix = _prepared(vectors, id_col, threshold)
+    found = materialise(_met(prefix.withColumn("group", F.col("id")), threshold, block_rows), "sparse-candidates")
+    return _reaching(found, usable, threshold).unionByName(copies)
 
 
 def sparse_links(
@@ -213,9 +361,13 @@ def sparse_links(
     threshold: float = settings.SIMILARITY_THRESHOLD, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """A subset of the similar pairs with the same connected components."""
-    firsts, copies, posted = _firsts(vectors, id_col, threshold)
-    stars = materialise(_reaching(_with_leaders(posted, threshold), firsts, threshold), "sparse-stars")
+    usable, copies, prefix = _prepared(vectors, id_col, threshold)
+    near = materialise(_with_leaders(prefix, threshold), "sparse-candidates")
+    stars = materialise(_reaching(near, usable, threshold), "sparse-stars")
     groups = connected_components(stars).withColumnRenamed("node", "id")
-    grouped = posted.join(groups, "id", "left").withColumn("group", F.coalesce("component", "id"))
-    across = _reaching(_met(grouped.drop("component"), threshold, block_rows), firsts, threshold)
-    return stars.unionByName(across).unionByName(copies)
+    grouped = prefix.join(groups, "id", "left").withColumn("group", F.coalesce("component", "id"))
+    grouped = materialise(grouped.drop("component"), "sparse-groups")
+    discard(prefix)
+    met = materialise(_met(grouped, threshold, block_rows), "sparse-candidates")
+    discard(grouped)
+    return stars.unionByName(_reaching(met, usable, threshold)).unionByName(copies)

@@ -130,3 +130,62 @@ def test_label_model_of_three_classes(spark):
     assert sum(p.values()) == pytest.approx(1.0) and max(p, key=p.get) == "y"
     with pytest.raises(ValueError):
         models.train_label_model(df.filter("label IS NULL"), "doc_id", "text", "label")
+
+
+def test_blocks_find_all_candidates_in_small_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(sparse, "_PRODUCTS", 50)
+    monkeypatch.setattr(sparse, "_CELLS", 200)
+    monkeypatch.setattr(sparse, "_BOUNDED", 3)
+    rng = np.random.default_rng(3)
+    full = rng.random((60, 30)) * (rng.random((60, 30)) < 0.3)
+    full[:, 0] += 0.01
+    full[30:] = full[:30] + 0.1 * rng.random((30, 30)) * (full[:30] > 0)
+    full /= np.linalg.norm(full, axis=1, keepdims=True)
+    rests = np.sqrt(np.cumsum(full[:, ::-1] ** 2, axis=1))[:, ::-1]
+    kept = [[t for t in np.flatnonzero(r) if s[t] >= 0.8] for r, s in zip(full, rests)]
+    tail = [math.sqrt(max(0.0, 1 - sum(r[k] ** 2))) for r, k in zip(full, kept)]
+    table = pa.table({
+        "id": list(range(60)), "group": list(range(60)),
+        "terms": pa.array([[int(t) for t in k] for k in kept], pa.list_(pa.int32())),
+        "weights": pa.array([r[k] for r, k in zip(full, kept)], pa.list_(pa.float32())),
+        "tail": pa.array(tail, pa.float32()),
+    })
+    want = set(zip(*np.nonzero(np.triu(full @ full.T >= 0.8, 1))))
+    whole = sparse._Side(table)
+    halves = [sparse._Side(table.slice(0, 25)), sparse._Side(table.slice(25))]
+    pairs = lambda a, b: [(r["src"], r["dst"]) for x in sparse._candidates(a, b, a is b, 0.8) for r in x.to_pylist()]
+    one, three = pairs(whole, whole), [p for a, b in ((0, 0), (0, 1), (1, 1)) for p in pairs(halves[a], halves[b])]
+    assert len(one) == len(set(one)) and set(one) == set(three) and len(three) == len(one)
+    assert want <= set(one) and len(want) >= 25 and len(one) < 60 * 59 // 4
+
+
+def test_pairs_that_only_meet_are_not_shuffled(spark):
+    from newsight.session import materialise
+
+    prefix = materialise(sparse.prefixes(as_frame(spark, workload(50, 2)).withColumnRenamed("article_id", "id"), 0.9), "t")
+    met = sparse._met(prefix.selectExpr("*", "id AS group"), 0.9, 16)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(x" in plan and "hashpartitioning(src" not in plan
+
+
+def test_batches_of_texts_are_bounded(spark):
+    """In records alone 3,000 long texts were one batch of a worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1g")
+    try:
+        docs = spark.range(3_000, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat('w', char(97 + id % 26), ' '), 3000) AS text")
+
+        def rows(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+        counted = models.term_counts(docs, "doc_id", "text")
+        words = docs.selectExpr("split(text, ' ') AS words").mapInArrow(rows, "n long")
+        assert counted.count() == 3_000 and max(r.n for r in words.collect()) < 1_000
+    finally:
+        spark.conf.set(name, before)
