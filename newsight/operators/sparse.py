@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from newsight import settings
 from newsight.operators.bloom import bloom_words, maybe_in
 from newsight.operators.components import connected_components
-from newsight.session import bounded_batches, discard, materialise
+from newsight.session import bounded_batches, discard, free_shuffles, materialise
 
 _PREFIX = "id long, terms array<int>, weights array<float>, tail float"
 # least rows of a block, blocks that rows are dealt to, and rows of a block from which on there are more
@@ -339,6 +339,7 @@ def _prepared(vectors: DataFrame, id_col: str, threshold: float) -> tuple[DataFr
     copies = materialise(_copies(usable), "sparse-copies")
     every = prefixes(usable, threshold).filter("id IS NOT NULL AND size(terms) > 0")
     prefix = materialise(every.join(copies.select(F.col("dst").alias("id")), "id", "left_anti"), "prefixes")
+    free_shuffles(vectors.sparkSession)
     return usable, copies, prefix
 
 
@@ -364,10 +365,13 @@ def sparse_links(
     usable, copies, prefix = _prepared(vectors, id_col, threshold)
     near = materialise(_with_leaders(prefix, threshold), "sparse-candidates")
     stars = materialise(_reaching(near, usable, threshold), "sparse-stars")
+    free_shuffles(vectors.sparkSession)
     groups = connected_components(stars).withColumnRenamed("node", "id")
     grouped = prefix.join(groups, "id", "left").withColumn("group", F.coalesce("component", "id"))
     grouped = materialise(grouped.drop("component"), "sparse-groups")
-    discard(prefix)
+    discard(prefix, near)
+    free_shuffles(vectors.sparkSession)
     met = materialise(_met(grouped, threshold, block_rows), "sparse-candidates")
     discard(grouped)
+    free_shuffles(vectors.sparkSession)
     return stars.unionByName(_reaching(met, usable, threshold)).unionByName(copies)
