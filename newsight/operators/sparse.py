@@ -10,15 +10,25 @@ vector moves; the others are computed.
 
 Rows are dealt to a few blocks, and a task compares two of them: it sums the products of their posted
 terms row by row in a dense array of bounded size, so no pair that is not a candidate ever leaves a
-task. A row moves once per block, whose number does not grow until blocks are full: the shuffle is
-linear in the input, the sums inside the tasks are not. ``sparse_links`` is the form for clustering:
+task. A row meets every block, and blocks become more once they are full; all pairs of blocks are compared in
+passes that move a row a few times only, and each pass frees its shuffle. Candidates are computed
+in passes of bounded bytes as well, so the disk in use is linear in the input; the rows moved in all and
+the sums inside the tasks are not. ``sparse_links`` is the form for clustering:
 first every row is compared with one row of each of its lists only, which joins near copies into
 groups; after that rows of one group are not paired, and its output is linear for groups of near copies.
+Of many candidates one or two of each row are computed first, and those inside the groups that
+they make are left out.
+
+The vectors are read several times and are not stored here: weights are wide and do not compress, while
+those of ``doc_vectors`` are made from stored counts at each reading.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import math
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +38,21 @@ from pyspark.sql import functions as F
 from newsight import settings
 from newsight.operators.bloom import bloom_words, maybe_in
 from newsight.operators.components import connected_components
-from newsight.session import bounded_batches, discard, free_shuffles, materialise
+from newsight.session import bounded_batches, discard, free_shuffles, materialise, materialise_counted
 
 _PREFIX = "id long, terms array<int>, weights array<float>, tail float"
-# least rows of a block, blocks that rows are dealt to, and rows of a block from which on there are more
-BLOCK_ROWS, BLOCKS, FULL_ROWS = 1_000, 4, 96_000
+_PAIRS = "src long, dst long, score double"
+# least rows of a block, blocks that rows are dealt to, and rows and postings of a block from which on
+# there are more
+BLOCK_ROWS, BLOCKS, FULL_ROWS, FULL_POSTINGS = 1_000, 4, 96_000, 3_000_000
+# copies of a row that are on disk at once while blocks are compared
+COPIES = 4
+# terms of the vectors that are moved for candidates at once, as a share of all vectors' terms, and a number
+# that is always moved
+MOVED_SHARE, MOVED_TERMS = 0.5, 2_000_000
+# times that a few candidates of each row are computed before all that are left, and the
+# candidates per row that are gathered at most before they are computed
+_ROUNDS, _GATHERED = 3, 4
 # products, and cells of the dense array, that are summed at once in a task
 _PRODUCTS, _CELLS = 1 << 18, 1 << 19
 _BOUNDED = 1 << 11  # pairs whose bound is computed at once
@@ -42,19 +62,43 @@ _POSTED = 0.94
 _SLACK = 1e-9
 # prefixes hold single precision; the candidates are computed in double
 _ROUGH = 1e-5
+# squares are summed as integers of this unit, rounded up, so a norm behind a term is never too small
+_UNIT = float(1 << 40)
 
 
-def _copies(vectors: DataFrame) -> DataFrame:
-    """``(src, dst)``: rows equal to an earlier row, linked to the first one."""
-    marked = vectors.withColumn("mark", F.xxhash64("terms", "weights"))
-    shared = marked.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
-    # an inner join, as Spark would move a semi-join before the filter
-    suspects = maybe_in(marked, "mark", bloom_words(shared, "mark")).join(shared, "mark")
-    firsts = suspects.groupBy("mark", "terms", "weights").agg(F.min("id").alias("src"))
-    return (
-        suspects.join(firsts, ["mark", "terms", "weights"]).filter("id <> src")
-        .select("src", F.col("id").alias("dst"))
-    )
+def _marked(vectors: DataFrame) -> DataFrame:
+    """``(id, n, mark)``: the number of each vector's terms, and the SHA-256 of its terms and weights, so that
+    wide rows need not move to be compared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lens = batch.column("terms").value_lengths().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(lens)]).tolist()
+            terms, weights = (
+                np.ascontiguousarray(batch.column(c).flatten().to_numpy(), kind).view(np.uint8)
+                for c, kind in (("terms", np.int32), ("weights", np.float64))
+            )
+            marks = []
+            for lo, hi in zip(ends[:-1], ends[1:]):
+                mark = hashlib.sha256(terms[4 * lo : 4 * hi])
+                mark.update(weights[8 * lo : 8 * hi])
+                marks.append(mark.digest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(lens, pa.int32()), pa.array(marks, pa.binary())],
+                names=["id", "n", "mark"],
+            )
+
+    return vectors.select("id", "terms", "weights").mapInArrow(run, "id long, n int, mark binary")
+
+
+def _copies(marked: DataFrame) -> DataFrame:
+    """``(src, dst)``: rows equal to an earlier row, linked to the first one; stored."""
+    shared = marked.groupBy("mark").agg(F.min("id").alias("src"), F.count("*").alias("n")).filter("n > 1")
+    firsts = materialise(shared.select("mark", "src"), "sparse-firsts")
+    copies = marked.join(firsts, "mark").filter("id <> src").select("src", F.col("id").alias("dst"))
+    copies = materialise(copies, "sparse-copies")
+    discard(firsts)
+    return copies
 
 
 def _norms(owner: np.ndarray, w: np.ndarray, tail: np.ndarray | None = None) -> np.ndarray:
@@ -173,13 +217,27 @@ def _with_leaders(prefix: DataFrame, threshold: float) -> DataFrame:
             if not len(new):
                 continue
             # the bound is smallest at the last term that both have posted
-            bound = np.add.reduceat((led["w"][t] * w[met])[order], new) + np.minimum.reduceat(missing[order], new)
-            kept = new[bound >= threshold - _ROUGH]
+            product = np.add.reduceat((led["w"][t] * w[met])[order].astype(np.float64), new)
+            reach = product + np.minimum.reduceat(missing[order], new) >= threshold - _ROUGH
+            kept = new[reach]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(src[kept]), pa.array(ids[own[kept]])], names=["src", "dst"]
+                [pa.array(src[kept]), pa.array(ids[own[kept]]), pa.array(product[reach])],
+                names=["src", "dst", "score"],
             )
 
-    return prefix.mapInArrow(run, "src long, dst long")
+    return prefix.mapInArrow(run, _PAIRS)
+
+
+def _sides(placed: DataFrame, diagonals: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Left and right sides of block pairs x <= y of rows with ``own`` of ``blocks``; of those with y - x in
+    ``diagonals``, or all."""
+    if diagonals is None:
+        y, x = F.sequence("own", F.col("blocks") - 1), F.sequence(F.lit(0), "own")
+    else:
+        y = F.filter(F.array(*[F.col("own") + d for d in diagonals]), lambda k: k < F.col("blocks"))
+        x = F.filter(F.array(*[F.col("own") - d for d in diagonals]), lambda k: k >= 0)
+    left, right = placed.withColumn("y", F.explode(y)), placed.withColumn("x", F.explode(x))
+    return left.withColumn("x", F.col("own")), right.withColumn("y", F.col("own"))
 
 
 def units(posted: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -191,10 +249,23 @@ def units(posted: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, D
     sizes = posted.groupBy("term").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     sizes = sizes.filter("blocks > 1")
     placed = posted.join(sizes, "term", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    left = placed.withColumn("y", F.explode(F.sequence("own", F.col("blocks") - 1)))
-    right = placed.withColumn("x", F.explode(F.sequence(F.lit(0), "own")))
-    return left.withColumn("x", F.col("own")), right.withColumn("y", F.col("own"))
+    return _sides(placed.withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int")))
+
+
+def passes(blocks: int) -> list[list[int]]:
+    """All diagonals y - x of the block pairs, in parts of which each moves a row up to ``COPIES`` times.
+
+    Diagonals d and ``blocks`` - d hold every block twice together, as 0 and the middle one do once.
+    """
+    parts, moved = [[]], 0
+    for d in range(blocks // 2 + 1):
+        both = sorted({d, (blocks - d) % blocks})
+        copies = len(both)
+        if moved and moved + copies > COPIES:
+            parts, moved = [*parts, []], 0
+        parts[-1] += both
+        moved += copies
+    return parts
 
 
 class _Side:
@@ -207,6 +278,8 @@ class _Side:
         self.term, self.w = terms.flatten().to_numpy(), weights.flatten().to_numpy()
         self.start = np.concatenate([[0], np.cumsum(self.lens)])
         self.last, self.tail = self.term[self.start[1:] - 1], rows.column("tail").to_numpy()
+        squares = np.ceil(self.w.astype(np.float64) ** 2 * _UNIT).astype(np.int64)
+        self.sums = np.concatenate([[0], np.cumsum(squares)])
 
     def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``rows`` each of their entries belongs to, and the entry's place."""
@@ -216,9 +289,14 @@ class _Side:
 
     def behind(self, rows: np.ndarray, term: np.ndarray) -> np.ndarray:
         """Norm of some rows behind one term each."""
-        of, at = self.entries(rows)
-        squares = self.w[at].astype(np.float64) ** 2 * (self.term[at] > term[of])
-        return np.sqrt(np.bincount(of, squares, len(rows)) + self.tail[rows].astype(np.float64) ** 2)
+        lo, end = self.start[rows], self.start[rows + 1]
+        hi = end
+        while (lo < hi).any():
+            # an end that is reached points behind the last entry at most, and is not moved
+            middle = (lo + hi) // 2
+            before = (lo < hi) & (self.term[np.minimum(middle, len(self.term) - 1)] <= term)
+            lo, hi = np.where(before, middle + 1, lo), np.where(before, hi, middle)
+        return np.sqrt((self.sums[end] - self.sums[lo]) / _UNIT + self.tail[rows].astype(np.float64) ** 2)
 
 
 def _missing(a: _Side, b: _Side, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -233,11 +311,12 @@ def _missing(a: _Side, b: _Side, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def _candidates(a: _Side, b: _Side, same: bool, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of different groups, one of each side, that may reach the threshold."""
+    """Pairs of different groups, one of each side, that may reach the threshold, and their products so far."""
     dims = int(max(a.term.max(), b.term.max())) + 1
     by_term = np.argsort(b.term, kind="stable")
     row_of = np.repeat(np.arange(len(b.id), dtype=np.int32), b.lens)[by_term]
     w_of = b.w[by_term]
+    del by_term
     first = np.concatenate([[0], np.cumsum(np.bincount(b.term, minlength=dims))])
     width = len(b.id)
     # products of all rows before each row
@@ -247,13 +326,13 @@ def _candidates(a: _Side, b: _Side, same: bool, threshold: float) -> Iterator[pa
     while lo < len(a.id):
         most = np.searchsorted(made, made[lo] + _PRODUCTS, "right") - 1
         hi = max(lo + 1, min(len(a.id), int(most), lo + _CELLS // width))
-        own, part = a.entries(np.arange(lo, hi))
-        term = a.term[part]
+        part = slice(a.start[lo], a.start[hi])
+        own, term = np.repeat(np.arange(hi - lo) * width, a.lens[lo:hi]), a.term[part]
         n = first[term + 1] - first[term]
-        entry = np.repeat(np.arange(len(n)), n)
-        place = np.arange(len(entry)) + (first[term] - np.cumsum(n) + n)[entry]
-        cell = own[entry] * width + row_of[place]
-        sums = np.bincount(cell, a.w[part][entry] * w_of[place], minlength=(hi - lo) * width)
+        ends = np.cumsum(n)
+        place = np.arange(ends[-1]) + np.repeat(first[term] - ends + n, n)
+        cell = row_of[place] + np.repeat(own, n)
+        sums = np.bincount(cell, np.repeat(a.w[part], n) * w_of[place], minlength=(hi - lo) * width)
         found = np.flatnonzero(sums >= least) if least > 0 else np.unique(cell)
         u, v = found // width + lo, found % width
         kept = a.group[u] != b.group[v]
@@ -262,51 +341,82 @@ def _candidates(a: _Side, b: _Side, same: bool, threshold: float) -> Iterator[pa
         kept = product + _missing(a, b, u, v) >= threshold - _ROUGH
         src, dst = a.id[u[kept]], b.id[v[kept]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(src, dst)), pa.array(np.maximum(src, dst))], names=["src", "dst"]
+            [pa.array(np.minimum(src, dst)), pa.array(np.maximum(src, dst)), pa.array(product[kept].astype(np.float64))],
+            names=["src", "dst", "score"],
         )
         lo = hi
 
 
-def _met(grouped: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """Candidate pairs of different groups; ``grouped`` is stored."""
-    total = grouped.count()
+def _compared(
+    grouped: DataFrame, threshold: float, block_rows: int
+) -> tuple[int, list[Callable[[], DataFrame]]]:
+    """Rows of ``grouped``, which is stored, and the passes that give its candidate pairs of different groups."""
+    total, posted = grouped.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
     rows = min(FULL_ROWS, max(block_rows, -(-total // BLOCKS)))
+    blocks = max(1, -(-total // rows), -(-posted // FULL_POSTINGS))
     placed = grouped.select(
-        F.lit(0).alias("term"), "id", "group", "terms", "weights", "tail"
+        "id", "group", "terms", "weights", "tail",
+        F.lit(blocks).alias("blocks"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"),
     )
-    left, right = units(placed, rows)
-    # a block that meets itself moves once
-    sides = left.withColumn("side", F.lit(0)).unionByName(right.filter("x < y").withColumn("side", F.lit(1)))
 
     def run(unit: pa.Table) -> pa.Table:
-        none = pa.table({"src": pa.array([], pa.int64()), "dst": pa.array([], pa.int64())})
+        none = pa.table({"src": pa.array([], pa.int64()), "dst": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         side = unit.column("side").to_numpy()
         same = unit.column("x")[0].as_py() == unit.column("y")[0].as_py()
         parts = [unit.filter(pa.array(side == k)) for k in (0, 1)]
+        del unit
         if not parts[0].num_rows or not (same or parts[1].num_rows):
             return none
         a = _Side(parts[0])
         b = a if same else _Side(parts[1])
+        del parts
         found = [none, *map(lambda x: pa.Table.from_batches([x]), _candidates(a, b, same, threshold))]
         # rows with equal ids name a pair more than once
-        return pa.concat_tables(found).group_by(["src", "dst"]).aggregate([])
+        pairs = pa.concat_tables(found).group_by(["src", "dst"]).aggregate([("score", "max")])
+        return pairs.select(["src", "dst", "score_max"]).rename_columns(["src", "dst", "score"])
+
+    def part(diagonals: list[int]) -> DataFrame:
+        left, right = _sides(placed, diagonals)
+        # a block that meets itself moves once
+        sides = left.withColumn("side", F.lit(0)).unionByName(right.filter("x < y").withColumn("side", F.lit(1)))
+        return sides.select("x", "y", "side", "id", "group", "terms", "weights", "tail").groupBy("x", "y").applyInArrow(
+            run, _PAIRS
+        )
 
-    return sides.select("x", "y", "side", "id", "group", "terms", "weights", "tail").groupBy("x", "y").applyInArrow(
-        run, "src long, dst long"
-    )
+    return total, [lambda d=d: part(d) for d in passes(blocks)]
 
 
-def _reaching(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose product reaches the threshold; both tables are stored.
+def _met(grouped: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Candidate pairs of different groups; ``grouped`` is stored. All passes but the last are done here."""
+    return _in_passes(_compared(grouped, threshold, block_rows)[1], "sparse-met")
+
+
+def _in_passes(parts: list[Callable[[], DataFrame]], name: str) -> DataFrame:
+    """The rows of all parts; all but the last one are stored, and their shuffles freed."""
+    stored = []
+    for part in parts[:-1]:
+        stored.append(materialise(part(), name))
+        free_shuffles(stored[-1].sparkSession)
+    return reduce(DataFrame.unionByName, stored, parts[-1]())
+
+
+def _parts(pairs: DataFrame, lens: DataFrame) -> int:
+    """Passes that the pairs' vectors ask for: each moves one vector of a pair twice, the other one once."""
+    size = lambda k: lens.select(F.col("id").alias(k), F.col("n").cast("long").alias(f"n_{k}"))
+    moved = pairs.join(size("src"), "src").join(size("dst"), "dst").agg(F.sum(F.expr("2 * n_src + n_dst"))).first()[0]
+    every = lens.agg(F.sum("n")).first()[0]
+    return max(1, math.ceil((moved or 0) / max(MOVED_TERMS, MOVED_SHARE * (every or 0))))
+
 
-    A Bloom filter thins the vectors out before they move; the joins decide.
+def _reaching(pairs: DataFrame, vectors: DataFrame, threshold: float, parts: int) -> DataFrame:
+    """The pairs whose product reaches the threshold; ``pairs`` are stored.
+
+    Bloom filters thin the vectors out before they move; the joins decide. All passes but the last are done here.
     """
-    ids = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
-    wanted = maybe_in(vectors, "id", bloom_words(ids, "id"))
-    side = lambda k, n: wanted.select(
-        F.col("id").alias(k), F.col("terms").alias(f"terms{n}"), F.col("weights").alias(f"weights{n}")
-    )
-    both = pairs.join(side("src", 0), "src").join(side("dst", 1), "dst")
+
+    def side(k: str, n: int, some: DataFrame) -> DataFrame:
+        wanted = maybe_in(vectors, "id", bloom_words(some, k))
+        return wanted.select(F.col("id").alias(k), F.col("terms").alias(f"terms{n}"), F.col("weights").alias(f"weights{n}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,23 +434,70 @@ def _reaching(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFra
                 [batch.column("src").take(kept), batch.column("dst").take(kept)], names=["src", "dst"]
             )
 
-    return both.mapInArrow(run, "src long, dst long")
+    def computed(k: int) -> DataFrame:
+        some = pairs.select("src", "dst").filter(F.pmod(F.xxhash64("src", "dst"), F.lit(parts)) == k)
+        both = some.join(side("src", 0, some), "src").join(side("dst", 1, some), "dst")
+        return both.mapInArrow(run, "src long, dst long")
+
+    return _in_passes([lambda k=k: computed(k) for k in range(parts)], "sparse-reached")
 
 
-def _prepared(vectors: DataFrame, id_col: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Vectors, copies, and prefixes of the rows that are no copies; all stored."""
+def _some_of_each(pairs: DataFrame) -> DataFrame:
+    """Of each row's pairs with earlier rows, that with the first of them and that with the largest product so far."""
+    chosen = pairs.groupBy("dst").agg(F.min("src").alias("low"), F.max_by("src", "score").alias("best"))
+    return chosen.select(F.explode(F.array_distinct(F.array("low", "best"))).alias("src"), "dst")
+
+
+def _apart(pairs: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """The pairs of rows that no links join yet."""
+    groups = materialise(connected_components(reduce(DataFrame.unionByName, links)), "sparse-groups")
+    of = lambda k: groups.select(F.col("node").alias(k), F.col("component").alias(f"{k}_group"))
+    both = pairs.join(of("src"), "src", "left").join(of("dst"), "dst", "left")
+    return both.filter(F.coalesce("src_group", "src") != F.coalesce("dst_group", "dst")).select("src", "dst", "score")
+
+
+def _joined(
+    pairs: DataFrame, links: list[DataFrame], vectors: DataFrame, lens: DataFrame, threshold: float
+) -> list[DataFrame]:
+    """``links`` and those of the candidates that reach the threshold and join more groups; all stored.
+
+    Candidates inside a group, which grow with its square, are left out, as its links are there.
+    """
+    spark, links = vectors.sparkSession, list(links)
+    ids = pairs.select(F.explode(F.array("src", "dst")).alias("id"))
+    wanted = materialise(maybe_in(vectors, "id", bloom_words(ids, "id")), "sparse-wanted")
+    free_shuffles(spark)
+    parts = _parts(pairs, lens)
+    for _ in range(_ROUNDS):
+        if parts == 1:
+            break
+        first = materialise(_some_of_each(pairs), "sparse-first")
+        links.append(materialise(_reaching(first, wanted, threshold, _parts(first, lens)), "sparse-links"))
+        free_shuffles(spark)
+        rest = pairs.join(first, ["src", "dst"], "left_anti")
+        pairs = materialise(_apart(rest, links), "sparse-rest")
+        free_shuffles(spark)
+        parts = _parts(pairs, lens)
+    links.append(materialise(_reaching(pairs, wanted, threshold, parts), "sparse-links"))
+    discard(wanted)
+    free_shuffles(spark)
+    return links
+
+
+def _prepared(
+    vectors: DataFrame, id_col: str, threshold: float
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Vectors, and stored lengths, copies, and prefixes of the rows that are no copies."""
     if not 0.0 < threshold < 1.0:
         raise ValueError("threshold must lie between 0 and 1")
     bounded_batches(vectors.sparkSession)
-    usable = materialise(
-        vectors.select(F.col(id_col).cast("long").alias("id"), "terms", "weights").filter(F.size("terms") > 0),
-        "sparse-vectors",
-    )
-    copies = materialise(_copies(usable), "sparse-copies")
+    usable = vectors.select(F.col(id_col).cast("long").alias("id"), "terms", "weights").filter(F.size("terms") > 0)
+    marked = materialise(_marked(usable), "sparse-marks")
+    copies = _copies(marked)
     every = prefixes(usable, threshold).filter("id IS NOT NULL AND size(terms) > 0")
     prefix = materialise(every.join(copies.select(F.col("dst").alias("id")), "id", "left_anti"), "prefixes")
     free_shuffles(vectors.sparkSession)
-    return usable, copies, prefix
+    return usable, marked.select("id", "n"), copies, prefix
 
 
 def sparse_pairs(
@@ -352,26 +509,39 @@ def sparse_pairs(
     ``vectors`` holds unit vectors as ``terms`` (ascending) and ``weights`` (positive). The result itself
     grows with the square of a group of similar vectors: use ``sparse_links`` for groups.
     """
-    usable, copies, prefix = _prepared(vectors, id_col, threshold)
+    usable, lens, copies, prefix = _prepared(vectors, id_col, threshold)
     found = materialise(_met(prefix.withColumn("group", F.col("id")), threshold, block_rows), "sparse-candidates")
-    return _reaching(found, usable, threshold).unionByName(copies)
+    return _reaching(found, usable, threshold, _parts(found, lens)).unionByName(copies)
 
 
 def sparse_links(
     vectors: DataFrame, id_col: str = "article_id",
     threshold: float = settings.SIMILARITY_THRESHOLD, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """A subset of the similar pairs with the same connected components."""
-    usable, copies, prefix = _prepared(vectors, id_col, threshold)
+    """A subset of the similar pairs with the same connected components; stored."""
+    spark = vectors.sparkSession
+    usable, lens, copies, prefix = _prepared(vectors, id_col, threshold)
     near = materialise(_with_leaders(prefix, threshold), "sparse-candidates")
-    stars = materialise(_reaching(near, usable, threshold), "sparse-stars")
-    free_shuffles(vectors.sparkSession)
-    groups = connected_components(stars).withColumnRenamed("node", "id")
+    free_shuffles(spark)
+    links = _joined(near, [], usable, lens, threshold)
+    groups = connected_components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "id")
     grouped = prefix.join(groups, "id", "left").withColumn("group", F.coalesce("component", "id"))
-    grouped = materialise(grouped.drop("component"), "sparse-groups")
+    grouped = materialise(grouped.drop("component"), "sparse-grouped")
     discard(prefix, near)
-    free_shuffles(vectors.sparkSession)
-    met = materialise(_met(grouped, threshold, block_rows), "sparse-candidates")
-    discard(grouped)
-    free_shuffles(vectors.sparkSession)
-    return stars.unionByName(_reaching(met, usable, threshold)).unionByName(copies)
+    free_shuffles(spark)
+    rows, compared = _compared(grouped, threshold, block_rows)
+    met, gathered, behind = [], 0, False
+    for k, part in enumerate(compared, start=1):
+        pairs, n = materialise_counted(part(), "sparse-candidates")
+        free_shuffles(spark)
+        if k == len(compared):
+            discard(grouped)
+        met, gathered = [*met, pairs], gathered + n
+        if k == len(compared) or gathered > _GATHERED * rows:
+            found = reduce(DataFrame.unionByName, met)
+            # those of links that were made after ``grouped``
+            found = materialise(_apart(found, links), "sparse-rest") if behind else found
+            links = _joined(found, links, usable, lens, threshold)
+            discard(*met)
+            met, gathered, behind = [], 0, True
+    return reduce(DataFrame.unionByName, links).unionByName(copies)

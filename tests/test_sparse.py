@@ -189,3 +189,60 @@ def test_batches_of_texts_are_bounded(spark):
         assert counted.count() == 3_000 and max(r.n for r in words.collect()) < 1_000
     finally:
         spark.conf.set(name, before)
+
+
+def test_passes_hold_each_pair_of_blocks_once():
+    for blocks in range(1, 60):
+        parts = sparse.passes(blocks)
+        assert sorted(d for part in parts for d in part) == list(range(blocks))
+        # each row moves as the left and as the right block of a pair
+        for part in parts:
+            assert max(sum((x + d < blocks) + (d > 0 and x >= d) for d in part) for x in range(blocks)) <= sparse.COPIES
+
+
+def test_full_blocks_are_compared_in_passes(spark, monkeypatch):
+    """Rows were moved once for every block at once, and all vectors were stored."""
+    stored = []
+
+    def kept(df, name, real=sparse.materialise):
+        stored.append((name, dict(df.dtypes).get("weights")))
+        return real(df, name)
+
+    def counted(df, name):
+        table = kept(df, name)
+        return table, table.count()
+
+    monkeypatch.setattr(sparse, "materialise", kept)
+    monkeypatch.setattr(sparse, "materialise_counted", counted)
+    monkeypatch.setattr(sparse, "FULL_POSTINGS", 45)
+    monkeypatch.setattr(sparse, "MOVED_TERMS", 150)
+    monkeypatch.setattr(sparse, "MOVED_SHARE", 0.0)
+    monkeypatch.setattr(sparse, "_GATHERED", 0)
+    rows = workload(60, 5)
+    close = np.triu(rows @ rows.T >= 0.4, 1)
+    links = [(r.src, r.dst) for r in sparse.sparse_links(as_frame(spark, rows), "article_id", 0.4, 4).collect()]
+    assert brute_components(len(rows), links) == brute_components(len(rows), list(zip(*np.nonzero(close))))
+    assert all(close[i, j] for i, j in links)
+    names = [n for n, _ in stored]
+    assert names.count("sparse-reached") > 1 and names.count("sparse-candidates") > 2 and names.count("sparse-wanted") > 2
+    assert {n for n, weights in stored if weights == "array<double>"} == {"sparse-wanted"}
+
+
+def test_candidates_inside_a_group_are_not_all_computed(spark, monkeypatch):
+    """All candidates' vectors were moved: 1,770 pairs of a group of 60."""
+    from newsight.session import materialise
+
+    monkeypatch.setattr(sparse, "MOVED_TERMS", 500)
+    monkeypatch.setattr(sparse, "MOVED_SHARE", 0.0)
+    rng = np.random.default_rng(4)
+    rows = np.ones((62, 10)) + 0.05 * rng.random((62, 10))
+    rows[60:, 5:] = 0.0  # candidates that do not reach the threshold
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    vectors = as_frame(spark, rows).withColumnRenamed("article_id", "id")
+    every = [(i, j, 0.5) for i in range(62) for j in range(i + 1, 62)]
+    pairs = materialise(spark.createDataFrame(every, "src long, dst long, score double"), "t")
+    lens = materialise(vectors.selectExpr("id", "size(terms) AS n"), "t")
+    links = [(r.src, r.dst) for part in sparse._joined(pairs, [], vectors, lens, 0.9) for r in part.collect()]
+    want = list(zip(*np.nonzero(np.triu(rows @ rows.T >= 0.9, 1))))
+    assert brute_components(62, links) == brute_components(62, want)
+    assert 60 <= len(links) <= 3 * 62
