@@ -44,7 +44,7 @@ _PREFIX = "id long, terms array<int>, weights array<float>, tail float"
 _PAIRS = "src long, dst long, score double"
 # least rows of a block, blocks that rows are dealt to, and rows and postings of a block from which on
 # there are more
-BLOCK_ROWS, BLOCKS, FULL_ROWS, FULL_POSTINGS = 1_000, 4, 96_000, 3_000_000
+BLOCK_ROWS, BLOCKS, FULL_ROWS, FULL_POSTINGS = 1_000, 4, 96_000, 1_500_000
 # copies of a row that are on disk at once while blocks are compared
 COPIES = 4
 # terms of the vectors that are moved for candidates at once, as a share of all vectors' terms, and a number
@@ -278,8 +278,11 @@ class _Side:
         self.term, self.w = terms.flatten().to_numpy(), weights.flatten().to_numpy()
         self.start = np.concatenate([[0], np.cumsum(self.lens)])
         self.last, self.tail = self.term[self.start[1:] - 1], rows.column("tail").to_numpy()
-        squares = np.ceil(self.w.astype(np.float64) ** 2 * _UNIT).astype(np.int64)
-        self.sums = np.concatenate([[0], np.cumsum(squares)])
+        squares = self.w.astype(np.float64)
+        squares *= squares
+        squares *= _UNIT
+        self.sums = np.zeros(len(squares) + 1, np.int64)
+        np.cumsum(np.ceil(squares, out=squares).astype(np.int64), out=self.sums[1:])
 
     def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``rows`` each of their entries belongs to, and the entry's place."""
@@ -317,10 +320,11 @@ def _candidates(a: _Side, b: _Side, same: bool, threshold: float) -> Iterator[pa
     row_of = np.repeat(np.arange(len(b.id), dtype=np.int32), b.lens)[by_term]
     w_of = b.w[by_term]
     del by_term
-    first = np.concatenate([[0], np.cumsum(np.bincount(b.term, minlength=dims))])
+    held = np.bincount(b.term, minlength=dims)
+    first = np.concatenate([[0], np.cumsum(held)])
     width = len(b.id)
-    # products of all rows before each row
-    made = np.concatenate([[0], np.cumsum(first[a.term + 1] - first[a.term])])[a.start]
+    # products of all rows before each row; no row is without terms
+    made = np.concatenate([[0], np.cumsum(np.add.reduceat(held.astype(np.int32)[a.term], a.start[:-1], dtype=np.int64))])
     least = threshold - _ROUGH - float(max(a.tail.max(), b.tail.max()))
     lo = 0
     while lo < len(a.id):
@@ -328,7 +332,7 @@ def _candidates(a: _Side, b: _Side, same: bool, threshold: float) -> Iterator[pa
         hi = max(lo + 1, min(len(a.id), int(most), lo + _CELLS // width))
         part = slice(a.start[lo], a.start[hi])
         own, term = np.repeat(np.arange(hi - lo) * width, a.lens[lo:hi]), a.term[part]
-        n = first[term + 1] - first[term]
+        n = held[term]
         ends = np.cumsum(n)
         place = np.arange(ends[-1]) + np.repeat(first[term] - ends + n, n)
         cell = row_of[place] + np.repeat(own, n)
@@ -373,6 +377,8 @@ def _compared(
         found = [none, *map(lambda x: pa.Table.from_batches([x]), _candidates(a, b, same, threshold))]
         # rows with equal ids name a pair more than once
         pairs = pa.concat_tables(found).group_by(["src", "dst"]).aggregate([("score", "max")])
+        del a, b, found
+        pa.default_memory_pool().release_unused()  # an idle worker would keep it
         return pairs.select(["src", "dst", "score_max"]).rename_columns(["src", "dst", "score"])
 
     def part(diagonals: list[int]) -> DataFrame:
