@@ -284,12 +284,6 @@ class _Side:
         self.sums = np.zeros(len(squares) + 1, np.int64)
         np.cumsum(np.ceil(squares, out=squares).astype(np.int64), out=self.sums[1:])
 
-    def entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of ``rows`` each of their entries belongs to, and the entry's place."""
-        n = self.lens[rows]
-        of = np.repeat(np.arange(len(rows)), n)
-        return of, np.arange(len(of)) + (self.start[rows] - np.cumsum(n) + n)[of]
-
     def behind(self, rows: np.ndarray, term: np.ndarray) -> np.ndarray:
         """Norm of some rows behind one term each."""
         lo, end = self.start[rows], self.start[rows + 1]
